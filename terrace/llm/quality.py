@@ -19,6 +19,8 @@ SHORT_LINE = 12
 MOST_LOST = 0.5
 MOST_SYMBOLS_PER_WORD = 0.2
 MOST_BANGS_PER_WORD = 0.3
+#: Repeated hashes of a text that are looked up one by one.
+FEW = 64
 
 
 def words(text: Column) -> Column:
@@ -61,8 +63,16 @@ def judge(docs: DataFrame, text: str = "text", most_lost: float = MOST_LOST) ->
         F.length(F.array_join("__w", "")).cast("long").alias("word_chars"),
         F.regexp_count(t, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
-        F.when(n >= 3, F.sort_array(F.slice(F.arrays_zip(w.alias("a"), F.slice(w, 2, n).alias("b"), F.slice(w, 3, n).alias("c"), F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))).alias("p")), 1, n - 2))).alias("__s"),
+        w,
     )
+    h, d, i = F.col("__h"), F.col("__d"), F.sequence(F.lit(0), F.greatest(n - 3, F.lit(0)))
+    a = a.withColumn("__h", F.when(n >= 3, F.zip_with(F.zip_with(F.slice(w, 1, n - 2), F.slice(w, 2, n - 2), lambda x, y: F.xxhash64(x, y)), F.slice(w, 3, n - 2), lambda x, y: F.xxhash64(x, y))).otherwise(F.array().cast("array<bigint>")))
+    a = a.withColumn("__d", F.when(F.size(F.array_distinct(h)) < F.size(h), F.sort_array(h)))
+    twice = F.zip_with(F.slice(d, 1, F.size(d) - 1), F.slice(d, 2, F.size(d) - 1), lambda x, y: F.when(x == y, x))
+    a = a.withColumn("__d", F.when(F.size(d) > 0, F.array_distinct(F.array_compact(twice))))
+    # only windows whose hash repeats are compared as words; all of them where that is cheaper than to look each up
+    a = a.withColumn("__i", F.when(F.size(d) <= FEW, F.filter(i, lambda x: F.array_contains(d, F.get(h, x)))).when(d.isNotNull(), i))
+    a = a.withColumn("__s", F.sort_array(F.transform("__i", lambda x: F.struct(F.get(w, x).alias("a"), F.get(w, x + 1).alias("b"), F.get(w, x + 2).alias("c"), x.alias("p")))))
     s = F.col("__s")
     after = F.slice(s, 2, F.greatest(F.size(s) - 1, F.lit(0)))
     a = a.withColumn("__pairs", F.filter(F.arrays_zip(s.alias("x"), after.alias("y")), lambda z: (z["x"]["a"] == z["y"]["a"]) & (z["x"]["b"] == z["y"]["b"]) & (z["x"]["c"] == z["y"]["c"])))
@@ -75,7 +85,7 @@ def judge(docs: DataFrame, text: str = "text", most_lost: float = MOST_LOST) ->
     a = a.withColumn("lost_words", F.regexp_count(F.array_join("__bad", "\n"), F.lit(WORD)).cast("long"))
     a = a.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
     a = a.withColumn("kept", ~F.col("base_failed") & (F.col("lost_words") <= F.col("n_words") * most_lost))
-    return a.withColumn("clean_text", F.when(F.size("__bad") > 0, F.array_join(clean_lines(F.col(text)), "\n")).otherwise(t)).drop("__lines", "__s", "__pairs", "__p", "__bad")
+    return a.withColumn("clean_text", F.when(F.size("__bad") > 0, F.array_join(clean_lines(F.col(text)), "\n")).otherwise(t)).drop("__lines", "__w", "__h", "__d", "__i", "__s", "__pairs", "__p", "__bad")
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
