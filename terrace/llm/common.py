@@ -92,10 +92,10 @@ def sliding_min(x: np.ndarray, size: int) -> np.ndarray:
 
 
 class Words:
-    """Hashes of the words of some texts, one after the other; ``starts`` has where each text begins, and the end."""
+    """Hashes of the words of some texts (UTF-8), one after the other; ``starts`` has where each text begins, and the end."""
 
-    def __init__(self, texts: list[str | None], cache: WordHashes, fold: bool = False):
-        lists = [[] if t is None else (t.encode("utf-8", "replace").lower() if fold else t.encode("utf-8", "replace")).split() for t in texts]
+    def __init__(self, texts: list[bytes | None], cache: WordHashes, fold: bool = False):
+        lists = [[] if t is None else (t.lower() if fold else t).split() for t in texts]
         self.starts = np.zeros(len(lists) + 1, np.int64)
         np.cumsum([len(x) for x in lists], out=self.starts[1:])
         self.hashes = np.fromiter(map(cache.__getitem__, chain.from_iterable(lists)), U, int(self.starts[-1]))
@@ -105,12 +105,11 @@ class Words:
         return np.repeat(np.arange(len(self.starts) - 1), np.diff(self.starts))
 
 
-def chunks(batch: pa.RecordBatch, text: str = "text", most: int = CHUNK_CHARS) -> Iterator[tuple[int, list[str | None]]]:
-    """(first row, texts) of consecutive rows with about ``most`` characters together; at least one row each."""
-    column = batch.column(text)
+def chunks(batch: pa.RecordBatch, text: str = "text", most: int = CHUNK_CHARS) -> Iterator[tuple[int, list[bytes | None]]]:
+    """(first row, texts as UTF-8) of consecutive rows with about ``most`` bytes together; at least one row each."""
     first, held, size = 0, [], 0
-    for i in range(batch.num_rows):
-        t = column[i].as_py()
+    for i, t in enumerate(batch.column(text).cast(pa.binary())):
+        t = t.as_py()
         held.append(t)
         size += len(t) if t else 0
         if size >= most:

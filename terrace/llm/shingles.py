@@ -9,7 +9,7 @@ import numpy as np
 from terrace.llm.common import U, WordHashes, Words, window_hashes
 
 
-def shingle_sets(texts: list[str | None], size: int, cache: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(texts: list[bytes | None], size: int, cache: WordHashes) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, starts): text i's distinct shingles, sorted, are hashes[starts[i]:starts[i + 1]].
 
     A-Z is lower-cased. A text with fewer than ``size`` words has its whole word sequence as one shingle; one without

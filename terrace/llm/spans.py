@@ -59,7 +59,7 @@ def text_spans(words: Words, size: int, gram: int) -> tuple[np.ndarray, ...]:
 
 def scan_spans(size: int, gram: int):
     """mapInArrow over (doc_id, text): rows of spans. Equal spans of one gathering are combined: one row stands for them,
-    marked as repeating, and each of their places is sent as a settled row. So a passage in a third of all documents
+    marked as repeating, and each of their places is sent as a settled row, with a key of its own. So a passage in a third of all documents
     comes from each task a few times only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,7 +77,7 @@ def scan_spans(size: int, gram: int):
             yield from sent(fp[new], span[new], doc[new], known[new], place(start, count, many.astype(np.int64))[new], False)
             some = many & known
             if some.any():
-                yield from sent(fp[some], span[some], doc[some], known[some], place(start, count, 1)[some], True)
+                yield from sent(mix(doc[some].view(U) * U(31) + start[some].view(U)), span[some], doc[some], known[some], place(start, count, 1)[some], True)
 
         def sent(fp, span, doc, known, loc, settled):
             for i in range(0, len(fp), 100_000):

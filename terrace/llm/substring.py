@@ -106,13 +106,13 @@ def _cut(window: int, with_text: bool, keep: list[str]):
             for first, texts in chunks(batch):
                 rows = []
                 for text, locs in zip(texts, batch.column("locs").slice(first, len(texts)), strict=True):
-                    raw = b"" if text is None else text.encode("utf-8", "replace")
+                    raw = text or b""
                     words = raw.split()
                     gone = covered(len(words), np.asarray(locs.values), window) if locs.is_valid and len(locs) else None
                     kept = words if gone is None else [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
                     rows.append((len(words), len(words) - len(kept), sha256(b" ".join(kept)).hexdigest()))
                     if with_text:
-                        rows[-1] += (text if len(kept) == len(words) else b"".join(x for x, g in zip(_WORD.findall(raw), gone.tolist(), strict=True) if not g).lstrip().decode("utf-8"),)
+                        rows[-1] += ((None if text is None else raw.decode("utf-8", "replace")) if len(kept) == len(words) else b"".join(x for x, g in zip(_WORD.findall(raw), gone.tolist(), strict=True) if not g).lstrip().decode("utf-8", "replace"),)
                 schema = pa.schema([*fields, *[(c, batch.schema.field(c).type) for c in keep]])
                 yield record(schema, batch.column("id").slice(first, len(texts)), *[list(x) for x in zip(*rows, strict=True)], *[batch.column(c).slice(first, len(texts)) for c in keep])
 

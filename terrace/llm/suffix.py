@@ -57,7 +57,7 @@ def _report(passage: int):
             for first, texts in chunks(batch):
                 rows = []
                 for text, locs in zip(texts, batch.column("locs").slice(first, len(texts)), strict=True):
-                    n = 0 if text is None else len(text.encode("utf-8", "replace").split())
+                    n = 0 if text is None else len(text.split())
                     found = []
                     if locs.is_valid and len(locs):
                         hit = np.concatenate([[0], covered(n, np.asarray(locs.values), passage).astype(np.int8), [0]])

@@ -83,11 +83,13 @@ class Ratios(dict):
         return value
 
 
-def windows(text: str | None) -> list[bytes]:
+def windows(text: str | bytes | None) -> list[bytes]:
+    if isinstance(text, bytes):
+        text = text.decode("utf-8", "replace")
     return [] if text is None else text.lower().encode("utf-8", "replace").split()
 
 
-def evidence(ratios: Ratios, text: str | None) -> float:
+def evidence(ratios: Ratios, text: str | bytes | None) -> float:
     """Sum of the strongest windows' ratios; 0 without words."""
     best = heapq.nlargest(STRONGEST, map(ratios.__getitem__, windows(text)))
     return float(sum(best))
