@@ -34,8 +34,8 @@ from terrace.llm.shingles import shingle_sets, signature
 
 #: Hash values below this are watched in step 2.
 WATCHED = U(1 << 62)
-#: Cells of the count sketch, whatever the input: 4 bytes each, 16 MB.
-SKETCH_CELLS, SKETCH_CHUNK = 1 << 22, 1 << 16
+#: Cells of the count sketch (4 bytes each) and bits of the filter of classes, whatever the input: 16 and 8 MB. Tables travel in chunks.
+SKETCH_CELLS, FILTER_BITS, CHUNK_CELLS = 1 << 22, 1 << 26, 1 << 16
 #: Shingles in a block.
 BLOCK_SHINGLES = 1 << 18
 
@@ -116,10 +116,23 @@ MEMBER = "doc_id long, sig long, shingles binary"
 MEMBER_SCHEMA = pa.schema([("doc_id", pa.int64()), ("sig", pa.int64()), ("shingles", pa.binary())])
 
 
-def _members(size: int):
+def _places(ids: np.ndarray) -> list[np.ndarray]:
+    """Bits of a document in the filter of classes."""
+    h = mix(ids.view(U) + U(0x9E3779B9))
+    return [(h >> U(s) & U(FILTER_BITS - 1)).astype(np.int64) for s in (0, 32)]
+
+
+def _passes(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    return np.logical_and.reduce([bits[p >> 3] >> (p & 7).astype(np.uint8) & 1 for p in _places(ids)]).astype(bool)
+
+
+def _members(size: int, classes):
+    """Sets of the documents that the filter of classes lets through."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for batch in batches:
+            batch = batch.filter(pa.array(_passes(classes.value, columns(batch, "doc_id"))))
             for first, texts in chunks(batch):
                 h, starts = shingle_sets(texts, size, cache)
                 parts = [h[a:b] for a, b in zip(starts[:-1], starts[1:], strict=True)]
@@ -132,39 +145,66 @@ def _cell(h: np.ndarray, cells: int) -> np.ndarray:
     return (mix(h) % U(cells)).astype(np.int64)
 
 
+TABLE = "chunk long, cells binary"
+TABLE_SCHEMA = pa.schema([("chunk", pa.int64()), ("cells", pa.binary())])
+
+
+def _sent(cells: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(cells), CHUNK_CELLS):
+        if (part := cells[i : i + CHUNK_CELLS]).any():
+            yield record(TABLE_SCHEMA, [i // CHUNK_CELLS], [zlib.compress(part.tobytes(), 1)])
+
+
 def _sketch(cells: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(cells, np.uint32)
         for batch in batches:
             for x in batch.column("shingles"):
                 np.add.at(counts, _cell(np.frombuffer(x.as_py(), U), cells), 1)
-        schema = pa.schema([("chunk", pa.int64()), ("counts", pa.binary())])
-        step = min(SKETCH_CHUNK, cells)
-        for i in range(0, cells, step):
-            if (part := counts[i : i + step]).any():
-                yield record(schema, [i // step], [zlib.compress(part.tobytes(), 1)])
+        yield from _sent(counts)
 
     return run
 
 
-def _add_sketches(step: int):
+def _class_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    for batch in batches:
+        for p in _places(columns(batch, "doc_id")):
+            np.bitwise_or.at(bits, p >> 3, (1 << (p & 7)).astype(np.uint8))
+    yield from _sent(bits)
+
+
+def _merged(kind, join):
+    """Chunks of tables, sorted by chunk, joined to one of each."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows are sorted by chunk."""
-        schema = pa.schema([("chunk", pa.int64()), ("counts", pa.binary())])
         at, total = None, None
         for batch in batches:
-            for c, x in zip(batch.column("chunk").to_pylist(), batch.column("counts"), strict=True):
-                if c != at:
-                    if at is not None:
-                        yield record(schema, [at], [total.astype(np.uint32).tobytes()])
-                    at, total = c, np.zeros(step, np.uint64)
-                total = np.minimum(total + np.frombuffer(zlib.decompress(x.as_py()), np.uint32), 0xFFFFFFFF)
+            for c, x in zip(batch.column("chunk").to_pylist(), batch.column("cells"), strict=True):
+                part = np.frombuffer(zlib.decompress(x.as_py()), kind)
+                if c != at and at is not None:
+                    yield record(TABLE_SCHEMA, [at], [total.tobytes()])
+                total = part if c != at else join(total, part)
+                at = c
         if at is not None:
-            yield record(schema, [at], [total.astype(np.uint32).tobytes()])
+            yield record(TABLE_SCHEMA, [at], [total.tobytes()])
 
     return run
 
 
+def _saturating(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.minimum(x.astype(np.uint64) + y, 0xFFFFFFFF).astype(np.uint32)
+
+
+def fixed_table(rows: DataFrame, n: int, kind, join):
+    """A broadcast array of n cells from tasks' tables (mapInArrow rows of TABLE): its size doesn't depend on the input."""
+    joined = rows.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_merged(kind, join), TABLE)
+    cells = np.zeros(n, kind)
+    for row in joined.toLocalIterator():
+        cells[row["chunk"] * CHUNK_CELLS : (row["chunk"] + 1) * CHUNK_CELLS] = np.frombuffer(row["cells"], kind)
+    return rows.sparkSession.sparkContext.broadcast(cells)
+
+
 def ordered(h: np.ndarray, sketch: np.ndarray) -> np.ndarray:
     """Keys that sort shingles by the global order: rarity class by the sketch (six bits), then hash."""
     count = sketch[_cell(h, len(sketch))]
@@ -349,7 +389,6 @@ def similar_sets(docs: DataFrame, text: str = "text", size: int = 5, num: int =
     doc_id is the same are one class. Rows with a null doc_id are returned with a null component_id and link nothing.
     Other columns of ``docs`` are not read.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     sets = materialize(docs.mapInArrow(_sets(size), SETS), "sets")
     watched = docs.mapInArrow(_watched(size), "shingle long, doc_id long")
@@ -357,16 +396,12 @@ def similar_sets(docs: DataFrame, text: str = "text", size: int = 5, num: int =
     left = sets.where("doc_id is not null and n_shingles > 0").join(lonely, "doc_id", "left")
     left = left.where(F.coalesce("lonely", F.lit(0)) <= F.col("n_shingles") - F.ceil(F.col("n_shingles") * num / F.lit(den)))
     reps = materialize(left.groupBy("sig", "n_shingles").agg(F.min("doc_id").alias("doc_id")), "classes")
-    texts = docs.join(reps.select("doc_id"), "doc_id", "left_semi")
-    members = texts.mapInArrow(_members(size), MEMBER).join(reps.select("doc_id", "sig"), ["doc_id", "sig"], "left_semi")
+    # most documents have left: a filter of fixed size drops them before their texts are read, and what it lets through in vain goes in the join
+    classes = fixed_table(reps.select("doc_id").mapInArrow(_class_bits, TABLE), FILTER_BITS // 8, np.uint8, np.bitwise_or)
+    known = docs.where("doc_id is not null")
+    members = known.mapInArrow(_members(size, classes), MEMBER).join(reps.select("doc_id", "sig"), ["doc_id", "sig"], "left_semi")
     members = materialize(members.dropDuplicates(["doc_id", "sig"]).select("doc_id", "shingles"), "members")
-
-    step = min(SKETCH_CHUNK, cells)
-    added = members.mapInArrow(_sketch(cells), "chunk long, counts binary").repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_add_sketches(step), "chunk long, counts binary")
-    sketch = np.zeros(cells, np.uint32)
-    for row in added.toLocalIterator():  # at most 4 * cells bytes, whatever the input
-        sketch[row["chunk"] * step : (row["chunk"] + 1) * step] = np.frombuffer(row["counts"], np.uint32)
-    held = spark.sparkContext.broadcast(sketch)
+    held = fixed_table(members.mapInArrow(_sketch(cells), TABLE), cells, np.uint32, _saturating)
     postings = members.mapInArrow(_postings(held, num, den), "key long, doc_id long")
     chains = postings.repartition(F.shiftrightunsigned("key", 24)).sortWithinPartitions("key", "doc_id").mapInArrow(_chains(num, den), "a long, b long")
     clusters = connected_components(chains).withColumnsRenamed({"node": "doc_id", "component": "cluster"})
