@@ -43,8 +43,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     return s.select("source", "source_size", F.coalesce(F.least("cap", F.col("level") * F.col("w")), "cap").alias("target"))
 
 
-def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many of each length to take so that the sum is as near to ``budget`` as the programme gets."""
+def fit(lengths: np.ndarray, counts: np.ndarray, budget: int, most: int = 1) -> np.ndarray:
+    """How many of each length to take so that the sum is as near to ``budget`` as the programme gets; each up to ``most`` times, a second time only where a first doesn't reach."""
     take = np.zeros(len(lengths), np.int64)
     total = int((lengths * counts).sum())
     if not total or budget <= 0:
@@ -58,12 +58,12 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     for i in order:  # longest first, until the dynamic programme can hold what is left
         if rest <= reach:
             break
-        n = min(int(counts[i] - take[i]), (rest - reach) // int(lengths[i]) + 1, rest // int(lengths[i]))
+        n = min(int(most * counts[i] - take[i]), (rest - reach) // int(lengths[i]) + 1, rest // int(lengths[i]))
         take[i] += max(n, 0)
         rest -= max(n, 0) * int(lengths[i])
     sums, steps, limit = 1, [], (1 << (rest + 1)) - 1
     for i in order[::-1]:  # bit b of sums: some documents have b words together
-        n = min(int(counts[i] - take[i]), rest // int(lengths[i]))
+        n = min(int(most * counts[i] - take[i]), rest // int(lengths[i]))
         part = 1
         while n > 0 and not sums >> rest & 1:
             part_now = min(part, n)
@@ -86,8 +86,9 @@ def _fit_source(rows: pd.DataFrame) -> pd.DataFrame:
     size, target = int(rows["source_size"].iloc[0]), float(rows["target"].iloc[0])
     passes = min(int(target // size), MOST_EPOCHS) if size else 0
     budget = round(target - passes * size)
-    rows["take"] = fit(rows["size"].to_numpy(np.int64), rows["n"].to_numpy(np.int64), budget)
-    rows["passes"] = passes
+    n = rows["n"].to_numpy(np.int64)
+    take = fit(rows["size"].to_numpy(np.int64), n, budget, MOST_EPOCHS - passes)
+    rows["take"], rows["passes"] = take % n, passes + take // n
     return rows[["source", "size", "take", "passes"]]
 
 
