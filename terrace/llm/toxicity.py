@@ -1,7 +1,7 @@
 """Operator 1, toxicity by compression distance.
 
 Two zstandard dictionaries are fitted on labelled text: one holds the windows that toxic texts have significantly
-more often than ordinary ones, the other the commonest windows of ordinary texts. A window (one word, with its
+more often than ordinary ones, the other running text of ordinary ones. A window (one word, with its
 spaces) is compressed under both; how much shorter it gets under the toxic dictionary, given its length, has a log
 likelihood ratio counted on other labelled documents. The ratios of a document's strongest windows add up, and a logistic
 curve fitted on those documents turns the sum into a score: the threshold is calibrated, not set.
@@ -27,13 +27,14 @@ MOST_LABELLED = 12_000
 #: Windows of the toxic dictionary, at most. Each has a G-squared of MARGIN and twice the logarithm
 #: of the number of windows tried at least: chance alone would let less than one through.
 MOST_WINDOWS, MARGIN = 4000, 4.0
-ORDINARY_BYTES = 100_000
+#: Size of the ordinary dictionary and how many texts it may come from.
+ORDINARY_BYTES, ORDINARY_TEXTS = 100_000, 400
 LEVEL = 9
 STRONGEST = 3
 THRESHOLD = 0.7
 CACHED_WINDOWS = 400_000
 #: zstandard doesn't look for matches in the last bytes of its input or dictionary; these fill them.
-TAIL = bytes(range(1, 13))
+TAIL, FILL = bytes(range(1, 13)), b"~" * 16
 LONGEST, SPREAD = 24, (-8, 24)
 
 
@@ -145,17 +146,16 @@ def log_ratios(counts: list[tuple[int, int, int, int]]) -> dict[tuple[int, int],
 
 
 def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a regularised logistic curve, by Newton's steps; classes weigh the same."""
+    """Slope and offset of a regularised logistic curve, by Newton's steps."""
     if not len(x) or y.min() == y.max():
         return 1.0, -1e3 if not len(x) or not y.max() else 0.0
     center, scale = x.mean(), x.std() or 1.0
     a = np.stack([(x - center) / scale, np.ones(len(x))], 1)
-    weight = np.where(y == 1, 0.5 / (y == 1).mean(), 0.5 / (y == 0).mean())
     w = np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        gradient = a.T @ (weight * (p - y)) + 0.01 * w
-        step = np.linalg.solve((a * (weight * p * (1 - p))[:, None]).T @ a + 0.01 * np.eye(2), gradient)
+        gradient = a.T @ (p - y) + 0.01 * w
+        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + 0.01 * np.eye(2), gradient)
         w -= step
         if np.abs(step).max() < 1e-8:
             break
@@ -184,9 +184,11 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Model:
     g = 2 * (part(a, n1 * p) + part(b, n0 * p) + part(n1 - a, n1 * (1 - p)) + part(n0 - b, n0 * (1 - p)))
     least = MARGIN + 2 * math.log(each.count() + 1)
     toxic = each.where((a >= 2) & (a / n1 > b / n0)).withColumn("g", g).where(F.col("g") >= least).orderBy(F.desc("g"), "w").limit(MOST_WINDOWS).select("w").collect()
-    ordinary = each.where("b > 0 and length(w) <= 64").orderBy(F.desc("b"), "w").limit(ORDINARY_BYTES // 4).select("w").collect()
+    plain = F.split(F.trim(F.regexp_replace(F.lower("text"), r"[\x20\x09-\x0D]+", " ")), " ")
+    running = fold.where("toxic = 0").orderBy("copy").limit(ORDINARY_TEXTS).select("copy", F.posexplode(plain).alias("pos", "w"))
+    ordinary = running.where("length(w) <= 64").orderBy("copy", "pos").limit(ORDINARY_BYTES // 4).select("w").collect()
     common = " ".join(r["w"] for r in ordinary).encode()[:ORDINARY_BYTES].decode("utf-8", "ignore").split()
-    model = Model(*(TAIL + (" " + " ".join(reversed(x)) + " ").encode() + TAIL for x in ([r["w"] for r in toxic], common)))
+    model = Model(*(TAIL + (" " + " ".join(reversed(x)) + " ").encode() + FILL for x in ([r["w"] for r in toxic], common)))
     counts = rest.mapInArrow(_gained(model), "toxic long, length long, saved long, n long").groupBy("toxic", "length", "saved").agg(F.sum("n").alias("n"))
     model.ratios = log_ratios([tuple(r) for r in counts.collect()])  # a few thousand cells at most
     seen = rest.mapInArrow(_evidence(model), "toxic long, evidence double").toPandas()  # a third of ``most`` rows
