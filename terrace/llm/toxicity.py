@@ -32,7 +32,7 @@ ORDINARY_BYTES, ORDINARY_TEXTS = 100_000, 400
 LEVEL = 9
 STRONGEST = 3
 THRESHOLD = 0.7
-CACHED_WINDOWS = 400_000
+CACHED_WINDOWS = 250_000
 #: zstandard doesn't look for matches in the last bytes of its input or dictionary; these fill them.
 TAIL, FILL = bytes(range(1, 13)), b"~" * 16
 LONGEST, SPREAD = 24, (-8, 24)
@@ -61,12 +61,15 @@ class Lengths(dict):
             kept.precompute_compress(level=LEVEL)
             self.under.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=kept, write_content_size=False, write_checksum=False, write_dict_id=False))
 
-    def __missing__(self, window: bytes) -> tuple[int, int]:
+    def measure(self, window: bytes) -> tuple[int, int]:
         text = b" " + window + b" "
         ordinary, toxic = (len(x.compress(text + TAIL)) for x in self.under)
+        return min(len(text), LONGEST), max(SPREAD[0], min(SPREAD[1], ordinary - toxic))
+
+    def __missing__(self, window: bytes) -> tuple[int, int]:
         if len(self) >= CACHED_WINDOWS:
             self.clear()
-        value = self[window] = (min(len(text), LONGEST), max(SPREAD[0], min(SPREAD[1], ordinary - toxic)))
+        value = self[window] = self.measure(window)
         return value
 
 
@@ -80,7 +83,7 @@ class Ratios(dict):
     def __missing__(self, window: bytes) -> float:
         if len(self) >= CACHED_WINDOWS:
             self.clear()
-        value = self[window] = self.ratios.get(self.lengths.__missing__(window), 0.0)
+        value = self[window] = self.ratios.get(self.lengths.measure(window), 0.0)
         return value
 
 
