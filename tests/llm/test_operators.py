@@ -219,6 +219,18 @@ def test_encoder(text):
     assert e([text.encode()])[0].tolist() == [*e.model.encode(text, add_special_tokens=False).ids, 2]
 
 
+def test_encoder_forgets(monkeypatch):
+    """Words give the same ids before, while and after they are forgotten; letters with marks too."""
+    monkeypatch.setattr(packing, "CACHED_WORDS", 40)
+    e = packing.Encoder(public_tokenizers.path(packing.TOKENIZER))
+    rng = random.Random(3)
+    parts = ["", "!", "...", "***", "%%%.", "'s", "'", "<|endoftext|>", "_", "-ab", "!!!!!!!!!", "é", "7"]
+    for _ in range(60):
+        text = " ".join(rng.choice(["ab", "Éa", "ñu", "COMO", "z" * 70, "ẞa", "K"]) + rng.choice("abcdefgh") * rng.randint(0, 4) + rng.choice(parts) for _ in range(12))
+        assert e([text.encode()])[0].tolist() == [*e.model.encode(text, add_special_tokens=False).ids, 2]
+        assert len(e.known) <= 40 and not any(len(w) > packing.CACHED_BYTES for w in [*e.known, *e.old])
+
+
 def test_hilbert():
     grid = np.array([(x, y) for x in range(8) for y in range(8)])
     path = grid[np.argsort(packing.hilbert(grid, 3))]
