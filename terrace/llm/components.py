@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from terrace.llm.common import materialize, record
 
-#: Up to this many edges (16 bytes each) one task finishes the job; also the edges that a task holds at a time.
+#: Up to this many edges (16 bytes each) one task holds all and finishes the job; before that, tasks empty their forests at so many nodes.
 TASK_EDGES = 1 << 18
 SCHEMA = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -38,22 +38,26 @@ class Forest(dict):
         return True
 
 
-def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges to stars with the same components; holds at most TASK_EDGES nodes."""
-    forest = Forest()
+def _contract(most: int | None):
+    """Edges to stars with the same components of what is held together: about ``most`` nodes at a time, or all edges of the task."""
 
-    def out():
-        pairs = [(x, r) for x in list(forest) if (r := forest.find(x)) != x]
-        forest.clear()
-        if pairs:
-            yield record(SCHEMA, *np.array(pairs, np.int64).T)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = Forest()
 
-    for batch in batches:
-        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            forest.union(a, b)
-        if len(forest) >= TASK_EDGES:
-            yield from out()
-    yield from out()
+        def out():
+            pairs = [(x, r) for x in list(forest) if (r := forest.find(x)) != x]
+            forest.clear()
+            if pairs:
+                yield record(SCHEMA, *np.array(pairs, np.int64).T)
+
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                forest.union(a, b)
+            if most is not None and len(forest) >= most:
+                yield from out()
+        yield from out()
+
+    return run
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -64,11 +68,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Null ends and loops are ignored. Nodes without edges aren't returned.
     """
     e = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a is not null and b is not null and a <> b")
-    e = materialize(e.distinct().mapInArrow(_contract, "a long, b long"), "edges")
+    e = materialize(e.distinct().mapInArrow(_contract(TASK_EDGES), "a long, b long"), "edges")
     while True:
         n = e.count()
         if n <= TASK_EDGES:
-            e = materialize(e.coalesce(1).mapInArrow(_contract, "a long, b long"), "stars")
+            e = materialize(e.coalesce(1).mapInArrow(_contract(None), "a long, b long"), "stars")
             break
         both = e.union(e.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))

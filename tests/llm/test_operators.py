@@ -153,6 +153,15 @@ def test_components(spark, monkeypatch):
     assert got == {(x, forest.find(x)) for x in {y for a, b in e if a != b for y in (a, b)}}
 
 
+def test_components_one_task(spark):
+    """The last task keeps groups whole whose edges are in different Arrow batches, with more nodes than edges allowed."""
+    n = 125_000
+    e = spark.range(n).selectExpr("inline(array(struct(3 * id as a, 3 * id + 1 as b), struct(3 * id + 2 as a, 3 * id + 1 as b)))")
+    got = components.connected_components(e)
+    assert 2 * n <= components.TASK_EDGES <= 3 * n
+    assert got.count() == 3 * n and got.where("component <> node - node % 3").count() == 0
+
+
 def test_mixing(spark, docs, empty):
     rows = mixing.mix(docs).collect()
     assert sorted((r["doc_id"], r["taken"]) for r in rows if r["doc_id"]) == sorted((r["doc_id"], r["taken"]) for r in mixing.mix(docs).collect() if r["doc_id"])
