@@ -61,40 +61,40 @@ def _sets(size: int):
 
 
 def _watched(size: int):
-    """(shingle, doc_id) of watched shingles; one that a chunk has in several documents is sent once, with a null doc_id."""
-    schema = pa.schema([("shingle", pa.int64()), ("doc_id", pa.int64())])
+    """(shingle, signature of its set) of watched shingles; one that a chunk has in several rows is sent once, with a null sig."""
+    schema = pa.schema([("shingle", pa.int64()), ("sig", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for batch in batches:
-            ids = columns(batch, "doc_id")
             known = np.asarray(batch.column("doc_id").is_valid())
             for first, texts in chunks(batch):
                 h, starts = shingle_sets(texts, size, cache)
-                own = np.repeat(np.arange(first, first + len(texts)), np.diff(starts))
+                sig = np.array([signature(h[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True)], np.int64)
+                own = np.repeat(np.arange(len(texts)), np.diff(starts))
                 some = h < WATCHED
                 h, own = h[some], own[some]
                 shingle, at, count = np.unique(h, return_index=True, return_counts=True)
                 own = own[at]
-                yield record(schema, signed(shingle), pa.array(ids[own], pa.int64(), mask=(count > 1) | ~known[own]))
+                yield record(schema, signed(shingle), pa.array(sig[own], pa.int64(), mask=(count > 1) | ~known[first + own]))
 
     return run
 
 
 def _lonely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by shingle: (doc_id, how many of its shingles have one row only)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64())])
-    last_key = last_doc = None  # the last row, if its shingle may go on
+    """From rows sorted by shingle: (sig, how many of its shingles have one row only). Such a shingle is in one set, of one row."""
+    schema = pa.schema([("sig", pa.int64()), ("n", pa.int64())])
+    last_key = last_sig = None  # the last row, if its shingle may go on
     last_alone = False
 
-    def out(docs):
-        return record(schema, *np.unique(docs, return_counts=True))
+    def out(sigs):
+        return record(schema, *np.unique(sigs, return_counts=True))
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        key, doc = batch.column("shingle").to_numpy(), columns(batch, "doc_id")
-        valid = np.asarray(batch.column("doc_id").is_valid())
+        key, sig = batch.column("shingle").to_numpy(), columns(batch, "sig")
+        valid = np.asarray(batch.column("sig").is_valid())
         same = key[1:] == key[:-1]
         alone = valid.copy()
         alone[1:] &= ~same
@@ -103,13 +103,13 @@ def _lonely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if key[0] == last_key:
                 alone[0] = False
             elif last_alone:
-                yield out(np.array([last_doc]))
-        last_key, last_doc, last_alone = int(key[-1]), int(doc[-1]), bool(alone[-1])
+                yield out(np.array([last_sig]))
+        last_key, last_sig, last_alone = int(key[-1]), int(sig[-1]), bool(alone[-1])
         alone[-1] = False
         if alone.any():
-            yield out(doc[alone])
+            yield out(sig[alone])
     if last_key is not None and last_alone:
-        yield out(np.array([last_doc]))
+        yield out(np.array([last_sig]))
 
 
 MEMBER = "doc_id long, sig long, shingles binary"
@@ -391,11 +391,11 @@ def similar_sets(docs: DataFrame, text: str = "text", size: int = 5, num: int =
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     sets = materialize(docs.mapInArrow(_sets(size), SETS), "sets")
-    watched = docs.mapInArrow(_watched(size), "shingle long, doc_id long")
-    lonely = watched.repartition("shingle").sortWithinPartitions("shingle").mapInArrow(_lonely, "doc_id long, n long").groupBy("doc_id").agg(F.sum("n").alias("lonely"))
-    left = sets.where("doc_id is not null and n_shingles > 0").join(lonely, "doc_id", "left")
+    watched = docs.mapInArrow(_watched(size), "shingle long, sig long")
+    lonely = watched.repartition("shingle").sortWithinPartitions("shingle").mapInArrow(_lonely, "sig long, n long").groupBy("sig").agg(F.sum("n").alias("lonely"))
+    left = sets.where("doc_id is not null and n_shingles > 0").groupBy("sig", "n_shingles").agg(F.min("doc_id").alias("doc_id")).join(lonely, "sig", "left")
     left = left.where(F.coalesce("lonely", F.lit(0)) <= F.col("n_shingles") - F.ceil(F.col("n_shingles") * num / F.lit(den)))
-    reps = materialize(left.groupBy("sig", "n_shingles").agg(F.min("doc_id").alias("doc_id")), "classes")
+    reps = materialize(left.select("sig", "n_shingles", "doc_id"), "classes")
     # most documents have left: a filter of fixed size drops them before their texts are read, and what it lets through in vain goes in the join
     classes = fixed_table(reps.select("doc_id").mapInArrow(_class_bits, TABLE), FILTER_BITS // 8, np.uint8, np.bitwise_or)
     known = docs.where("doc_id is not null")

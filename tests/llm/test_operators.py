@@ -127,6 +127,17 @@ def test_jaccard(spark, docs, empty, size, num, block):
     assert jaccard.similar_sets(empty).count() == 0
 
 
+def test_jaccard_repeated_id(spark):
+    """Shingles of one text aren't counted against another text with the same doc_id."""
+    rng = random.Random(4)
+    prose = lambda n: [f"v{rng.randrange(10**6)}" for _ in range(n)]
+    base = prose(200)
+    near = [*base[:-1], "changed"]
+    rows = [(5, " ".join(base)), (5, " ".join(prose(2000))), (6, " ".join(near)), (7, " ".join(prose(100)))]
+    got = {(r[0], r[1]): r[2] for r in jaccard.similar_sets(spark.createDataFrame(rows, "doc_id long, text string"), size=4, num=85, den=100).collect()}
+    assert got == {(5, 197): 5, (5, 1997): 5, (6, 197): 5, (7, 97): 7}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.sets(st.integers(0, 25), min_size=1, max_size=20), min_size=1, max_size=14))
 def test_trie(sets):
