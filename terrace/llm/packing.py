@@ -18,6 +18,7 @@ from math import erf
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,8 +32,8 @@ LENGTH = 4096
 DIMS, BITS = 4, 12
 #: Words that a worker keeps, in two halves; longer ones aren't kept.
 CACHED_WORDS, CACHED_BYTES = 800_000, 64
-#: Of all hash values this share goes into vectors, the same everywhere: one in eight.
-VECTOR_HASHES = U(1 << 61)
+#: Words up to so many bytes are hashed together, eight bytes at a time; longer ones one by one.
+STEPPED_BYTES = 64
 #: Rows that place the range bounds, about.
 SAMPLE_ROWS = 20_000
 
@@ -165,8 +166,26 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[32, *range(9, 14)]] = True
 
 
+def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the words data[begin:end], over all their bytes; ``data`` has eight bytes after the last one."""
+    size = end - begin
+    h = mix(size.astype(U))
+    eight = np.lib.stride_tricks.sliding_window_view(data, 8)
+    at = np.flatnonzero(size <= STEPPED_BYTES)
+    for done in range(0, STEPPED_BYTES, 8):
+        left = size[at] - done
+        at, left = at[left > 0], left[left > 0]
+        if not len(at):
+            break
+        part = eight[begin[at] + done].view("<u8").ravel() & (U(0xFFFFFFFFFFFFFFFF) >> (U(8) * (8 - np.minimum(left, 8)).astype(U)))
+        h[at] = mix(h[at] * U(0x9E3779B97F4A7C15) ^ part)
+    for i in np.flatnonzero(size > STEPPED_BYTES):
+        h[i] = xxhash.xxh3_64_intdigest(data[begin[i] : end[i]].tobytes())
+    return h
+
+
 def curve_keys(texts: list[bytes | None], dims: int = DIMS, bits: int = BITS) -> np.ndarray:
-    """Hilbert keys of texts, from the distinct words of each (a word is known by its first eight bytes, A-Z in lower case).
+    """Hilbert keys of texts, from all distinct words of each (whole, A-Z in lower case).
 
     A text without words is a point in the middle of every axis."""
     n = len(texts)
@@ -175,13 +194,9 @@ def curve_keys(texts: list[bytes | None], dims: int = DIMS, bits: int = BITS) ->
     begin = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
     if not blank[0]:
         begin = np.append(0, begin)
-    eight = np.lib.stride_tricks.sliding_window_view(data, 8)[begin].copy()
-    eight[np.logical_or.accumulate(_BLANK[eight], axis=1)] = 0
-    h = mix(eight.view("<u8").ravel())
+    h = word_hashes(data, begin, np.flatnonzero(~blank[:-1] & blank[1:]) + 1)
     ends = np.cumsum([len(t or b"") + 1 for t in texts])
     owner = np.searchsorted(ends, begin, "right")
-    some = h < VECTOR_HASHES
-    h, owner = h[some], owner[some]
     order = np.lexsort((h, owner))
     h, owner = h[order], owner[order]
     first = np.ones(len(h), bool)

@@ -257,6 +257,25 @@ def test_hilbert():
     assert (np.abs(np.diff(path, axis=0)).sum(1) == 1).all()
 
 
+def test_curve_keys():
+    """Every distinct whole word counts: in short texts, where words differ late, and long ones. Case, order and repeats don't."""
+    middle = packing.curve_keys([b""])[0]
+    assert all(packing.curve_keys([f"word{i}".encode()])[0] != middle for i in range(200))
+    assert len(set(packing.curve_keys([f"commonstart{i}".encode() for i in range(64)]).tolist())) > 8
+    long = b"x" * 100
+    one, same, other = packing.curve_keys([b"The cat, the  Dog " + long, long + b"\nTHE dog cat,", b"the cat, the dog"])
+    assert one == same != other
+
+
+def test_word_hashes():
+    rng = random.Random(5)
+    made = {"".join(rng.choice("ab") for _ in range(n)) for n in [*range(1, 30), 63, 64, 65, 200] for _ in range(30)}
+    text = " ".join(made)
+    end = np.cumsum([len(x) + 1 for x in made]) - 1
+    h = packing.word_hashes(np.frombuffer((text + " " * 9).encode(), np.uint8), end - [len(x) for x in made], end)
+    assert len(set(h.tolist())) == len(made)
+
+
 def test_quality(spark, docs, empty):
     for r, (doc_id, t, *_rest) in zip(quality.judge(docs).orderBy("doc_id").collect(), sorted(docs.collect(), key=lambda x: -1 if x[0] is None else x[0]), strict=True):
         w = words(t)
