@@ -92,15 +92,17 @@ def _fit_source(rows: pd.DataFrame) -> pd.DataFrame:
     return rows[["source", "size", "take", "passes"]]
 
 
-def mix(docs: DataFrame, text: str = "text", weights: tuple[int, ...] = WEIGHTS, seed: int = SEED) -> DataFrame:
-    """One row per row of ``docs``: doc_id, source, size, source_size, target, copies, taken.
+def mix(docs: DataFrame, text: str = "text", weights: tuple[int, ...] = WEIGHTS, seed: int = SEED, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of ``docs``: doc_id, source, size, source_size, target, copies, taken, and the columns of ``keep``.
 
     Null and empty texts have size 0 and are never taken (copies 0). A null source is one source of its own, last in
     order. Repeated rows are documents of their own; where they tie in everything any of them may be the one taken,
-    which leaves the same rows. Equal inputs and seeds give equal rows. Only doc_id, source and the text are read.
+    which leaves the same rows. Equal inputs and seeds give equal rows. Only doc_id, source, the text and ``keep`` are read;
+    with ``keep``, a hash of its columns breaks ties and stands for a null doc_id in the choice.
     """
-    key = F.xxhash64(F.lit(seed), "doc_id")
-    sized = docs.select("doc_id", "source", F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    tie = [F.xxhash64(*keep)] if keep else []
+    key = F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("long"), *tie) if keep else "doc_id")
+    sized = docs.select("doc_id", "source", F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"), *keep)
     sized = materialize(sized.withColumn("key", key).withColumn("part", F.pmod("key", F.lit(HASH_BUCKETS)).cast("int")), "sizes")
     parts = sized.groupBy("source", "size", "part").agg(F.count("*").alias("n"))
     parts = materialize(parts, "lengths")
@@ -115,12 +117,12 @@ def mix(docs: DataFrame, text: str = "text", weights: tuple[int, ...] = WEIGHTS,
     cuts = cuts.selectExpr("c.source", "c.size", "c.part", "f.passes", "greatest(0, least(c.n, f.take - c.before)) as quota", "c.n")
     cuts = materialize(cuts, "cuts")
     d = sized.alias("d").join(cuts.alias("c"), F.expr("d.source <=> c.source and d.size = c.size and d.part = c.part"), "left")
-    d = d.selectExpr("d.doc_id", "d.source", "d.size", "d.key", "d.part", "coalesce(c.passes, 0) as passes", "coalesce(c.quota, 0) as quota", "c.n")
+    d = d.selectExpr("d.doc_id", "d.source", "d.size", "d.key", "d.part", "coalesce(c.passes, 0) as passes", "coalesce(c.quota, 0) as quota", "c.n", *[f"d.{k}" for k in keep])
     whole = d.where("quota = 0 or quota = n").withColumn("extra", (F.col("quota") > 0).cast("long"))
-    rank = F.row_number().over(W.partitionBy("source", "size", "part").orderBy("key", "doc_id"))
+    rank = F.row_number().over(W.partitionBy("source", "size", "part").orderBy("key", "doc_id", *tie))
     edge = d.where("quota > 0 and quota < n").withColumn("extra", (rank <= F.col("quota")).cast("long"))
     out = whole.unionByName(edge).withColumn("copies", F.col("passes") + F.col("extra")).alias("d")
-    return out.join(targets.alias("t"), F.expr("d.source <=> t.source"), "left").selectExpr("d.doc_id", "d.source", "d.size", "t.source_size", "t.target", "d.copies", "d.copies * d.size as taken")
+    return out.join(targets.alias("t"), F.expr("d.source <=> t.source"), "left").selectExpr("d.doc_id", "d.source", "d.size", "t.source_size", "t.target", "d.copies", "d.copies * d.size as taken", *[f"d.{k}" for k in keep])
 
 
 def op5_mixing_weights(spark: SparkSession, sf_dir: str) -> DataFrame:

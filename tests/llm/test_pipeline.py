@@ -1,7 +1,11 @@
 """Each stage of the pipeline on what the stage before it kept, against brute force."""
 
 
+import random
+from collections import Counter
+
 import corpus_pipeline
+from terrace.llm import mixing
 from test_operators import components_by_force, covered_by_repeats, words
 
 SF = "/root/testdata/sf0.001"
@@ -25,3 +29,24 @@ def test_stages(spark, tmp_path):
     assert {r[0]: words(r[1]) for r in kept[2]} == {k: w for k, w in want.items() if w}
     assert {r[0] for r in kept[3]} <= {r[0] for r in kept[2]}
     assert sum(r[2] for r in kept[4]) >= len(kept[3])
+
+
+def test_null_and_repeated_ids(spark):
+    """Rows without an id, and rows that share one, go through the stages that look for copies and that mix."""
+    rng = random.Random(6)
+    prose = lambda n: [f"v{rng.randrange(10**6)}" for _ in range(n)]
+    near = lambda w: [*w[:-1], "changed"]
+    a, b, c, d, e = (prose(n) for n in (120, 130, 140, 150, 160))
+    rows = [(None, a, "x"), (None, near(a), "x"), (None, b, "y"), (1, c, "x"), (None, near(c), "x"), (9, d, "x"), (9, e, "y"), (9, e, "y"), (8, near(d), "y")]
+    docs = spark.createDataFrame([(i, " ".join(w), "en", s, 7) for i, w, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect())
+    first = [x for x in kept if x[0] is None and x[1] in {" ".join(a), " ".join(near(a))}]
+    assert len(first) == 1
+    assert kept == Counter([*first, (None, " ".join(b)), (1, " ".join(c)), (9, " ".join(e)), (8, " ".join(near(d)))])
+    per_source = lambda rows: {s: sum(len(words(r["text"])) for r in rows if r["source"] == s) for s in ("x", "y")}
+    taken = {r["source"]: r["n"] for r in mixing.mix(docs).groupBy("source").sum("taken").withColumnRenamed("sum(taken)", "n").collect()}
+    assert per_source(corpus_pipeline.mixture(spark, docs, SF).collect()) == taken
+    one = docs.selectExpr("doc_id", "text", "lang", "'x' as source", "n_chars")  # the target of an only source is all of it
+    assert Counter(map(tuple, corpus_pipeline.mixture(spark, one, SF).collect())) == Counter(map(tuple, one.collect()))
+    none = docs.where("false")
+    assert corpus_pipeline.near_duplicates(spark, none, SF).count() == 0 and corpus_pipeline.mixture(spark, none, SF).count() == 0
