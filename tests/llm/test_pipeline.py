@@ -4,8 +4,12 @@
 import random
 from collections import Counter
 
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
 import corpus_pipeline
-from terrace.llm import mixing
+from terrace.llm import mixing, packing, quality
 from test_operators import components_by_force, covered_by_repeats, words
 
 SF = "/root/testdata/sf0.001"
@@ -50,3 +54,24 @@ def test_null_and_repeated_ids(spark):
     assert Counter(map(tuple, corpus_pipeline.mixture(spark, one, SF).collect())) == Counter(map(tuple, one.collect()))
     none = docs.where("false")
     assert corpus_pipeline.near_duplicates(spark, none, SF).count() == 0 and corpus_pipeline.mixture(spark, none, SF).count() == 0
+
+
+def test_stages_lose_nothing(spark):
+    """Quality's rows and texts, mixing's words per source, and packing's ids, on the stage's own input."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    want = Counter((r["doc_id"], r["clean_text"]) for r in quality.judge(docs).collect() if r["kept"])
+    assert want == Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.quality(spark, docs, SF).collect())
+    target = {r["source"]: r["target"] for r in mixing.mix(docs).collect()}
+    rows, mixed = {tuple(r) for r in docs.select(*corpus_pipeline.COLUMNS).collect()}, corpus_pipeline.mixture(spark, docs, SF).collect()
+    assert {tuple(r) for r in mixed} <= rows
+    for source, n in target.items():  # no further copy of the source's shortest document fits, unless all are taken thrice
+        sizes = [x for r in rows if r[3] == source and (x := len(words(r[1])))]
+        missing = n - sum(len(words(r["text"])) for r in mixed if r["source"] == source)
+        assert -0.5 <= missing and (missing < min(sizes) + 0.5 or missing == n - 3 * sum(sizes)), (source, n, missing, min(sizes))
+    model = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
+    model.encode_special_tokens = True
+    pieces = {}
+    for r in corpus_pipeline.packing(spark, docs, SF).collect():
+        pieces.setdefault(r["doc_id"], []).append((r["start"], np.frombuffer(r["ids"], "<u4").tolist()))
+    got = {k: [x for _, ids in sorted(p) for x in ids] for k, p in pieces.items()}
+    assert got == {r["doc_id"]: [*model.encode(r["text"] or "", add_special_tokens=False).ids, 2] for r in docs.collect()}
