@@ -1,15 +1,16 @@
 """Operator 1, toxicity by compression distance.
 
-Two zstandard dictionaries are fitted on labelled text: one holds the windows that toxic texts have significantly
-more often than ordinary ones, the other running text of ordinary ones. A window (one word, with its
-spaces) is compressed under both; how much shorter it gets under the toxic dictionary, given its length, has a log
-likelihood ratio counted on other labelled documents. The ratios of a document's strongest windows add up, and a logistic
-curve fitted on those documents turns the sum into a score: the threshold is calibrated, not set.
+Two zstandard dictionaries are made from windows of labelled texts: one of ordinary texts, as they are and then what zstandard's
+trainer puts together from them; the other holds the same and goes on with what is trained on toxic texts, so that what both kinds of text share compresses alike under both. Of the toxic texts' windows
+those train it that have a word which toxic texts hold significantly more often: few windows of a toxic text are toxic.
+A window (four words in a row, one begins at every second word) is compressed under both; how much shorter it gets under the toxic
+dictionary, given its length, has a log likelihood ratio counted on other labelled documents. The ratios of the windows that share a
+word are summed, the largest sum of a document is its evidence, and a logistic curve fitted on those other documents turns it
+into a score.
 """
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -24,25 +25,29 @@ from terrace.llm.common import chunks, materialize, record, table
 
 #: Labelled documents that a model is fitted on, at most: two thirds for the dictionaries, a third to calibrate.
 MOST_LABELLED = 12_000
-#: Windows of the toxic dictionary, at most. Each has a G-squared of MARGIN and twice the logarithm
-#: of the number of windows tried at least: chance alone would let less than one through.
-MOST_WINDOWS, MARGIN = 4000, 4.0
-#: Size of the ordinary dictionary and how many texts it may come from.
-ORDINARY_BYTES, ORDINARY_TEXTS = 100_000, 400
-LEVEL = 9
-STRONGEST = 3
+#: Windows that train each dictionary, at most (those with the least hashes), and the bytes of each.
+MOST_WINDOWS, ORDINARY_BYTES, TOXIC_BYTES = 30_000, 400_000, 3000
+#: A word marks a window if its G-squared is this much and twice the logarithm of the number of words tried: chance alone would let less than one through.
+MARGIN = 4.0
+WINDOW, STRIDE = 4, 2
+#: How zstandard searches for matches: of five bytes or more, a few places a string. The tables are as large as the dictionaries need.
+SEARCH = {"window_log": 18, "hash_log": 18, "chain_log": 18, "search_log": 4, "min_match": 5, "strategy": zstandard.STRATEGY_LAZY}
+#: Length of the segments that zstandard's trainer puts together, and of the strings that it counts.
+SEGMENT, STRING = 32, 6
 THRESHOLD = 0.7
-CACHED_WINDOWS = 250_000
-#: zstandard doesn't look for matches in the last bytes of its input or dictionary; these fill them.
+#: zstandard doesn't look for matches in the last bytes of its input or dictionary; these fill them. A window is compressed with as many bytes of what follows.
 TAIL, FILL = bytes(range(1, 13)), b"~" * 16
-LONGEST, SPREAD = 24, (-8, 24)
+#: Lengths count in steps of eight bytes; lengths and savings are cut to these ranges.
+STEP, LONGEST, SPREAD = 8, 10, (-8, 24)
+#: Windows that are compressed at a time.
+AT_A_TIME = 50_000
 
 
 @dataclass
 class Model:
     toxic: bytes
     ordinary: bytes
-    ratios: dict[tuple[int, int], float] = field(default_factory=dict)
+    ratios: np.ndarray = field(default_factory=lambda: np.zeros((LONGEST + 1, SPREAD[1] - SPREAD[0] + 1)))
     slope: float = 1.0
     offset: float = 0.0
 
@@ -50,53 +55,66 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * evidence + self.offset, -40, 40)))
 
 
-class Lengths(dict):
-    """window -> (its length, bytes saved under the toxic dictionary), both cut to a range; bounded."""
+def words(text: str | bytes | None) -> list[bytes]:
+    if isinstance(text, bytes):
+        text = text.decode("utf-8", "replace")
+    return [] if text is None else text.lower().encode("utf-8", "replace").split()
 
-    def __init__(self, model: Model):
-        super().__init__()
-        self.under = []
-        for content in (model.ordinary, model.toxic):
-            kept = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            kept.precompute_compress(level=LEVEL)
-            self.under.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=kept, write_content_size=False, write_checksum=False, write_dict_id=False))
 
-    def measure(self, window: bytes) -> tuple[int, int]:
-        text = b" " + window + b" "
-        ordinary, toxic = (len(x.compress(text + TAIL)) for x in self.under)
-        return min(len(text), LONGEST), max(SPREAD[0], min(SPREAD[1], ordinary - toxic))
+class Windows:
+    """Windows of some texts: ``joined`` has their words, window i is joined[start[i]:start[i] + size[i]], of text owner[i]."""
 
-    def __missing__(self, window: bytes) -> tuple[int, int]:
-        if len(self) >= CACHED_WINDOWS:
-            self.clear()
-        value = self[window] = self.measure(window)
-        return value
+    def __init__(self, texts: list[str | bytes | None]):
+        lists = [words(t) for t in texts]
+        self.joined = b"".join(b" " + b" ".join(x) + b" " + TAIL for x in lists)
+        blanks = np.flatnonzero(np.frombuffer(self.joined, np.uint8) == 32)
+        n = np.array([len(x) for x in lists], np.int64)
+        held = np.where(n, n + 1, 2)  # an empty text has two blanks and no word
+        count = np.where(n, np.maximum(n - WINDOW + STRIDE - 1, 0) // STRIDE + 1, 0)  # the last may have fewer words
+        self.owner = np.repeat(np.arange(len(lists)), count)
+        first = np.cumsum(held) - held
+        at = STRIDE * (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
+        self.start = blanks[first[self.owner] + at]
+        self.size = blanks[first[self.owner] + np.minimum(at + WINDOW, n[self.owner])] + 1 - self.start
 
 
-class Ratios(dict):
-    """window -> log likelihood ratio."""
+def compressor(content: bytes) -> zstandard.ZstdCompressor:
+    kept = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    how = zstandard.ZstdCompressionParameters(**SEARCH, write_content_size=False, write_checksum=False, write_dict_id=False)
+    kept.precompute_compress(compression_params=how)
+    return zstandard.ZstdCompressor(dict_data=kept, compression_params=how)
 
-    def __init__(self, model: Model):
-        super().__init__()
-        self.lengths, self.ratios = Lengths(model), model.ratios
 
-    def __missing__(self, window: bytes) -> float:
-        if len(self) >= CACHED_WINDOWS:
-            self.clear()
-        value = self[window] = self.ratios.get(self.lengths.measure(window), 0.0)
-        return value
+class Savings:
+    """Cells (length, bytes saved under the toxic dictionary) of windows."""
 
-
-def windows(text: str | bytes | None) -> list[bytes]:
-    if isinstance(text, bytes):
-        text = text.decode("utf-8", "replace")
-    return [] if text is None else text.lower().encode("utf-8", "replace").split()
-
-
-def evidence(ratios: Ratios, text: str | bytes | None) -> float:
-    """Sum of the strongest windows' ratios; 0 without words."""
-    best = heapq.nlargest(STRONGEST, map(ratios.__getitem__, windows(text)))
-    return float(sum(best))
+    def __init__(self, model: Model):
+        self.under = [compressor(model.ordinary), compressor(model.toxic)]
+
+    def __call__(self, w: Windows) -> tuple[np.ndarray, np.ndarray]:
+        saved = np.empty(len(w.start), np.int64)
+        for a in range(0, len(saved), AT_A_TIME):
+            start, size = w.start[a : a + AT_A_TIME], w.size[a : a + AT_A_TIME] + len(TAIL)
+            base = int(start[0])
+            pieces = zstandard.BufferWithSegments(w.joined[base : int(start[-1] + size[-1])], np.stack([start - base, size], 1).astype(np.uint64).tobytes())
+            ordinary, toxic = (np.fromiter(map(len, x.multi_compress_to_buffer(pieces, threads=1)), np.int64, len(start)) for x in self.under)
+            saved[a : a + AT_A_TIME] = ordinary - toxic
+        return np.minimum(w.size // STEP, LONGEST), np.clip(saved, *SPREAD) - SPREAD[0]
+
+
+def evidence(model: Model, savings: Savings, texts: list[str | bytes | None]) -> np.ndarray:
+    """The largest sum of ratios of windows in a row that share a word, per text; 0 without words."""
+    w = Windows(texts)
+    out = np.zeros(len(texts))
+    if not len(w.start):
+        return out
+    total = np.concatenate([[0.0], np.cumsum(model.ratios[savings(w)])])
+    begin = np.searchsorted(w.owner, w.owner)  # of the text's windows
+    here = np.arange(len(w.owner))
+    sums = total[here + 1] - total[np.maximum(here + 1 - WINDOW // STRIDE, begin)]
+    first = np.flatnonzero(np.diff(w.owner, prepend=-1))
+    out[w.owner[first]] = np.maximum.reduceat(sums, first)
+    return out
 
 
 def in_fold(doc_id) -> F.Column:
@@ -104,18 +122,17 @@ def in_fold(doc_id) -> F.Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 != 1
 
 
-def _gained(model: Model):
+def _counted(model: Model):
     schema = pa.schema([("toxic", pa.int64()), ("length", pa.int64()), ("saved", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lengths, counts = Lengths(model), {}
+        savings, counts = Savings(model), np.zeros((2, *model.ratios.shape), np.int64)
         for batch in batches:
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-                for w in windows(text):
-                    key = (toxic, *lengths[w])
-                    counts[key] = counts.get(key, 0) + 1
-        if counts:
-            yield record(schema, *[list(x) for x in zip(*[(*k, n) for k, n in counts.items()], strict=True)])
+            for first, texts in chunks(batch):
+                w = Windows(texts)
+                toxic = batch.column("toxic").slice(first, len(texts)).to_numpy()[w.owner]
+                np.add.at(counts, (toxic, *savings(w)), 1)
+        yield record(schema, *np.nonzero(counts), counts[counts > 0])
 
     return run
 
@@ -124,28 +141,57 @@ def _evidence(model: Model):
     schema = pa.schema([("toxic", pa.int64()), ("evidence", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ratios = Ratios(model)
+        savings = Savings(model)
         for batch in batches:
-            yield record(schema, batch.column("toxic"), [evidence(ratios, t) for t in batch.column("text").to_pylist()])
+            for first, texts in chunks(batch):
+                yield record(schema, batch.column("toxic").slice(first, len(texts)), evidence(model, savings, texts))
 
     return run
 
 
-def log_ratios(counts: list[tuple[int, int, int, int]]) -> dict[tuple[int, int], float]:
-    """(length, saved) -> log likelihood ratio, from (toxic, length, saved, n); shrunk towards that of ``saved`` alone."""
-    n, by_saved, by_both = [0, 0], {}, {}
-    for toxic, length, saved, k in counts:
-        n[toxic] += k
-        by_saved.setdefault(saved, [0, 0])[toxic] += k
-        by_both.setdefault((length, saved), [0, 0])[toxic] += k
-    if not all(n):
-        return {}
-    out, weight, share = {}, 5, n[0] / n[1]
-    for (length, saved), (ordinary, toxic) in by_both.items():
-        base = ((by_saved[saved][1] + 0.5) / (n[1] + 1)) / ((by_saved[saved][0] + 0.5) / (n[0] + 1))
-        a, b = toxic + weight * base / (base + share), ordinary + weight * share / (base + share)
-        out[length, saved] = math.log((a / n[1]) / (b / n[0]))
-    return out
+def _samples(marks: set[bytes] | None):
+    """Windows to train on: those with a marked word, or all that don't overlap."""
+    schema = pa.schema([("window", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, texts in chunks(batch):
+                w = Windows(texts)
+                step = WINDOW // STRIDE if marks is None else 1
+                some = [w.joined[a:b] for a, b in zip(w.start[::step].tolist(), (w.start + w.size)[::step].tolist(), strict=True)]
+                if marks is not None:
+                    some = [x for x in some if not marks.isdisjoint(x.split())]
+                if some:
+                    yield record(schema, some)
+
+    return run
+
+
+def trained(samples: list[bytes], size: int) -> bytes:
+    """Content of a dictionary of up to ``size`` bytes; the samples themselves where they are too few to train on."""
+    if sum(map(len, samples)) > 2 * size:
+        try:
+            return zstandard.train_dictionary(size, samples, k=SEGMENT, d=STRING).as_bytes()
+        except zstandard.ZstdError:
+            pass
+    return b"".join(samples)[:size]
+
+
+def log_ratios(counts: np.ndarray) -> np.ndarray:
+    """counts[toxic, length, saved] to log likelihood ratios, shrunk towards that of ``saved`` alone; a saving never seen is like the nearest smaller one in size."""
+    n = counts.sum((1, 2))
+    if not n.all():
+        return np.zeros(counts.shape[1:])
+    by_saved = counts.sum(1) + 0.5
+    base, seen = (by_saved[1] / (n[1] + 1)) / (by_saved[0] / (n[0] + 1)), counts.sum((0, 1)) > 0
+    seen[-SPREAD[0]] = True  # nothing saved
+    for i in range(-SPREAD[0] + 1, len(base)):
+        base[i] = base[i] if seen[i] else base[i - 1]
+    for i in range(-SPREAD[0] - 1, -1, -1):
+        base[i] = base[i] if seen[i] else base[i + 1]
+    weight, share = 5, n[0] / n[1]
+    a, b = counts[1] + weight * base / (base + share), counts[0] + weight * share / (base + share)
+    return np.log((a / n[1]) / (b / n[0]))
 
 
 def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -165,8 +211,25 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0] / scale), float(w[1] - w[0] * center / scale)
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Model:
-    """Fit on (doc_id, text) and (doc_id, toxic): at most ``most`` labelled documents, those with the least hashes of doc_id."""
+def marking_words(texts: DataFrame, n_toxic: int, n_ordinary: int) -> list[str]:
+    """Words that significantly more of the toxic texts hold than of the ordinary ones (text, toxic)."""
+    held = F.array_distinct(F.split(F.trim(F.regexp_replace(F.lower("text"), r"[\x20\x09-\x0D]+", " ")), " "))
+    each = texts.select("toxic", F.explode(held).alias("w")).where("w <> ''").groupBy("w").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
+    each = materialize(each, "words")
+    a, b, n1, n0 = F.col("a"), F.col("b"), F.lit(n_toxic), F.lit(n_ordinary)
+    p = (a + b) / (n1 + n0)
+    part = lambda seen, expected: F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+    g = 2 * (part(a, n1 * p) + part(b, n0 * p) + part(n1 - a, n1 * (1 - p)) + part(n0 - b, n0 * (1 - p)))
+    least = MARGIN + 2 * math.log(each.count() + 1)
+    return [r["w"] for r in each.where((a >= 2) & (a / n1 > b / n0) & (g >= least)).select("w").collect()]
+
+
+def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, most_windows: int = MOST_WINDOWS, ordinary_bytes: int = ORDINARY_BYTES, toxic_bytes: int = TOXIC_BYTES) -> Model:
+    """Fit on (doc_id, text) and (doc_id, toxic): at most ``most`` labelled documents, those with the least hashes of doc_id, and
+    at most ``most_windows`` of their windows for each dictionary (those with the least hashes), of ``ordinary_bytes`` and ``toxic_bytes``.
+
+    A document with several labels is toxic if one says so. Null texts, labels and ids take no part; copies count once. Without
+    toxic documents every score is 0, without ordinary ones 1/2."""
     order = F.xxhash64("doc_id")
     chosen = labels.where(in_fold(F.col("doc_id")) & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col("toxic").cast("long").alias("toxic"))
     chosen = chosen.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(order, "doc_id").limit(most)
@@ -177,23 +240,17 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Model:
     fold, rest = sample.where("part > 0"), sample.where("part = 0")
     n = {r["toxic"]: r["n"] for r in fold.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not n.get(0) or not n.get(1):
-        return Model(TAIL, TAIL, {}, 1.0, -1e3 if not n.get(1) else 0.0)
-    words = F.array_distinct(F.split(F.trim(F.regexp_replace(F.lower("text"), r"[\x20\x09-\x0D]+", " ")), " "))
-    each = fold.select("toxic", F.explode(words).alias("w")).where("w <> ''").groupBy("w").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
-    each = materialize(each, "windows")
-    a, b, n1, n0 = F.col("a"), F.col("b"), F.lit(n[1]), F.lit(n[0])
-    p = (a + b) / (n1 + n0)
-    part = lambda seen, expected: F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
-    g = 2 * (part(a, n1 * p) + part(b, n0 * p) + part(n1 - a, n1 * (1 - p)) + part(n0 - b, n0 * (1 - p)))
-    least = MARGIN + 2 * math.log(each.count() + 1)
-    toxic = each.where((a >= 2) & (a / n1 > b / n0)).withColumn("g", g).where(F.col("g") >= least).orderBy(F.desc("g"), "w").limit(MOST_WINDOWS).select("w").collect()
-    plain = F.split(F.trim(F.regexp_replace(F.lower("text"), r"[\x20\x09-\x0D]+", " ")), " ")
-    running = fold.where("toxic = 0").orderBy("copy").limit(ORDINARY_TEXTS).select("copy", F.posexplode(plain).alias("pos", "w"))
-    ordinary = running.where("length(w) <= 64").orderBy("copy", "pos").limit(ORDINARY_BYTES // 4).select("w").collect()
-    common = " ".join(r["w"] for r in ordinary).encode()[:ORDINARY_BYTES].decode("utf-8", "ignore").split()
-    model = Model(*(TAIL + (" " + " ".join(reversed(x)) + " ").encode() + FILL for x in ([r["w"] for r in toxic], common)))
-    counts = rest.mapInArrow(_gained(model), "toxic long, length long, saved long, n long").groupBy("toxic", "length", "saved").agg(F.sum("n").alias("n"))
-    model.ratios = log_ratios([tuple(r) for r in counts.collect()])  # a few thousand cells at most
+        return Model(TAIL, TAIL, slope=1.0, offset=-1e3 if not n.get(1) else 0.0)
+    marks = {w.encode("utf-8", "replace") for w in marking_words(fold, n[1], n[0])}
+    windows = lambda toxic, marks: [bytes(r["window"]) for r in fold.where(F.col("toxic") == toxic).select("text").mapInArrow(_samples(marks), "window binary").orderBy(F.xxhash64("window"), "window").limit(most_windows).collect()]
+    plain = windows(0, None)
+    ordinary = trained(plain, ordinary_bytes // 16)
+    ordinary = b"".join(plain)[: ordinary_bytes - len(ordinary)] + ordinary
+    model = Model(TAIL + ordinary + trained(windows(1, marks), toxic_bytes) + FILL, TAIL + ordinary + FILL)
+    counts = np.zeros((2, *model.ratios.shape), np.int64)
+    for r in rest.mapInArrow(_counted(model), "toxic long, length long, saved long, n long").groupBy("toxic", "length", "saved").agg(F.sum("n").alias("n")).collect():  # as many cells as the table has, at most
+        counts[r["toxic"], r["length"], r["saved"]] = r["n"]
+    model.ratios = log_ratios(counts)
     seen = rest.mapInArrow(_evidence(model), "toxic long, evidence double").toPandas()  # a third of ``most`` rows
     model.slope, model.offset = logistic(seen["evidence"].to_numpy(float), seen["toxic"].to_numpy(float))
     return model
@@ -209,10 +266,10 @@ def score(docs: DataFrame, model: Model, text: str = "text", threshold: float =
     held = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of bounded size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ratios = Ratios(held.value)
+        savings = Savings(held.value)
         for batch in batches:
             for first, texts in chunks(batch):
-                yield record(schema, batch.column("doc_id").slice(first, len(texts)), held.value.score(np.array([evidence(ratios, t) for t in texts])))
+                yield record(schema, batch.column("doc_id").slice(first, len(texts)), held.value.score(evidence(held.value, savings, texts)))
 
     scored = docs.select(F.col("doc_id").cast("long"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id long, score double")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

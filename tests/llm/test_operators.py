@@ -338,6 +338,33 @@ def test_toxicity(spark):
     assert toxicity.score(docs, bare).where("predicted = 1").count() == 0
 
 
+def test_toxic_windows():
+    """Savings and evidence against one compression at a time, text by text."""
+    rng = random.Random(8)
+    prose = lambda n: " ".join(f"w{rng.randrange(300)}" for _ in range(n))
+    ordinary = " ".join(prose(20) for _ in range(50)).encode()
+    model = toxicity.Model(ordinary + b" so very vile a thing " + toxicity.FILL, ordinary + toxicity.FILL)
+    model.ratios = np.random.default_rng(1).normal(size=model.ratios.shape)
+    texts = [None, "", "Vile", "one  two", prose(9), None, prose(40) + " so very VILE a thing " + prose(9), "x" * 5000, prose(700)]
+    got = toxicity.evidence(model, toxicity.Savings(model), texts)
+    for t, e in zip(texts, got, strict=True):
+        w = [x.encode() for x in words((t or "").lower())]
+        if not w:
+            assert e == 0
+            continue
+        text, ratios = b" " + b" ".join(w) + b" " + toxicity.TAIL, []
+        for i in range(0, max(1, len(w) - 2), 2):
+            start = len(b"".join(x + b" " for x in w[:i]))
+            size = len(b"".join(x + b" " for x in w[i : i + 4])) + 1
+            by = []
+            for content in (model.ordinary, model.toxic):
+                by.append(len(toxicity.compressor(content).compress(text[start : start + size + 12])))
+            ratios.append(model.ratios[min(size // 8, 10), max(-8, min(24, by[0] - by[1])) + 8])
+        assert e == pytest.approx(max(sum(ratios[max(0, i - 1) : i + 1]) for i in range(len(ratios))))
+    again = [toxicity.evidence(model, toxicity.Savings(model), [t])[0] for t in texts]
+    assert again == pytest.approx(got.tolist())
+
+
 def test_chat(spark):
     rows = [
         (1, 0, "user", "How do I sort?\nThanks"),
