@@ -4,9 +4,9 @@ Two zstandard dictionaries are made from windows of labelled texts: one of ordin
 trainer puts together from them; the other holds the same and goes on with what is trained on toxic texts, so that what both kinds of text share compresses alike under both. Of the toxic texts' windows
 those train it that have a word which toxic texts hold significantly more often: few windows of a toxic text are toxic.
 A window (four words in a row, one begins at every second word) is compressed under both; how much shorter it gets under the toxic
-dictionary, given its length, has a log likelihood ratio counted on other labelled documents. The ratios of the windows that share a
-word are summed, the largest sum of a document is its evidence, and a logistic curve fitted on those other documents turns it
-into a score.
+dictionary, given its length, has a log likelihood ratio counted on other labelled documents. The ratios of windows that share
+words are summed. A document's evidence is its largest sums, of different places, and the logarithm of its length, as long texts
+have larger ones by chance; a logistic curve fitted on those other documents turns it into a score.
 """
 
 from __future__ import annotations
@@ -39,6 +39,8 @@ THRESHOLD = 0.7
 TAIL, FILL = bytes(range(1, 13)), b"~" * 16
 #: Lengths count in steps of eight bytes; lengths and savings are cut to these ranges.
 STEP, LONGEST, SPREAD = 8, 10, (-8, 24)
+#: Places of a document whose sums count.
+PLACES = 3
 #: Windows that are compressed at a time.
 AT_A_TIME = 50_000
 
@@ -48,11 +50,11 @@ class Model:
     toxic: bytes
     ordinary: bytes
     ratios: np.ndarray = field(default_factory=lambda: np.zeros((LONGEST + 1, SPREAD[1] - SPREAD[0] + 1)))
-    slope: float = 1.0
+    slopes: np.ndarray = field(default_factory=lambda: np.zeros(PLACES + 1))
     offset: float = 0.0
 
     def score(self, evidence: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * evidence + self.offset, -40, 40)))
+        return 1 / (1 + np.exp(-np.clip(evidence @ self.slopes + self.offset, -40, 40)))
 
 
 def words(text: str | bytes | None) -> list[bytes]:
@@ -103,17 +105,25 @@ class Savings:
 
 
 def evidence(model: Model, savings: Savings, texts: list[str | bytes | None]) -> np.ndarray:
-    """The largest sum of ratios of windows in a row that share a word, per text; 0 without words."""
+    """For each text the PLACES largest sums of ratios of windows that share words, of windows that don't overlap (0 where there are
+    fewer), and the logarithm of the number of its windows."""
     w = Windows(texts)
-    out = np.zeros(len(texts))
+    out = np.zeros((len(texts), PLACES + 1))
     if not len(w.start):
         return out
     total = np.concatenate([[0.0], np.cumsum(model.ratios[savings(w)])])
-    begin = np.searchsorted(w.owner, w.owner)  # of the text's windows
-    here = np.arange(len(w.owner))
-    sums = total[here + 1] - total[np.maximum(here + 1 - WINDOW // STRIDE, begin)]
+    here, reach = np.arange(len(w.owner)), WINDOW // STRIDE
+    sums = total[here + 1] - total[np.maximum(here + 1 - reach, np.searchsorted(w.owner, w.owner))]
     first = np.flatnonzero(np.diff(w.owner, prepend=-1))
-    out[w.owner[first]] = np.maximum.reduceat(sums, first)
+    for text, a, b in zip(w.owner[first].tolist(), first.tolist(), np.append(first[1:], len(sums)).tolist(), strict=True):
+        mine = sums[a:b]
+        for k in range(PLACES):
+            i = int(mine.argmax())
+            if mine[i] == -np.inf:
+                break
+            out[text, k] = mine[i]
+            mine[max(0, i - 2 * reach + 1) : i + 2 * reach] = -np.inf
+        out[text, PLACES] = math.log(1 + b - a)
     return out
 
 
@@ -138,13 +148,13 @@ def _counted(model: Model):
 
 
 def _evidence(model: Model):
-    schema = pa.schema([("toxic", pa.int64()), ("evidence", pa.float64())])
+    schema = pa.schema([("toxic", pa.int64()), ("evidence", pa.list_(pa.float64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         savings = Savings(model)
         for batch in batches:
             for first, texts in chunks(batch):
-                yield record(schema, batch.column("toxic").slice(first, len(texts)), evidence(model, savings, texts))
+                yield record(schema, batch.column("toxic").slice(first, len(texts)), list(evidence(model, savings, texts)))
 
     return run
 
@@ -194,21 +204,22 @@ def log_ratios(counts: np.ndarray) -> np.ndarray:
     return np.log((a / n[1]) / (b / n[0]))
 
 
-def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a regularised logistic curve, by Newton's steps."""
+def logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """Slopes and offset of a regularised logistic curve over the columns of ``x``, by Newton's steps."""
+    none = np.zeros(x.shape[1])
     if not len(x) or y.min() == y.max():
-        return 1.0, -1e3 if not len(x) or not y.max() else 0.0
-    center, scale = x.mean(), x.std() or 1.0
-    a = np.stack([(x - center) / scale, np.ones(len(x))], 1)
-    w = np.zeros(2)
+        return none, -1e3 if not len(x) or not y.max() else 0.0
+    center, scale = x.mean(0), np.where(x.std(0) > 0, x.std(0), 1.0)
+    a = np.concatenate([(x - center) / scale, np.ones((len(x), 1))], 1)
+    w = np.zeros(a.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
         gradient = a.T @ (p - y) + 0.01 * w
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + 0.01 * np.eye(2), gradient)
+        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + 0.01 * np.eye(len(w)), gradient)
         w -= step
         if np.abs(step).max() < 1e-8:
             break
-    return float(w[0] / scale), float(w[1] - w[0] * center / scale)
+    return w[:-1] / scale, float(w[-1] - (w[:-1] * center / scale).sum())
 
 
 def marking_words(texts: DataFrame, n_toxic: int, n_ordinary: int) -> list[str]:
@@ -240,7 +251,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, most_wind
     fold, rest = sample.where("part > 0"), sample.where("part = 0")
     n = {r["toxic"]: r["n"] for r in fold.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not n.get(0) or not n.get(1):
-        return Model(TAIL, TAIL, slope=1.0, offset=-1e3 if not n.get(1) else 0.0)
+        return Model(TAIL, TAIL, offset=-1e3 if not n.get(1) else 0.0)
     marks = {w.encode("utf-8", "replace") for w in marking_words(fold, n[1], n[0])}
     windows = lambda toxic, marks: [bytes(r["window"]) for r in fold.where(F.col("toxic") == toxic).select("text").mapInArrow(_samples(marks), "window binary").orderBy(F.xxhash64("window"), "window").limit(most_windows).collect()]
     plain = windows(0, None)
@@ -251,8 +262,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, most_wind
     for r in rest.mapInArrow(_counted(model), "toxic long, length long, saved long, n long").groupBy("toxic", "length", "saved").agg(F.sum("n").alias("n")).collect():  # as many cells as the table has, at most
         counts[r["toxic"], r["length"], r["saved"]] = r["n"]
     model.ratios = log_ratios(counts)
-    seen = rest.mapInArrow(_evidence(model), "toxic long, evidence double").toPandas()  # a third of ``most`` rows
-    model.slope, model.offset = logistic(seen["evidence"].to_numpy(float), seen["toxic"].to_numpy(float))
+    seen = rest.mapInArrow(_evidence(model), "toxic long, evidence array<double>").collect()  # a third of ``most`` rows
+    model.slopes, model.offset = logistic(np.array([r["evidence"] for r in seen]).reshape(-1, PLACES + 1), np.array([r["toxic"] for r in seen], float))
     return model
 
 

@@ -350,7 +350,7 @@ def test_toxic_windows():
     for t, e in zip(texts, got, strict=True):
         w = [x.encode() for x in words((t or "").lower())]
         if not w:
-            assert e == 0
+            assert not e.any()
             continue
         text, ratios = b" " + b" ".join(w) + b" " + toxicity.TAIL, []
         for i in range(0, max(1, len(w) - 2), 2):
@@ -360,9 +360,14 @@ def test_toxic_windows():
             for content in (model.ordinary, model.toxic):
                 by.append(len(toxicity.compressor(content).compress(text[start : start + size + 12])))
             ratios.append(model.ratios[min(size // 8, 10), max(-8, min(24, by[0] - by[1])) + 8])
-        assert e == pytest.approx(max(sum(ratios[max(0, i - 1) : i + 1]) for i in range(len(ratios))))
-    again = [toxicity.evidence(model, toxicity.Savings(model), [t])[0] for t in texts]
-    assert again == pytest.approx(got.tolist())
+        left, want = {i: sum(ratios[max(0, i - 1) : i + 1]) for i in range(len(ratios))}, []
+        while left and len(want) < 3:
+            best = max(left, key=left.get)
+            want.append(left[best])
+            left = {i: x for i, x in left.items() if abs(i - best) > 3}
+        assert e.tolist() == pytest.approx([*want, *[0] * (3 - len(want)), np.log(1 + len(ratios))])
+    again = [toxicity.evidence(model, toxicity.Savings(model), [t])[0].tolist() for t in texts]
+    assert np.allclose(again, got)
 
 
 def test_chat(spark):
