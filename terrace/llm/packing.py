@@ -51,6 +51,7 @@ KEPT_MARKS = 5000
 class Encoder:
     """Token ids of whole texts, put together from those of their words.
 
+    Strings of special tokens in a text are what the tokenizer's file makes of them: their ids. They hold no white space.
     The tokenizer drops white space before it splits, lower-cases and normalises, and none of its steps looks across
     a word end, so the ids of a text are those of its words in order. Characters that only Unicode counts as white
     space stay inside a word, which is encoded whole. The letters and the marks of a plain word (letters in any case, then marks)
@@ -61,7 +62,6 @@ class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True  # their strings in a text are ordinary text
         self.plain = Tokenizer(self.model.model)
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.kind = np.dtype("<u2" if self.model.get_vocab_size() <= 1 << 16 else "<u4")
@@ -250,13 +250,21 @@ def _packer(path: str, length: int, with_ids: bool):
     schema = IDS_SCHEMA if with_ids else PIECE_SCHEMA
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        collects = gc.isenabled()
         gc.disable()  # words make millions of small objects and no cycles
+        try:
+            yield from pieces(batches)
+        finally:
+            if collects:
+                gc.enable()
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, base, sequence = encoder(path), TaskContext.get().partitionId() << 40, 0
         open_: list[tuple] = []  # pieces of the sequence that isn't full: doc_id, start, ids, doc_tokens, offset
         fill, done = 0, []
 
-        def close(pieces, number):
-            done.extend((d, s, len(i), zlib.crc32(i.astype("<u4").tobytes()), t, base + number, o, *([i.astype("<u4").tobytes()] if with_ids else [])) for d, s, i, t, o in pieces)
+        def close(held, number):
+            done.extend((d, s, len(i), zlib.crc32(i.astype("<u4").tobytes()), t, base + number, o, *([i.astype("<u4").tobytes()] if with_ids else [])) for d, s, i, t, o in held)
 
         def flush():
             out = record(schema, *[list(x) for x in zip(*done, strict=True)])

@@ -209,7 +209,6 @@ def test_fit(pairs, share):
 
 def test_packing(spark, docs, empty):
     model = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
-    model.encode_special_tokens = True
     rows = packing.pack(docs, length=64, with_ids=True).collect()
     want = sorted([*model.encode(r["text"] or "", add_special_tokens=False).ids, 2] for r in docs.collect())
     pieces, seqs = {}, {}
@@ -229,14 +228,15 @@ def test_packing(spark, docs, empty):
     assert packing.pack(empty).count() == 0
 
 
+UNTOUCHED = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
 ODD = "İstanbul ΣΑΣ é́ it's they'll 12ab <|endoftext|> ﬁ Ǆ ß ẞ Ñandú año. x,, \u0085q \x1c  z ÀÉ. a. "
 
 
 @settings(max_examples=80, deadline=None)
-@given(st.text(st.sampled_from(ODD + "abcXYZ .,'\n\t"), max_size=60))
+@given(st.lists(st.sampled_from([*ODD, *"abcXYZ .,'\n\t", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|"]), max_size=60).map("".join))
 def test_encoder(text):
     e = packing.encoder(public_tokenizers.path(packing.TOKENIZER))
-    assert e([text.encode()])[0].tolist() == [*e.model.encode(text, add_special_tokens=False).ids, 2]
+    assert e([text.encode()])[0].tolist() == [*UNTOUCHED.encode(text, add_special_tokens=False).ids, 2]
 
 
 def test_encoder_forgets(monkeypatch):
@@ -247,7 +247,7 @@ def test_encoder_forgets(monkeypatch):
     parts = ["", "!", "...", "***", "%%%.", "'s", "'", "<|endoftext|>", "_", "-ab", "!!!!!!!!!", "é", "7"]
     for _ in range(60):
         text = " ".join(rng.choice(["ab", "Éa", "ñu", "COMO", "z" * 70, "ẞa", "K"]) + rng.choice("abcdefgh") * rng.randint(0, 4) + rng.choice(parts) for _ in range(12))
-        assert e([text.encode()])[0].tolist() == [*e.model.encode(text, add_special_tokens=False).ids, 2]
+        assert e([text.encode()])[0].tolist() == [*UNTOUCHED.encode(text, add_special_tokens=False).ids, 2]
         assert len(e.known) <= 40 and not any(len(w) > packing.CACHED_BYTES for w in [*e.known, *e.old])
 
 

@@ -69,7 +69,6 @@ def test_stages_lose_nothing(spark):
         missing = n - sum(len(words(r["text"])) for r in mixed if r["source"] == source)
         assert -0.5 <= missing and (missing < min(sizes) + 0.5 or missing == n - 3 * sum(sizes)), (source, n, missing, min(sizes))
     model = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
-    model.encode_special_tokens = True
     pieces = {}
     for r in corpus_pipeline.packing(spark, docs, SF).collect():
         pieces.setdefault(r["doc_id"], []).append((r["start"], np.frombuffer(r["ids"], "<u4").tolist()))
