@@ -15,17 +15,21 @@ from pyspark.sql import functions as F
 #: A word is a maximal run of anything but space and \t \n \v \f \r; ``bytes.split()`` splits at the same characters.
 WORD = r"[^\x20\x09-\x0D]+"
 LOCAL_CHECKPOINTS = "/tmp/checkpoints/terrace"
+#: A key is hot if it has one in so many of all rows, and so many rows at least. So there are never more hot keys than HOT_KEYS.
+HOT_KEYS, HOT_ROWS = 1 << 16, 64
 #: Characters of text that one step of a scan turns into words at a time.
 CHUNK_CHARS = 2_000_000
 U = np.uint64
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named in spark.checkpoint.dir; a local one only where none is set."""
+    """The shared folder named in spark.checkpoint.dir; a local one only where none is set and Spark runs on this machine alone."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         found = spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(LOCAL_CHECKPOINTS)
         found = LOCAL_CHECKPOINTS
     return found.rstrip("/")
@@ -35,7 +39,28 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the checkpoint folder and read it back: cuts lineage, survives lost executors."""
     path = f"{checkpoint_dir(df.sparkSession)}/tables/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._path = path
+    return out
+
+
+def remove(spark: SparkSession, *made: DataFrame | str) -> None:
+    """Delete folders, and tables of ``materialize`` that nothing reads any more."""
+    for x in made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(x if isinstance(x, str) else x._path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def join_counted(left: DataFrame, counts: DataFrame, on: list[str], rows: int, how: str = "inner") -> DataFrame:
+    """``left`` joined to ``counts``, which has one row for each key and how many rows of ``left`` hold it (``held``, dropped).
+
+    Hot keys are at most HOT_KEYS, as ``left`` has ``rows`` rows: they are broadcast, and their rows stay where they are. The
+    rest is joined by key. ``how`` is inner or left; keys are not null."""
+    least = max(HOT_ROWS, -(-rows // HOT_KEYS))
+    hot, others = counts.where(F.col("held") >= least), [c for c in counts.columns if c not in on]
+    marked = left.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), on, "left")
+    rest = marked.where("__hot is null").drop("__hot", *others).join(counts.where(F.col("held") < least), on, how)
+    return marked.where("__hot").drop("__hot", "held").unionByName(rest.drop("held"))
 
 
 def computed(df: DataFrame) -> DataFrame:

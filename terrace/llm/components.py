@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import materialize, record
+from terrace.llm.common import materialize, record, remove
 
 #: Up to this many edges (16 bytes each) one task holds all and finishes the job; before that, tasks empty their forests at so many nodes.
 TASK_EDGES = 1 << 18
@@ -72,7 +72,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while True:
         n = e.count()
         if n <= TASK_EDGES:
-            e = materialize(e.coalesce(1).mapInArrow(_contract(None), "a long, b long"), "stars")
+            e, old = materialize(e.coalesce(1).mapInArrow(_contract(None), "a long, b long"), "stars"), e
+            remove(edges.sparkSession, old)
             break
         both = e.union(e.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -80,7 +81,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         large = materialize(large, "large")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.a", "x.b").where("a <> b").distinct()
-        e = materialize(small, "small")
+        e, old = materialize(small, "small"), e
+        remove(edges.sparkSession, old, large)
         stars = e.agg(F.count("*").alias("n"), F.countDistinct("a").alias("d")).first()
         if stars["n"] == stars["d"] and e.join(e.select(F.col("a").alias("b")).distinct(), "b", "left_semi").isEmpty():
             break

@@ -14,7 +14,7 @@ document's connected component. Steps, each a table in the checkpoint folder:
    partial overlaps, and leaves subtrees whose remaining lengths cannot reach the threshold or whose sets it is
    already connected to. The tree gives exact overlaps.
 
-Shingles are 64-bit hashes and classes 64-bit digests with their size: results are exact but for collisions of these.
+Shingles are 64-bit hashes and classes 128-bit digests with their size: results are exact but for collisions of these.
 """
 
 from __future__ import annotations
@@ -28,9 +28,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from terrace.llm.common import U, WordHashes, chunks, columns, materialize, mix, record, signed, table
+from terrace.llm.common import U, WordHashes, chunks, columns, join_counted, materialize, mix, record, signed, table
 from terrace.llm.components import Forest, connected_components
-from terrace.llm.shingles import shingle_sets, signature
+from terrace.llm.shingles import shingle_sets, signatures
 
 #: Hash values below this are watched in step 2.
 WATCHED = U(1 << 62)
@@ -39,8 +39,8 @@ SKETCH_CELLS, FILTER_BITS, CHUNK_CELLS = 1 << 22, 1 << 26, 1 << 16
 #: Shingles in a block.
 BLOCK_SHINGLES = 1 << 18
 
-SETS = "doc_id long, n_shingles long, sig long"
-SETS_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("sig", pa.int64())])
+SETS = "doc_id long, n_shingles long, sig long, sig2 long"
+SETS_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("sig", pa.int64()), ("sig2", pa.int64())])
 
 
 def need(n: int | np.ndarray, num: int, den: int):
@@ -54,8 +54,7 @@ def _sets(size: int):
         for batch in batches:
             for first, texts in chunks(batch):
                 h, starts = shingle_sets(texts, size, cache)
-                sig = [signature(h[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True)]
-                yield record(SETS_SCHEMA, batch.column("doc_id").slice(first, len(texts)), np.diff(starts), sig)
+                yield record(SETS_SCHEMA, batch.column("doc_id").slice(first, len(texts)), np.diff(starts), *signatures(h, starts))
 
     return run
 
@@ -70,7 +69,7 @@ def _watched(size: int):
             known = np.asarray(batch.column("doc_id").is_valid())
             for first, texts in chunks(batch):
                 h, starts = shingle_sets(texts, size, cache)
-                sig = np.array([signature(h[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True)], np.int64)
+                sig = signatures(h, starts)[0]
                 own = np.repeat(np.arange(len(texts)), np.diff(starts))
                 some = h < WATCHED
                 h, own = h[some], own[some]
@@ -112,8 +111,8 @@ def _lonely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(np.array([last_sig]))
 
 
-MEMBER = "doc_id long, sig long, shingles binary"
-MEMBER_SCHEMA = pa.schema([("doc_id", pa.int64()), ("sig", pa.int64()), ("shingles", pa.binary())])
+MEMBER = "doc_id long, sig long, sig2 long, shingles binary"
+MEMBER_SCHEMA = pa.schema([("doc_id", pa.int64()), ("sig", pa.int64()), ("sig2", pa.int64()), ("shingles", pa.binary())])
 
 
 def _places(ids: np.ndarray) -> list[np.ndarray]:
@@ -136,7 +135,7 @@ def _members(size: int, classes):
             for first, texts in chunks(batch):
                 h, starts = shingle_sets(texts, size, cache)
                 parts = [h[a:b] for a, b in zip(starts[:-1], starts[1:], strict=True)]
-                yield record(MEMBER_SCHEMA, batch.column("doc_id").slice(first, len(texts)), [*map(signature, parts)], [x.tobytes() for x in parts])
+                yield record(MEMBER_SCHEMA, batch.column("doc_id").slice(first, len(texts)), *signatures(h, starts), [x.tobytes() for x in parts])
 
     return run
 
@@ -393,14 +392,16 @@ def similar_sets(docs: DataFrame, text: str = "text", size: int = 5, num: int =
     sets = materialize(docs.mapInArrow(_sets(size), SETS), "sets")
     watched = docs.mapInArrow(_watched(size), "shingle long, sig long")
     lonely = watched.repartition("shingle").sortWithinPartitions("shingle").mapInArrow(_lonely, "sig long, n long").groupBy("sig").agg(F.sum("n").alias("lonely"))
-    left = sets.where("doc_id is not null and n_shingles > 0").groupBy("sig", "n_shingles").agg(F.min("doc_id").alias("doc_id")).join(lonely, "sig", "left")
-    left = left.where(F.coalesce("lonely", F.lit(0)) <= F.col("n_shingles") - F.ceil(F.col("n_shingles") * num / F.lit(den)))
-    reps = materialize(left.select("sig", "n_shingles", "doc_id"), "classes")
+    equal = ["sig", "sig2", "n_shingles"]
+    # what is counted for 64 bits of a digest only counts where one set has them
+    left = sets.where("doc_id is not null and n_shingles > 0").groupBy(*equal).agg(F.min("doc_id").alias("doc_id")).withColumn("n", F.count("*").over(W.partitionBy("sig"))).join(lonely, "sig", "left")
+    left = left.where((F.col("n") > 1) | (F.coalesce("lonely", F.lit(0)) <= F.col("n_shingles") - F.ceil(F.col("n_shingles") * num / F.lit(den))))
+    reps = materialize(left.select(*equal, "doc_id"), "classes")
     # most documents have left: a filter of fixed size drops them before their texts are read, and what it lets through in vain goes in the join
     classes = fixed_table(reps.select("doc_id").mapInArrow(_class_bits, TABLE), FILTER_BITS // 8, np.uint8, np.bitwise_or)
     known = docs.where("doc_id is not null")
-    members = known.mapInArrow(_members(size, classes), MEMBER).join(reps.select("doc_id", "sig"), ["doc_id", "sig"], "left_semi")
-    members = materialize(members.dropDuplicates(["doc_id", "sig"]).select("doc_id", "shingles"), "members")
+    members = known.mapInArrow(_members(size, classes), MEMBER).join(reps.select("doc_id", "sig", "sig2"), ["doc_id", "sig", "sig2"], "left_semi")
+    members = materialize(members.dropDuplicates(["doc_id", "sig", "sig2"]).select("doc_id", "shingles"), "members")
     held = fixed_table(members.mapInArrow(_sketch(cells), TABLE), cells, np.uint32, _saturating)
     postings = members.mapInArrow(_postings(held, num, den), "key long, doc_id long")
     chains = postings.repartition(F.shiftrightunsigned("key", 24)).sortWithinPartitions("key", "doc_id").mapInArrow(_chains(num, den), "a long, b long")
@@ -411,10 +412,13 @@ def similar_sets(docs: DataFrame, text: str = "text", size: int = 5, num: int =
     blocks = blocks.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "doc_id").select("cluster", "i", "j", "doc_id", "shingles")
     links = blocks.mapInArrow(_join_blocks(num, den), "a long, b long")
     found = connected_components(links)
-    # classes of equal sets, then what links connect
-    same = sets.where("n_shingles > 0").groupBy("sig", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    same = same.join(found, same["rep"] == found["node"], "left").select("sig", "n_shingles", "rep", F.coalesce("component", "rep").alias("component"))
-    out = sets.join(same, ["sig", "n_shingles"], "left").withColumn("component", F.coalesce("component", "doc_id"))
+    # classes of equal sets, then what links connect; a row without either is alone
+    some = sets.where("n_shingles > 0")
+    same = some.groupBy(*equal).agg(F.min("doc_id").alias("rep"), F.count("*").alias("held"))
+    same = same.join(found, same["rep"] == found["node"], "left").where("held > 1 or component is not null")
+    same = materialize(same.select(*equal, F.coalesce("component", "rep").alias("component"), "held"), "same")
+    out = join_counted(some, same, equal, sets.count(), "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component"))
+    out = out.unionByName(sets.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component")))
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component_id"))
 
 

@@ -36,6 +36,9 @@ def shingle_sets(texts: list[bytes | None], size: int, cache: WordHashes) -> tup
     return h, starts
 
 
-def signature(hashes: np.ndarray) -> int:
-    """64 bits of a digest of a sorted set, signed; with the size of the set it stands for the set."""
-    return int.from_bytes(blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
+def signatures(hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of a digest of each sorted set hashes[starts[i]:starts[i + 1]], as two signed numbers; with its size they stand for the set."""
+    data, ends = hashes.tobytes(), (8 * starts).tolist()
+    both = b"".join(blake2b(data[a:b], digest_size=16).digest() for a, b in zip(ends[:-1], ends[1:], strict=True))
+    pairs = np.frombuffer(both, "<i8").reshape(-1, 2)
+    return pairs[:, 0].copy(), pairs[:, 1].copy()

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from terrace.llm.common import U, WordHashes, Words, chunks, columns, mix, record, signed, sliding_min, window_hashes
+from terrace.llm.common import U, WordHashes, Words, chunks, columns, join_counted, materialize, mix, record, signed, sliding_min, window_hashes
 
 #: Spans that a task gathers before it combines equal ones.
 COMBINE = 1 << 20
@@ -100,17 +100,17 @@ def scan_spans(size: int, gram: int):
 
 
 def classified(rows: DataFrame) -> DataFrame:
-    """Rows of spans with equal fp together, with ``total`` (times that the span is known to occur, 2 for many), ``several`` (the anchor has another span, and one that occurs once) and ``pick`` (1 on one row of each span)."""
+    """Rows of spans with ``total`` (times that the span is known to occur, 2 for many) and ``pick`` (1 on one row of each span).
+    Equal spans come from each scanning task once, so no span has more rows than there are such gatherings."""
     one = W.partitionBy("fp", "span")
-    rows = rows.withColumn("total", F.sum(F.expr("1 + (loc & 1)")).over(one)).withColumn("pick", F.row_number().over(one.orderBy("doc_id", "loc")))
-    by = W.partitionBy("fp")
-    return rows.withColumn("several", (F.min("span").over(by) != F.max("span").over(by)) & (F.min("total").over(by) == 1))
+    return rows.withColumn("total", F.sum(F.expr("1 + (loc & 1)")).over(one)).withColumn("pick", F.row_number().over(one.orderBy("doc_id", "loc")))
 
 
 def keyed(docs: DataFrame, text: str, keep: list[str] = []) -> DataFrame:  # noqa: B006
-    """(doc_id, id, text): ``id`` is the doc_id as it came; a null one gets a key from the text instead."""
-    key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.col(text)))
-    return docs.select(key.alias("doc_id"), F.col("doc_id").cast("long").alias("id"), F.col(text).cast("string").alias("text"), *keep)
+    """(doc_id, id, text): ``id`` is the doc_id as it came, ``doc_id`` a key of the row, from 64 bits of its id and text. Rows that agree in both share it,
+    and as they have the same words, what is found in one is right for the other."""
+    t = F.col(text).cast("string")
+    return docs.select(F.xxhash64(F.col("doc_id").cast("long"), t).alias("doc_id"), F.col("doc_id").cast("long").alias("id"), t.alias("text"), *keep)
 
 
 def _single_windows(size: int):
@@ -131,7 +131,7 @@ def _single_windows(size: int):
                     fp, loc, once = (np.asarray(x.values.field(k)) for k in range(3))
                     count, start = loc >> 1 & 255, loc >> 9
                     at = np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
-                    ok = begin + at + size <= end  # rows that share a doc_id may have other texts
+                    ok = begin + at + size <= end
                     if ok.any():
                         at = at[ok]
                         yield record(schema, np.repeat(fp, count)[ok], signed(np.ascontiguousarray(whole[begin + at])), np.full(len(at), doc), at, np.repeat(once, count)[ok])
@@ -140,14 +140,21 @@ def _single_windows(size: int):
 
 
 def repeated_places(docs: DataFrame, spans: DataFrame, size: int) -> DataFrame:
-    """(doc_id, loc) of windows that occur twice or more, from ``classified`` rows of spans whose anchors repeat."""
+    """(doc_id, loc) of windows that occur twice or more, from ``classified`` rows of spans whose anchors repeat (a written table).
+
+    One row of each span is asked for its windows where the anchor has another span, and one that occurs once. Anchors with very many
+    spans, and windows in very many of them, are counted before anything is shuffled by them."""
     whole = spans.where("total > 1 and loc & 1 = 0").select("doc_id", "loc")
-    asked = spans.where("several and pick = 1").groupBy("doc_id").agg(F.collect_list(F.struct("fp", "loc", (F.col("total") == 1).alias("once"))).alias("asked"))
+    picked = spans.where("pick = 1").select("fp", "span", "doc_id", "loc", "total")
+    anchors = picked.groupBy("fp").agg(F.min("span").alias("low"), F.max("span").alias("high"), F.min("total").alias("least"), F.count("*").alias("held"))
+    asked = join_counted(picked, anchors.where("low <> high and least = 1").select("fp", "held"), ["fp"], spans.count())
+    asked = asked.groupBy("doc_id").agg(F.collect_list(F.struct("fp", "loc", (F.col("total") == 1).alias("once"))).alias("asked"))
     # a left join, so that Spark can use the exchange of the texts again
     read = docs.join(asked, "doc_id", "left").withColumn("text", F.when(F.size("asked") > 0, F.col("text")))
-    windows = read.mapInArrow(_single_windows(size), "fp long, window long, doc_id long, start long, once boolean")
-    windows = windows.withColumn("n", F.count("*").over(W.partitionBy("fp", "window"))).where("n > 1 and once")
-    return whole.union(windows.select("doc_id", F.expr("start << 9 | 2L")))
+    windows = materialize(read.mapInArrow(_single_windows(size), "fp long, window long, doc_id long, start long, once boolean"), "windows")
+    twice = windows.groupBy("fp", "window").agg(F.count("*").alias("held")).where("held > 1")
+    found = join_counted(windows.where("once"), twice, ["fp", "window"], windows.count())
+    return whole.union(found.select("doc_id", F.expr("start << 9 | 2L")))
 
 
 def covered(n: int, locs: np.ndarray, size: int) -> np.ndarray:

@@ -1,10 +1,9 @@
-"""Operator 4, suffix-array dedup on sparse suffix arrays.
+"""Operator 4, suffix-array dedup on sparse suffix arrays of hashes.
 
-Of all suffixes of all texts only those at minimiser positions are retained. They are dealt by their first words and
-sorted by their content: first words, then all words that the minimiser's windows reach. Each suffix is compared with
-its neighbours: equal reach on both sides is a repeat as a whole; equal first words only means that the match is
-extended to the left and right against the text, one window at a time. The sorted neighbours stream through a task,
-which holds two of them.
+Of all suffixes of all texts only those at minimiser positions are retained. A suffix stands as two hashes: of its first words, and of
+all words that the minimiser's windows reach on either side. They are sorted by these, over ranges of the whole table, and compared
+with their neighbours: equal reach on both sides is a repeat as a whole; equal first words only means that the windows of both
+are looked up one by one. It is not the content that is sorted; the README says why.
 """
 
 from __future__ import annotations
@@ -24,9 +23,9 @@ PASSAGE, FIRST_WORDS = 50, 12
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From sorted suffixes: those whose first words a neighbour shares, and settled rows."""
+    """From sorted suffixes: those whose first words a neighbour shares, the first and the last row (whose neighbours another task has), and settled rows."""
     held: pa.RecordBatch | None = None  # the last row of the batch before
-    held_ok = False
+    held_ok = True
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -35,7 +34,9 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ok = settled | (loc & 1 == 1)
         ok[1:] |= same
         ok[:-1] |= same
-        if held is not None:
+        if held is None:
+            ok[0] = True
+        else:
             touch = columns(held, "fp")[0] == fp[0]
             ok[0] |= touch
             if held_ok or touch:
@@ -44,7 +45,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ok[-1] = False
         if ok.any():
             yield batch.filter(pa.array(ok))
-    if held is not None and held_ok:
+    if held is not None:
         yield held
 
 
@@ -74,12 +75,13 @@ def repeated_passages(docs: DataFrame, text: str = "text", passage: int = PASSAG
 
     A word is repeated if a stretch of ``passage`` words around it also starts anywhere else, in the same text or
     another. Overlapping and touching stretches are one span. Null and empty texts have no words and no spans. Rows that
-    share a doc_id count as separate occurrences; rows with a null doc_id are documents too and keep the null.
+    share a doc_id are documents of their own, equal rows too; rows with a null doc_id are documents and keep the null.
     Other columns are not read.
     """
     docs = keyed(docs, text)
     suffixes = docs.select("doc_id", "text").mapInArrow(scan_spans(passage, first_words), SPAN)
-    suffixes = suffixes.repartition("fp").sortWithinPartitions("fp", "span", "doc_id", "loc")
+    # by ranges of both, so that many suffixes with the same first words are cut where what follows differs
+    suffixes = suffixes.repartitionByRange(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp", "span").sortWithinPartitions("fp", "span", "doc_id", "loc")
     near = materialize(suffixes.mapInArrow(_neighbours, SPAN), "neighbours")
     hits = materialize(classified(near.where("not settled").drop("settled")), "hits")
     places = near.where("settled").select("doc_id", "loc").union(repeated_places(docs, hits, passage))

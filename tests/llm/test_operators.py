@@ -3,6 +3,7 @@
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -11,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from terrace.llm import ann, chat, components, jaccard, licenses, mixing, packing, quality, substring, suffix, toxicity
+from terrace.llm import ann, chat, common, components, jaccard, licenses, mixing, packing, quality, substring, suffix, toxicity
 from terrace.llm.common import WordHashes, sliding_min, window_hashes
 
 SCHEMA = "doc_id long, text string, source string, n_words long, size long, locs string"
@@ -72,6 +73,32 @@ def test_substring(spark, docs, empty, batches):
     assert substring.remove_repeats(empty).count() == 0
 
 
+def test_repeated_ids(spark):
+    """Rows that share an id, or have none, are documents of their own: nothing found in one is taken from another."""
+    rng = random.Random(9)
+    prose = lambda n: " ".join(f"v{rng.randrange(10**6)}" for _ in range(n))
+    shared = prose(60)
+    rows = [(1, shared + " " + prose(40)), (1, prose(100)), (2, prose(50) + " " + shared), (None, prose(90)), (None, shared), (3, prose(70)), (3, prose(80))]
+    rows += [rows[-1]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for got, size, count in ((substring.remove_repeats(docs), 35, "n_removed"), (suffix.repeated_passages(docs), 50, "n_repeated")):
+        want = sorted(str((r[0], len(words(r[1])), len(g))) for r, g in zip(rows, covered_by_repeats(rows, size), strict=True))
+        assert sorted(str((r["doc_id"], r["n_words"], r[count])) for r in got.collect()) == want
+
+
+def test_hot_keys(spark, monkeypatch):
+    """Keys with many rows go another way, to the same result: one passage in many surroundings, and many copies."""
+    monkeypatch.setattr(common, "HOT_ROWS", 3)
+    rng = random.Random(10)
+    prose = lambda n: " ".join(f"v{rng.randrange(10**6)}" for _ in range(n))
+    shared, copy = prose(53), prose(80)
+    rows = [(i, f"{prose(rng.randrange(60))} {shared} {prose(rng.randrange(60))}") for i in range(40)] + [(100 + i, copy) for i in range(20)] + [(200 + i, "") for i in range(5)] + [(300, prose(90))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for got, size, count in ((substring.remove_repeats(docs), 35, "n_removed"), (suffix.repeated_passages(docs), 50, "n_repeated")):
+        assert {r["doc_id"]: r[count] for r in got.collect()} == {r[0]: len(g) for r, g in zip(rows, covered_by_repeats(rows, size), strict=True)}
+    assert {tuple(r) for r in jaccard.similar_sets(docs).collect()} == components_by_force(rows, 5, 80, 100)
+
+
 def test_substring_incremental(spark, docs):
     """What a later batch repeats of an earlier one is found, and compaction loses nothing."""
     from terrace.llm.spans import keyed
@@ -79,12 +106,16 @@ def test_substring_incremental(spark, docs):
     index = substring.FingerprintIndex(spark, fan_in=1, buckets=3)
     k = keyed(docs, "text")
     for i in range(3):
-        index.append(k.where(f"doc_id % 3 = {i}"))
+        index.append(k.where(f"id % 3 = {i}"))
     assert len(index.runs) == 1
     whole = substring.FingerprintIndex(spark, buckets=3)
     whole.append(k.where("id is not null"))
+    root = index.root
     place = lambda x: {(r["doc_id"], (r["loc"] >> 9) + j) for r in x.repeated(k).collect() for j in range(r["loc"] >> 1 & 255)}
     assert place(index) == place(whole)
+    assert len(list(Path(root).iterdir())) == 1
+    index.drop()
+    assert not Path(root).exists()
 
 
 def test_suffix(spark, docs, empty):
