@@ -1,10 +1,11 @@
 """Operator 2, approximate nearest neighbours on robust-pruned directed graphs, by largest inner product.
 
-Vectors are dealt to shards by a hash of their id. In each shard equal vectors become one node, and one more coordinate
-makes all nodes equally long, so that the largest inner product is the least distance. Nodes enter the graph in rounds
+Vectors are dealt to shards by a hash of their id. In each shard equal vectors become one node. Edges are chosen by direction alone, so that
+walks reach any direction, and walks follow the inner product. Nodes enter the graph in rounds
 that double its size: a greedy beam search from the medoid proposes neighbours, robust pruning keeps a proposal unless a
 kept neighbour is nearer to it by a factor alpha, and edges are added both ways. A query walks each shard's graph with a
-beam and the shards' answers are merged. A task holds one shard and one batch of queries.
+beam and the shards' answers are merged. Each shard measures by brute force, with some of its own vectors, what a beam finds, and takes one
+that finds enough: lengths that differ much need wider ones. A task holds one shard and one batch of queries.
 """
 
 from __future__ import annotations
@@ -23,21 +24,24 @@ from terrace.llm.common import materialize, record, table
 TOP = 20
 SHARD_ROWS = 8192
 DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 32, 64, 96, 1.2
-QUERIES_AT_A_TIME = 256
+#: Longest vectors that walks begin at; vectors that the beam is tried with, and the share of their nearest that it has to find.
+ENTRIES, TRIED, WANTED = 32, 64, 0.97
+#: Queries that walk together; numbers that pruning holds at a time.
+QUERIES_AT_A_TIME, PRUNED_AT_A_TIME = 256, 1 << 22
 
 
-def beam_search(points: np.ndarray, edges: np.ndarray, entry: int, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-    """(nodes, scores) of the ``beam`` nodes nearest to each query that a greedy walk finds; -1 where there are fewer.
+def beam_search(points: np.ndarray, edges: np.ndarray, entries: np.ndarray, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+    """(nodes, scores) of the ``beam`` nodes nearest to each query that a greedy walk from ``entries`` finds; -1 where there are fewer.
 
     All queries take their steps together. Scores are inner products; edges of -1 are none.
     """
-    n = len(queries)
+    n, beam, start = len(queries), max(beam, len(entries)), len(entries)
     ids = np.full((n, beam), -1, np.int64)
     got = np.full((n, beam), -np.inf, np.float32)
     seen = np.ones((n, beam), bool)
-    ids[:, 0], got[:, 0], seen[:, 0] = entry, queries @ points[entry], False
+    ids[:, :start], got[:, :start], seen[:, :start] = entries, queries @ points[entries].T, False
     visited = np.zeros((n, len(points)), bool)
-    visited[:, entry] = True
+    visited[:, entries] = True
     active = np.arange(n)
     while len(active):
         open_ = np.where(seen[active], -np.inf, got[active])
@@ -62,30 +66,31 @@ def beam_search(points: np.ndarray, edges: np.ndarray, entry: int, queries: np.n
     return np.where(np.isfinite(got[rows, order]), ids[rows, order], -1), got[rows, order]
 
 
-def robust_prune(points: np.ndarray, node: int, proposed: np.ndarray, degree: int, alpha: float) -> np.ndarray:
-    """Of proposed neighbours those that no nearer kept one is close to."""
-    proposed = proposed[(proposed >= 0) & (proposed != node)]
-    if not len(proposed):
-        return proposed
-    proposed = np.unique(proposed)
-    d = ((points[proposed] - points[node]) ** 2).sum(1)
-    order = np.argsort(d, kind="stable")
-    proposed, d = proposed[order], d[order]
-    p = points[proposed]
-    square = (p * p).sum(1)
-    between = square[:, None] + square[None] - 2 * (p @ p.T)
-    alive, kept = np.ones(len(proposed), bool), []
-    for i in range(len(proposed)):
-        if alive[i]:
-            kept.append(i)
-            if len(kept) >= degree:
-                break
-            alive &= alpha * alpha * between[i] > d
-    return proposed[kept]
+def robust_prune(points: np.ndarray, nodes: np.ndarray, proposed: np.ndarray, degree: int, alpha: float) -> np.ndarray:
+    """For each node those of its distinct proposed neighbours (a row each, -1 for none) that no nearer kept one is close to: rows of ``degree``, -1 for none."""
+    out = np.full((len(nodes), degree), -1, np.int64)
+    step = max(1, PRUNED_AT_A_TIME // max(1, proposed.shape[1] ** 2))
+    for a in range(0, len(nodes), step):
+        x, ids = nodes[a : a + step], proposed[a : a + step]
+        ids = np.where(ids == x[:, None], -1, ids)
+        p = points[ids]
+        d = np.where(ids >= 0, ((p - points[x][:, None]) ** 2).sum(2), np.inf)
+        order = np.argsort(d, axis=1, kind="stable")
+        rows = np.arange(len(x))[:, None]
+        ids, d, p = ids[rows, order], d[rows, order], p[rows, order]
+        square = (p * p).sum(2)
+        between = alpha * alpha * (square[:, :, None] + square[:, None] - 2 * (p @ p.transpose(0, 2, 1)))
+        alive, count = ids >= 0, np.zeros(len(x), np.int64)
+        for i in range(ids.shape[1]):
+            pick = np.flatnonzero(alive[:, i] & (count < degree))
+            out[a + pick, count[pick]] = ids[pick, i]
+            count[pick] += 1
+            alive[pick] &= between[pick, i] > d[pick]
+    return out
 
 
 class Graph:
-    """One shard: distinct vectors, at most ``top`` + 1 ids of each (the smallest), edges."""
+    """One shard: distinct vectors, at most ``top`` + 1 ids of each (the smallest), edges, and the beam that finds enough."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, top: int = TOP, degree: int = DEGREE, beam: int = BUILD_BEAM, alpha: float = ALPHA):
         order = np.argsort(ids, kind="stable")
@@ -97,44 +102,75 @@ class Graph:
         grouped = ids[members]
         self.ids = [grouped[a : min(a + top + 1, b)] for a, b in zip(np.append(0, cuts[:-1]), cuts, strict=True)]
         self.top = top
-        x = self.vectors.astype(np.float64)
+        x = self.vectors / np.abs(self.vectors).max()  # within what single precision holds, whatever the components
         square = (x * x).sum(1)
-        self.points = np.concatenate([x, np.sqrt(np.maximum(square.max() - square, 0))[:, None]], 1).astype(np.float32)
+        length = np.maximum(np.sqrt(square), 1e-150)  # squares of a vector that is tiny beside the others may be 0
+        self.points, self.scaled = (x / length[:, None]).astype(np.float32), (x / length.max()).astype(np.float32)
         n = len(x)
-        self.entry = int(((self.points - self.points.mean(0)) ** 2).sum(1).argmin())
+        middle = int(((self.points - self.points.mean(0)) ** 2).sum(1).argmin())
+        # walks begin at the medoid and at the longest vectors, which answer most queries where lengths differ much
+        longest = np.argsort(-length, kind="stable")[:ENTRIES]
+        self.entries = np.append(middle, longest[longest != middle])
         self.edges = np.full((n, degree), -1, np.int64)
         order = np.random.default_rng(n).permutation(n)
-        order = np.concatenate([[self.entry], order[order != self.entry]])
+        order = np.concatenate([[middle], order[order != middle]])
         done = 1
         while done < n:
             step = order[done : done + min(max(done, 16), QUERIES_AT_A_TIME)]
-            found, _ = beam_search(self.points, self.edges, self.entry, self.points[step], beam)
-            back: dict[int, list[int]] = {}
-            for node, near in zip(step.tolist(), found, strict=True):
-                kept = robust_prune(self.points, node, np.concatenate([near, step[:0]]), degree, alpha)
-                self.edges[node, : len(kept)] = kept
-                for k in kept.tolist():
-                    back.setdefault(k, []).append(node)
-            for k, new in back.items():
-                old = self.edges[k][self.edges[k] >= 0]
-                every = np.concatenate([old, np.array(new)])
-                if len(every) > degree:
-                    every = robust_prune(self.points, k, every, degree, alpha)
-                self.edges[k] = -1
-                self.edges[k, : len(every)] = every
+            found, _ = beam_search(self.points, self.edges, self.entries[:1], self.points[step], beam)
+            kept = robust_prune(self.points, step, found, degree, alpha)
+            self.edges[step] = kept
+            self._back(np.repeat(step, degree)[kept.ravel() >= 0], kept.ravel()[kept.ravel() >= 0], degree, alpha)
             done += len(step)
+        self.beam = self._calibrated(max(SEARCH_BEAM, top + 1))
+
+    def _back(self, new: np.ndarray, at: np.ndarray, degree: int, alpha: float) -> None:
+        """Edges to ``new`` nodes from those that they chose."""
+        order = np.argsort(at, kind="stable")
+        new, at = new[order], at[order]
+        nodes, begin, count = np.unique(at, return_index=True, return_counts=True)
+        have = (self.edges[nodes] >= 0).sum(1)
+        wide = have + count
+        for most in sorted({degree, *(2 ** int(k).bit_length() for k in wide[wide > degree])}):  # nodes with about as many proposals together
+            low = 0 if most == degree else max(degree, most // 2 - 1)
+            some = np.flatnonzero((wide > low) & (wide <= most)) if most > degree else np.flatnonzero(wide <= degree)
+            if not len(some):
+                continue
+            every = np.full((len(some), most), -1, np.int64)
+            every[:, :degree] = self.edges[nodes[some]]
+            row = np.repeat(np.arange(len(some)), count[some])
+            rank = np.arange(len(row)) - np.repeat(np.cumsum(count[some]) - count[some], count[some])
+            every[row, np.repeat(have[some], count[some]) + rank] = new[np.repeat(begin[some], count[some]) + rank]
+            self.edges[nodes[some]] = every if most == degree else robust_prune(self.points, nodes[some], every, degree, alpha)
+
+    def _calibrated(self, beam: int) -> int:
+        """The beam, doubled until it finds WANTED of the true nearest of some of the vectors; the whole shard at last."""
+        n = len(self.points)
+        queries = self.points[np.random.default_rng(n + 1).permutation(n)[:TRIED]]
+        k = min(self.top, n)
+        scores = queries @ self.scaled.T
+        least = np.partition(scores, n - k, axis=1)[:, n - k]
+        while beam < n:
+            _, got = beam_search(self.scaled, self.edges, self.entries, queries, beam)
+            if (got[:, :k] >= least[:, None] - 1e-6 * np.abs(least[:, None])).mean() >= WANTED:
+                break
+            beam *= 2
+        return min(beam, max(n, self.top + 1))
 
-    def search(self, query_ids: np.ndarray, queries: np.ndarray, beam: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    def search(self, query_ids: np.ndarray, queries: np.ndarray, beam: int | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(query_id, ids, scores in double precision) of each query's nearest here, at most ``top``."""
-        beam = max(beam, self.top + 1)
-        flat = np.concatenate([queries, np.zeros((len(queries), 1))], 1).astype(np.float32)
+        beam = max(beam or self.beam, self.top + 1)
+        unit = queries / np.abs(queries).max(1, keepdims=True)
+        unit /= np.sqrt((unit * unit).sum(1, keepdims=True))
+        unit = unit.astype(np.float32)
         for a in range(0, len(queries), QUERIES_AT_A_TIME):
             b = a + QUERIES_AT_A_TIME
-            found, _ = beam_search(self.points, self.edges, self.entry, flat[a:b], beam)
+            found, _ = beam_search(self.scaled, self.edges, self.entries, unit[a:b], beam)
             for query_id, q, nodes in zip(query_ids[a:b].tolist(), queries[a:b], found, strict=True):
                 nodes = nodes[nodes >= 0]
-                scores = np.array([float(np.dot(v, q)) for v in self.vectors[nodes].astype(np.float64)])
-                ids = np.concatenate([self.ids[k] for k in nodes])
+                with np.errstate(over="ignore", invalid="ignore"):
+                    scores = np.array([float(np.dot(v, q)) for v in self.vectors[nodes].astype(np.float64)])
+                ids = np.concatenate([np.zeros(0, np.int64), *[self.ids[k] for k in nodes]])
                 scores = np.repeat(scores, [len(self.ids[k]) for k in nodes])
                 other = ids != query_id
                 ids, scores = ids[other], scores[other]
@@ -177,12 +213,12 @@ def build_index(vectors: DataFrame, shard_rows: int = SHARD_ROWS, top: int = TOP
         if rows:
             yield made()
 
-    dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")).repartition(shards, "shard").sortWithinPartitions("shard", "id").select("shard", "id", "v")
+    dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")).repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "id").select("shard", "id", "v")
     return materialize(dealt.mapInArrow(run, "shard int, graph binary"), "graphs")
 
 
-def search_index(index: DataFrame, queries: DataFrame, top: int = TOP, beam: int = SEARCH_BEAM) -> DataFrame:
-    """query_id, rank, vec_id, score: each query's ``top`` nearest found (or all there are), ties to the smaller id."""
+def search_index(index: DataFrame, queries: DataFrame, top: int = TOP, beam: int | None = None) -> DataFrame:
+    """query_id, rank, vec_id, score (``beam`` in place of the measured ones): each query's ``top`` nearest found (or all there are), ties to the smaller id."""
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,16 +242,16 @@ def search_index(index: DataFrame, queries: DataFrame, top: int = TOP, beam: int
                         yield record(schema, np.repeat([x[0] for x in found], [len(x[1]) for x in found]), np.concatenate([x[1] for x in found]), np.concatenate([x[2] for x in found]))
                 i = j
 
-    shards = max(1, index.count())
-    every = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(index.agg(F.max("shard")).first()[0] or 0))))
+    shards = (index.agg(F.max("shard")).first()[0] or 0) + 1
+    every = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     rows = index.select("shard", F.lit(None).cast("long").alias("id"), F.lit(None).cast("array<double>").alias("v"), "graph").union(every.select("shard", "id", "v", F.lit(None).cast("binary")))
-    rows = rows.repartition(shards, "shard").sortWithinPartitions("shard", F.col("graph").isNull(), "id").select("shard", "id", "v", "graph")
+    rows = rows.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", F.col("graph").isNull(), "id").select("shard", "id", "v", "graph")
     found = rows.mapInArrow(run, "query_id long, vec_id long, score double")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, top: int = TOP, shard_rows: int = SHARD_ROWS, beam: int = SEARCH_BEAM) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, top: int = TOP, shard_rows: int = SHARD_ROWS, beam: int | None = None) -> DataFrame:
     """Index all of ``vectors`` (vec_id, embedding) and search it for ``queries`` (the same columns).
 
     Vectors that are null, empty, zero or hold null or non-finite components take no part on either side; nor do null

@@ -348,6 +348,39 @@ def test_neighbours(spark):
     assert ann.nearest(none, none).count() == 0
 
 
+def test_recall_and_range():
+    """Recall of each shard against brute force, over several shards, with lengths alike and very different; huge and tiny components."""
+    rng = np.random.default_rng(3)
+    gauss = rng.normal(size=(3000, 32))
+    unit = gauss / np.linalg.norm(gauss, axis=1, keepdims=True)
+    for x in (gauss, unit, unit * rng.lognormal(size=(3000, 1)), unit * rng.uniform(0.5, 2, (3000, 1)), gauss * 1e25, gauss * 1e-30, np.where(rng.random((3000, 1)) < 0.01, gauss * 1e20, gauss)):
+        ids, shards = np.arange(3000), [np.arange(3000) % 3 == k for k in range(3)]
+        graphs = [ann.Graph(ids[m], x[m]) for m in shards]
+        q = ids[::40]
+        found = {int(i): [] for i in q}
+        for g in graphs:
+            for i, near, scores in g.search(q, x[q]):
+                found[i] += zip((-scores).tolist(), near.tolist(), strict=True)
+        exact, hit = x[q] @ x.T, 0
+        exact[np.arange(len(q)), q] = -np.inf
+        for i, row in zip(q.tolist(), exact, strict=True):
+            hit += len({b for _, b in sorted(found[i])[:20]} & set(np.lexsort((ids, -row))[:20].tolist()))
+        assert hit / (20 * len(q)) >= 0.9
+
+
+def test_prune():
+    """Against the rule one node at a time."""
+    rng = np.random.default_rng(4)
+    p = rng.normal(size=(60, 3)).astype(np.float32)
+    nodes, proposed = np.arange(10), np.array([np.where(rng.random(40) < 0.2, -1, rng.permutation(60)[:40]) for _ in range(10)])
+    for node, near, got in zip(nodes, proposed, ann.robust_prune(p, nodes, proposed, 6, 1.2), strict=True):
+        left, kept = sorted((x for x in near if x >= 0 and x != node), key=lambda x: ((p[x] - p[node]) ** 2).sum()), []
+        while left and len(kept) < 6:
+            kept.append(left[0])
+            left = [x for x in left[1:] if 1.2**2 * ((p[x] - p[kept[-1]]) ** 2).sum() > ((p[x] - p[node]) ** 2).sum()]
+        assert got[got >= 0].tolist() == kept
+
+
 def test_toxicity(spark):
     rng = random.Random(2)
     vocab = [f"word{i}" for i in range(400)]
