@@ -55,25 +55,25 @@ def relations(claims: str = "claims") -> Column:
     """array<struct<prop, dest>> of claims whose main value is an entity, in byte order of the map's keys; duplicates and all ranks stay."""
     keys = F.array_sort(F.map_keys(claims))
     all_ = F.flatten(F.transform(keys, lambda k: F.col(claims)[k]))
-    linked = F.filter(all_, lambda c: (c["mainsnak"]["snaktype"] == "value") & (c["mainsnak"]["datavalue"]["type"] == "wikibase-entityid") & c["mainsnak"]["datavalue"]["entityid"].isNotNull())
-    out = F.transform(linked, lambda c: F.struct(c["mainsnak"]["property"].alias("prop"), ref_of_value(c["mainsnak"]["datavalue"]["entityid"]).alias("dest")))
-    return F.coalesce(out, F.array().cast("array<struct<prop: string, dest: string>>"))
+    return F.coalesce(_linked(all_), F.array().cast("array<struct<prop: string, dest: string>>"))
 
 
-def has_relation(*pairs: tuple[str, str], claims: str = "claims") -> Column:
-    """Whether any of some (property, destination) pairs is a relation of the entity."""
+def _linked(some: Column) -> Column:
+    linked = F.filter(some, lambda c: (c["mainsnak"]["snaktype"] == "value") & (c["mainsnak"]["datavalue"]["type"] == "wikibase-entityid") & c["mainsnak"]["datavalue"]["entityid"].isNotNull())
+    return F.transform(linked, lambda c: F.struct(c["mainsnak"]["property"].alias("prop"), ref_of_value(c["mainsnak"]["datavalue"]["entityid"]).alias("dest")))
 
-    def among(r):
-        out = F.lit(False)
-        for prop, dest in pairs:
-            out = out | ((r["prop"] == prop) & (r["dest"] == dest))
-        return out
 
-    return F.exists(relations(claims), among)
+def has_relation(*pairs: tuple[str, str], claims: str = "claims") -> Column:
+    """Whether any of some (property, destination) pairs is a relation of the entity. Only those properties' claims are read."""
+    one = lambda prop, dest: F.coalesce(F.exists(_linked(claims_of(prop, claims)), lambda r: r["dest"] == dest), F.lit(False))
+    out = F.lit(False)
+    for pair in pairs:
+        out = out | one(*pair)
+    return out
 
 
 def first_destination(prop: str, claims: str = "claims") -> Column:
-    return F.try_element_at(F.filter(relations(claims), lambda r: r["prop"] == prop), F.lit(1))["dest"]
+    return F.try_element_at(_linked(claims_of(prop, claims)), F.lit(1))["dest"]
 
 
 def coordinates(prop: str = "P625", claims: str = "claims") -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: A bracketed external link: lazily to the first space, then to the last bracket of the line.
+#: Fixed value: a bracketed external link: lazily to the first space, then to the last bracket of the line.
 LINK = r"(?d)\[(http.*?) .*\]"
 
 

@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LOCAL = "/tmp/checkpoints/terrace"
+from terrace.scratch import folder
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Write to the shared checkpoint folder and read again."""
-    spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or LOCAL
-    path = f"{root.rstrip('/')}/graph/{uuid.uuid4().hex}"
+    spark, path = df.sparkSession, folder(df.sparkSession, "graph")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -36,7 +33,7 @@ def children(e: DataFrame) -> DataFrame:
 
 
 def descendants(e: DataFrame, start: DataFrame, most_rounds: int = 10_000) -> DataFrame:
-    """(root, node): all below each root of ``start`` (root), itself excluded. Cycles end: a round takes only what is new to its root."""
+    """(root, node): all below each root of ``start`` (root), itself excluded. Cycles end: a round takes only what is new to its root. ValueError if that takes more than ``most_rounds``."""
     e = cut(e.select("child", "parent"))
     seen = frontier = cut(start.select("root", F.col("root").alias("node")).distinct())
     found = [seen]
@@ -49,6 +46,8 @@ def descendants(e: DataFrame, start: DataFrame, most_rounds: int = 10_000) -> Da
         seen = seen.unionByName(frontier)
         if len(found) % 8 == 0:
             seen = cut(seen)
+    else:
+        raise ValueError(f"there is more below the roots after {most_rounds} rounds")
     return seen.where("root <> node")
 
 

@@ -46,4 +46,4 @@ def url_pools(spark: SparkSession, entities: DataFrame, t: DataFrame, pages: Dat
     """(wiki, ident, prefix): prefixes that aggregate well in a pool and are in fewer than half of the pools."""
     titles = pool_pages(entities, t, filter_table(spark, specs), site)
     found = aggregate_urls(pool_urls(pages, titles), by=("ident",))
-    return rare_prefixes(found, "ident", len(specs)).select(F.lit(site).alias("wiki"), "ident", "prefix", "descendants", "direct")
+    return rare_prefixes(found, len(specs)).select(F.lit(site).alias("wiki"), "ident", "prefix", "descendants", "direct")

@@ -11,20 +11,33 @@ from terrace.functions.texts import lineage
 
 def prefix_counts(urls: DataFrame, url: str = "url", by: tuple[str, ...] = ()) -> DataFrame:
     """(by..., prefix, descendants, direct) before any threshold, over distinct URLs."""
-    each = urls.select(*by, url).where(F.col(url).isNotNull()).distinct().select(*by, F.explode(lineage(F.col(url))).alias("a"))
+    return _counts(_distinct(urls, url, by), url, by)
+
+
+def _distinct(urls: DataFrame, url: str, by: tuple[str, ...]) -> DataFrame:
+    return urls.select(*by, url).where(F.col(url).isNotNull()).distinct()
+
+
+def _counts(distinct: DataFrame, url: str, by: tuple[str, ...]) -> DataFrame:
+    each = distinct.select(*by, F.explode(lineage(F.col(url))).alias("a"))
     return each.groupBy(*by, F.col("a.prefix").alias("prefix")).agg(F.count("*").alias("descendants"), F.count_if(F.col("a.direct")).alias("direct"))
 
 
 def aggregate_urls(urls: DataFrame, url: str = "url", by: tuple[str, ...] = ()) -> DataFrame:
     """Prefixes with more than one descendant, more than a thousandth of the set, and direct children for more than half (integer divisions)."""
-    distinct = urls.select(*by, url).where(F.col(url).isNotNull()).distinct()
+    distinct = _distinct(urls, url, by)  # read twice below; Spark uses its exchange again
     size = distinct.groupBy(*by).agg(F.count("*").alias("urls"))
-    counts = prefix_counts(urls, url, by)
+    counts = _counts(distinct, url, by)
     counts = counts.join(size, list(by)) if by else counts.crossJoin(F.broadcast(size))  # one row
     return counts.where("descendants > 1 and descendants > urls div 1000 and direct > descendants div 2").drop("urls")
 
 
-def rare_prefixes(aggregated: DataFrame, pool: str, pools: int | Column) -> DataFrame:
+def ordered(aggregated: DataFrame) -> DataFrame:
+    """By prefix, as a tree is listed: range-partitioned, so that files written from it are in order one after the other."""
+    return aggregated.orderBy("prefix")
+
+
+def rare_prefixes(aggregated: DataFrame, pools: int | Column) -> DataFrame:
     """Rows of prefixes that fewer than half of the pools have (integer division)."""
     half = F.lit(pools // 2) if isinstance(pools, int) else F.floor(pools / 2)
     return aggregated.withColumn("in_common", F.count("*").over(W.partitionBy("prefix"))).where(F.col("in_common") < half)

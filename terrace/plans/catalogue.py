@@ -69,7 +69,7 @@ def titles_export(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def clean_labels(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.table(spark, sf, "documents").select("doc_id", csv_label(F.left("text", F.lit(120))).alias("label"))
+    return fx.table(spark, sf, "documents").select("doc_id", csv_label(F.col("text")).alias("label"))
 
 
 def entities_with_relation(spark: SparkSession, sf: str) -> DataFrame:
@@ -182,7 +182,7 @@ def oracle_sql() -> dict[str, str]:
         "relation_property_histogram": f"WITH {_TRIPLES} SELECT count(*) AS n, prop, CASE prop WHEN 'P31' THEN 'instance of' WHEN 'P279' THEN 'subclass of' ELSE 'no label' END AS label FROM t GROUP BY prop",
         "triples_export": f"WITH {_TRIPLES} SELECT * FROM t",
         "titles_export": f"WITH {_LABELS} SELECT id, replace(replace(label, ',', ''), chr(10), '') AS label FROM l",
-        "clean_labels": "SELECT doc_id, replace(replace(left(text, 120), ',', ''), chr(10), '') AS label FROM documents",
+        "clean_labels": "SELECT doc_id, replace(replace(text, ',', ''), chr(10), '') AS label FROM documents",
         "entities_with_relation": f"WITH {_LABELS}, {_TRIPLES} SELECT id, label FROM l WHERE EXISTS (SELECT 1 FROM t WHERE source = id AND prop = 'P39' AND dest = 'Q11696')",
         "role_holders_classified": f"WITH {_LABELS}, {_TRIPLES} SELECT h.id, CASE WHEN p_size % 14 = 0 THEN h.label || ' (' || coalesce(x.label, 'unknown work') || ')' ELSE h.label || ', REAL' END AS line FROM part JOIN l h ON h.id = 'Q' || (30000000 + p_partkey) LEFT JOIN t ON t.source = h.id AND t.prop = 'P1441' LEFT JOIN l x ON x.id = t.dest WHERE p_size % 7 = 0",
         "relation_and_claim_count": "SELECT count(*) AS n FROM part WHERE p_size % 3 = 0",

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.operators.triples import triples
-from terrace.schemas import CLAIM, DATAVALUE, ENTITY, MONO, PAGE
+from terrace.schemas import CLAIM, DATAVALUE, MONO
 
 POOLS = [f"pool{i}:P361Q{900 + i}" for i in range(5)]
 
@@ -110,6 +110,3 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("page_id").cast("string")
     text = F.concat(F.lit("See ["), "url", F.lit(" ref] and ["), "url", F.lit("/x more]\n* ["), F.regexp_replace("url", "/[^/]*$", ""), F.lit("/s"), k, F.lit(" b] [nolink] http://bare "))
     return p.select(F.col("page_id").cast("bigint").alias("id"), F.concat(F.lit("Page_"), k).alias("title"), F.lit(0).alias("ns"), F.lit("wikitext").alias("model"), F.lit(True).alias("model_known"), F.lit("text").alias("kind"), text.alias("text"), F.lit(None).cast("string").alias("redirect"))
-
-
-__all__ = ["ENTITY", "PAGE", "POOLS", "all_triples", "entities", "order_triples", "page_entities", "pages", "part_entities", "place_entities", "supplier_entities", "table"]

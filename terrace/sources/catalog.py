@@ -30,6 +30,18 @@ class Catalog:
         done = lambda x: any(fs.exists(jvm.org.apache.hadoop.fs.Path(x.getPath(), m)) for m in MARKERS)
         return sorted(x.getPath().getName() for x in fs.listStatus(p) if x.isDirectory() and done(x))
 
+    def names(self, state: str) -> list[str]:
+        fs, p = self._fs(f"{self.root}/{state}")
+        return sorted(x.getPath().getName() for x in fs.listStatus(p) if x.isDirectory()) if fs.exists(p) else []
+
+    def inputs(self, name: str, date: str) -> list[str]:
+        """Landed files of a snapshot, largest first, without markers."""
+        fs, p = self._fs(self.path("download", name, date))
+        files = [x for x in (fs.listStatus(p) if fs.exists(p) else []) if x.isFile() and x.getPath().getName() not in MARKERS and not x.getPath().getName().startswith((".", "_"))]
+        if not files:
+            raise FileNotFoundError(f"nothing has landed in {self.path('download', name, date)}")
+        return [x.getPath().toString() for x in sorted(files, key=lambda x: (-x.getLen(), x.getPath().getName()))]
+
     def latest(self, state: str, name: str) -> str | None:
         return max(self.dates(state, name), default=None)
 
@@ -59,7 +71,8 @@ class Catalog:
         return self._read("labels", name, date)
 
     def triples(self, date: str | None = None, name: str = "entities") -> DataFrame:
-        """Stored triples where there are some, else those of the entities."""
-        if self.latest("triples", name):
-            return self._read("triples", name, date)
+        """Stored triples of the date (of the latest entities) where there are some, else those of the entities."""
+        of = date or self.latest("entities", name)
+        if of in self.dates("triples", name):
+            return self._read("triples", name, of)
         return triples(self.entities(date, name))

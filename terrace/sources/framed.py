@@ -4,21 +4,58 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 MAGIC = b"\xff\x06\x00\x00sNaPpY"
+#: Raw bytes of a frame, at most; frames whose checksums are worked out together; lines of a written file.
+FRAME, TOGETHER, LINES = 65536, 512, 1_000_000
 
 
-def frames(data: bytes) -> Iterator[bytes]:
-    """Contents of the frames; checksums are skipped, a cut-off last frame ends the data."""
+def _crc_table() -> np.ndarray:
+    x = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        x = np.where(x & 1, (x >> 1) ^ np.uint32(0x82F63B78), x >> 1)
+    return x
+
+
+CRC_TABLE = _crc_table()
+
+
+def checksums(parts: list[bytes]) -> list[int]:
+    """The format's masked CRC-32C of each part; all take their bytes in step."""
+    order = sorted(range(len(parts)), key=lambda i: -len(parts[i]))
+    sizes = np.array([len(parts[i]) for i in order], np.int64)
+    width = int(sizes.max(initial=0))
+    data = np.zeros((width, len(parts)), np.uint8)
+    for k, i in enumerate(order):
+        data[: len(parts[i]), k] = np.frombuffer(parts[i], np.uint8)
+    crc = np.full(len(parts), 0xFFFFFFFF, np.uint32)
+    live = np.searchsorted(-sizes, -np.arange(width), "left")  # parts longer than the position
+    for at, n in enumerate(live.tolist()):
+        now = crc[:n]
+        crc[:n] = CRC_TABLE[(now ^ data[at, :n]) & 0xFF] ^ (now >> 8)
+    crc ^= np.uint32(0xFFFFFFFF)
+    masked = ((crc >> np.uint32(15)) | (crc << np.uint32(17))) + np.uint32(0xA282EAD8)
+    out = [0] * len(parts)
+    for k, i in enumerate(order):
+        out[i] = int(masked[k])
+    return out
+
+
+def _pieces(data: bytes) -> Iterator[tuple[int, bytes]]:
+    """(checksum, content) of each frame; ValueError at a cut-off frame or one of an unknown kind."""
     codec, at = pa.Codec("snappy"), 0
-    while at + 4 <= len(data):
+    while at < len(data):
         kind, size = data[at], int.from_bytes(data[at + 1 : at + 4], "little")
         body = data[at + 4 : at + 4 + size]
-        if len(body) < size:
-            return
+        if at + 4 > len(data) or len(body) < size:
+            raise ValueError("the last frame is cut off")
         at += 4 + size
+        if kind in (0x00, 0x01) and size < 4:
+            raise ValueError("a frame without a checksum")
         if kind == 0x00:
             raw, length, shift = body[4:], 0, 0
             for b in raw[:5]:  # the varint of the raw length
@@ -26,20 +63,105 @@ def frames(data: bytes) -> Iterator[bytes]:
                 shift += 7
                 if not b & 0x80:
                     break
-            yield codec.decompress(raw, length).to_pybytes() if length else b""
+            yield int.from_bytes(body[:4], "little"), codec.decompress(raw, length).to_pybytes() if length else b""
         elif kind == 0x01:
-            yield body[4:]
+            yield int.from_bytes(body[:4], "little"), body[4:]
         elif 0x02 <= kind <= 0x7F:
             raise ValueError(f"frame of unknown kind {kind}")
 
 
-def read_framed(spark: SparkSession, paths: str) -> DataFrame:
+def frames(data: bytes) -> Iterator[bytes]:
+    """Contents of the frames, some at a time, with their checksums compared. ValueError where the data is cut off or damaged."""
+    held: list[tuple[int, bytes]] = []
+
+    def checked() -> Iterator[bytes]:
+        for (want, part), got in zip(held, checksums([x for _, x in held]), strict=True):
+            if want != got:
+                raise ValueError("a frame's checksum is wrong")
+            yield part
+        held.clear()
+
+    for piece in _pieces(data):
+        held.append(piece)
+        if len(held) >= TOGETHER:
+            yield from checked()
+    yield from checked()
+
+
+def framed(data: bytes) -> bytes:
+    """``data`` in the framed format."""
+    parts = [data[i : i + FRAME] for i in range(0, len(data), FRAME)]
+    codec, out = pa.Codec("snappy"), [MAGIC]
+    for at in range(0, len(parts), TOGETHER):
+        some = parts[at : at + TOGETHER]
+        for part, crc in zip(some, checksums(some), strict=True):
+            body = crc.to_bytes(4, "little") + codec.compress(part).to_pybytes()
+            out.append(b"\0" + len(body).to_bytes(3, "little") + body)
+    return b"".join(out)
+
+
+def read_framed(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(path, content): the raw bytes of each file. A file is one row, as the format can't be split."""
+    schema = pa.schema([("path", pa.string()), ("content", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("path", pa.string()), ("content", pa.binary())])
         for batch in batches:
             for path, data in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
                 yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([b"".join(frames(data.as_py()))], pa.binary())], schema=schema)
 
     return spark.read.format("binaryFile").load(paths).select("path", "content").mapInArrow(run, "path string, content binary")
+
+
+def read_framed_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, value): the lines of each file, a few frames at a time. A file is one task's."""
+    schema = pa.schema([("path", pa.string()), ("value", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, data in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                rest: list[bytes] = []
+                for part in frames(data.as_py()):
+                    first, *lines = part.split(b"\n")
+                    rest.append(first)
+                    if lines:
+                        whole = [b"".join(rest), *lines[:-1]]
+                        rest = [lines[-1]]
+                        yield pa.RecordBatch.from_arrays([pa.array([path] * len(whole)), pa.array([x.decode("utf-8", "replace") for x in whole])], schema=schema)
+                if last := b"".join(rest):
+                    yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([last.decode("utf-8", "replace")])], schema=schema)
+
+    return spark.read.format("binaryFile").load(paths).select("path", "content").mapInArrow(run, "path string, value string")
+
+
+def write_framed(lines: DataFrame, path: str) -> None:
+    """Lines (value) as .sz files of up to LINES lines, part-<partition>-<number>.sz in ``path``; ``_SUCCESS`` comes last.
+
+    Executors make the files; they pass through the driver one by one, as Spark has no binary sink."""
+    conf = lines.sparkSession.sparkContext
+    schema = pa.schema([("name", pa.string()), ("content", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n, part = [], 0, TaskContext.get().partitionId()
+
+        def made():
+            data = framed(b"".join(held))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([f"part-{part:05}-{n:05}.sz"]), pa.array([data], pa.binary())], schema=schema)
+
+        for batch in batches:
+            held += [(x or "").encode() + b"\n" for x in batch.column("value").to_pylist()]
+            if len(held) >= LINES:
+                yield made()
+                n += 1
+        if held:
+            yield made()
+
+    jvm, files = conf._jvm, lines.select("value").mapInArrow(run, "name string, content binary")
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(conf._jsc.hadoopConfiguration())
+    fs.delete(target, True)
+    for row in files.toLocalIterator():  # one file in the driver at a time
+        out = fs.create(jvm.org.apache.hadoop.fs.Path(path, row["name"]))
+        out.write(bytes(row["content"]))
+        out.close()
+    fs.create(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")).close()

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from terrace.schemas import MODELS, RAW_PAGE
 
 
-def read_pages(spark: SparkSession, paths: str, strict: bool = False) -> DataFrame:
+def read_pages(spark: SparkSession, paths: str | list[str], strict: bool = False) -> DataFrame:
     """(id, title, ns, model, model_known, kind, text, redirect) of <page> elements; of several revisions the last. ``kind`` is 'redirect' where there is one. ``strict`` raises at unknown models."""
-    raw = spark.read.format("xml").option("rowTag", "page").option("ignoreSurroundingSpaces", "false").schema(RAW_PAGE).load(paths)
+    raw = spark.read.format("xml").option("rowTag", "page").option("ignoreSurroundingSpaces", "false").schema(RAW_PAGE).load(paths if isinstance(paths, str) else ",".join(paths))
     last = F.try_element_at("revision", F.lit(-1))
     known = last["model"].isin(MODELS)
     model = F.when(~known, F.raise_error(F.concat(F.lit("unknown model: "), last["model"])).cast("string")).otherwise(last["model"]) if strict else last["model"]

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,9 +18,22 @@ def titles(entities: DataFrame) -> DataFrame:
     return entities.select("id", csv_label(best_label()).alias("label"))
 
 
+def write_separated(df: DataFrame, path: str, sep: str, header: bool) -> None:
+    """Values as they are, between separators; null is nothing. Nothing is quoted or escaped. ``header`` puts the column names first in each part."""
+    first, schema = sep.join(df.columns), pa.schema([("value", pa.string())])
+
+    def headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array([first])], schema=schema)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string())], schema=schema)
+
+    lines = df.select(F.concat_ws(sep, *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns]).alias("value"))
+    (lines.mapInArrow(headed, "value string") if header else lines).write.mode("overwrite").text(path)
+
+
 def write_csv(df: DataFrame, path: str, single: bool = False) -> None:
     """Unquoted CSV with a header; ``single`` gives one file through one task, for small tables only."""
-    (df.coalesce(1) if single else df).write.mode("overwrite").option("header", True).option("quote", "").csv(path)
+    write_separated(df.coalesce(1) if single else df, path, ",", True)
 
 
 def graph_nodes(entities: DataFrame) -> DataFrame:
@@ -33,11 +47,11 @@ def graph_edges(triples: DataFrame) -> DataFrame:
 def write_graph(entities: DataFrame, triples: DataFrame, path: str) -> None:
     """nodes/ and tuples/ with a header in each part, separated by semicolons."""
     for name, df in (("nodes", graph_nodes(entities)), ("tuples", graph_edges(triples))):
-        df.write.mode("overwrite").option("header", True).option("sep", ";").option("quote", "").csv(f"{path}/{name}")
+        write_separated(df, f"{path}/{name}", ";", True)
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("sep", "\t").option("quote", "").csv(path)
+    write_separated(df, path, "\t", False)
 
 
 def title_table(pages: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from terrace.functions import entities as fe
 from terrace.functions.refs import P, Q, parse_ref
 from terrace.functions.texts import links, normalize_title
 from terrace.operators import graph, mapreduce, pools, urls
-from terrace.plans import catalogue
+from terrace.plans import catalogue, compile, roundtrips
 from terrace.sources import catalog, entities, framed, landing, pages, sinks
 
 SF = "/root/testdata/sf0.001"
@@ -131,19 +131,52 @@ def test_framed(spark, tmp_path):
     import pyarrow as pa
 
     packed = pa.Codec("snappy").compress(b"hello " * 9).to_pybytes()
-    frame = lambda kind, body: bytes([kind]) + (len(body) + 4).to_bytes(3, "little") + b"\0" * 4 + body
-    (tmp_path / "x.sz").write_bytes(framed.MAGIC + frame(0, packed) + frame(1, b"raw") + b"\x00\xff")
+    frame = lambda kind, body, raw: bytes([kind]) + (len(body) + 4).to_bytes(3, "little") + framed.checksums([raw])[0].to_bytes(4, "little") + body
+    whole = framed.MAGIC + frame(0, packed, b"hello " * 9) + frame(1, b"raw", b"raw")
+    (tmp_path / "x.sz").write_bytes(whole)
+    assert framed.checksums([b"123456789"])[0] == ((0xE3069283 >> 15 | 0xE3069283 << 17) + 0xA282EAD8) & 0xFFFFFFFF  # the published check value
+    for bad in (whole + b"\x00\xff", whole[:-1], whole[:-1] + b"W"):
+        with pytest.raises(ValueError):
+            list(framed.frames(bad))
+    big = random.Random(1).randbytes(200_000) + b"line\n" * 20_000
+    assert b"".join(framed.frames(framed.framed(big))) == big
     assert bytes(framed.read_framed(spark, str(tmp_path / "x.sz")).first()["content"]) == b"hello " * 9 + b"raw"
 
 
-@pytest.mark.parametrize("name", sorted(catalogue.queries()))
+def test_compile(spark, tmp_path):
+    """What has landed is compiled once, with what can't be read apart; stored triples are those of the date asked for."""
+    c = catalog.Catalog(spark, str(tmp_path))
+    for day in ("20240101", "20240201"):
+        (tmp_path / "in" / day).mkdir(parents=True)
+        ref = {"entity-type": "item", "numeric-id": int(day)}
+        (tmp_path / "in" / day / "e.json").write_text("[\n" + entity("Q1", claims={"P1": [claim("P1", "wikibase-entityid", ref)]}) + ",\nbroken\n]\n")
+        landing.import_snapshot(str(tmp_path / "in" / day), str(tmp_path), "entities", day)
+    (tmp_path / "wiki").mkdir()
+    (tmp_path / "wiki" / "p.xml").write_text("<m><page><title>A</title><ns>0</ns><id>1</id><revision><id>9</id><model>wikitext</model><text>t</text></revision></page></m>")
+    landing.import_snapshot(str(tmp_path / "wiki"), str(tmp_path), "w", "20240301")
+    assert compile.compile_all(c) == [("entities", "20240201"), ("w", "20240301")] and compile.compile_all(c) == []
+    compile.compile_entities(c, "entities", "20240101")
+    assert [tuple(r) for r in c.triples("20240101").collect()] == [("Q1", "P1", "Q20240101")] and c.triples().first()["dest"] == "Q20240201"
+    assert c.entities().count() == 1 and spark.read.parquet(c.path("quarantine", "entities", "20240201")).count() == 1
+    assert c.pages("w").first()["title"] == "A"
+    with pytest.raises(FileNotFoundError):
+        compile.compile_pages(c, "w", "20200101")
+
+
+def test_closure_is_whole(spark):
+    e = spark.createDataFrame([(f"n{i + 1}", f"n{i}") for i in range(5)], "child string, parent string")
+    with pytest.raises(ValueError):
+        graph.descendants(e, spark.createDataFrame([("n0",)], "root string"), most_rounds=3)
+
+
+@pytest.mark.parametrize("name", sorted({**catalogue.queries(), **roundtrips.queries()}))
 def test_catalogue(spark, name):
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
-    df = catalogue.queries()[name](spark, SF)
+    df = {**catalogue.queries(), **roundtrips.queries()}[name](spark, SF)
     cols = sorted(df.columns)
-    cur = con.execute(catalogue.oracle_sql()[name])
+    cur = con.execute({**catalogue.oracle_sql(), **roundtrips.oracle_sql()}[name])
     names = [d[0] for d in cur.description]
     want = sorted(str([row[names.index(c)] for c in cols]) for row in cur.fetchall())
     got = sorted(str([r[c] for c in cols]) for r in df.collect())
