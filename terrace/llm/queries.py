@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from terrace.llm.ann import op2_nearest_neighbours
 from terrace.llm.chat import op9_quotation_linking
 from terrace.llm.jaccard import op3_ngram_jaccard
-from terrace.llm.licenses import op6_license_scan
+from terrace.llm.licenses import CONTAINED, LOWER, TEMPLATES, TOKEN, UPPER, op6_license_scan
 from terrace.llm.mixing import op5_mixing_weights
 from terrace.llm.packing import op7_packing
 from terrace.llm.quality import MOST_BANGS_PER_WORD, MOST_LOST, MOST_SYMBOLS_PER_WORD, op8_quality_rules
@@ -75,6 +75,21 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND lost_words <= n_words * {{most}} AS kept FROM c
 """
 
+_TEMPLATES = ", ".join("('" + k + "', '" + t.replace("'", "''") + "')" for k, t in TEMPLATES.items())
+_TOKENS = f"regexp_extract_all(translate(coalesce(x, ''), '{UPPER}', '{LOWER}'), '{TOKEN}')"
+_LICENSES = f"""
+WITH t AS (SELECT license, {_TOKENS} AS w FROM (VALUES {_TEMPLATES}) AS v(license, x)),
+o AS (SELECT DISTINCT license, 2 * len(w) AS span, array_to_string(w[i:i + 2], ' ') AS g FROM (SELECT license, w, unnest(range(1, len(w) - 1)) AS i FROM t)),
+n AS (SELECT license, count(*) AS n FROM o GROUP BY ALL),
+s AS (SELECT doc_id, i - 1 AS p, array_to_string(w[i:i + 2], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM (SELECT doc_id, {_TOKENS} AS w FROM (SELECT doc_id, text AS x FROM documents)))),
+m AS (SELECT doc_id, license, span, p, g FROM s JOIN o USING (g)),
+e AS (SELECT doc_id, license FROM m JOIN n USING (license) GROUP BY doc_id, license, n HAVING count(DISTINCT g) / n >= {CONTAINED}),
+c AS (SELECT a.doc_id, a.license, a.p, count(DISTINCT b.g) AS k, max(b.p) - a.p AS long FROM m a JOIN m b ON a.doc_id = b.doc_id AND a.license = b.license AND b.p >= a.p AND b.p < a.p + a.span
+  JOIN e ON e.doc_id = a.doc_id AND e.license = a.license GROUP BY a.doc_id, a.license, a.p),
+b AS (SELECT doc_id, license, k / n AS contained, p, row_number() OVER (PARTITION BY doc_id, license ORDER BY k DESC, long, p) AS r FROM c JOIN n USING (license))
+SELECT doc_id, license, contained, p::BIGINT AS first_word FROM b WHERE r = 1 AND contained >= {CONTAINED}
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     from terrace.llm.quality import BOILERPLATE, NAVIGATION
@@ -82,6 +97,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_ngram_jaccard": _COMPONENTS,
         "op4_suffix_dedup": _PASSAGES,
+        "op6_license_scan": _LICENSES,
         "op8_quality_rules": _QUALITY.format(phrases="|".join(NAVIGATION + BOILERPLATE), symbols=MOST_SYMBOLS_PER_WORD, bangs=MOST_BANGS_PER_WORD, most=MOST_LOST),
         "op10_substring_dedup": _REMOVED,
     }

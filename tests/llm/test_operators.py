@@ -320,12 +320,40 @@ def test_quality(spark, docs, empty):
     assert quality.judge(empty).count() == 0
 
 
+def licenses_by_force(rows):
+    own = {k: (len(licenses.tokens(t)), set(licenses.shingles(licenses.tokens(t)))) for k, t in licenses.TEMPLATES.items()}
+    out = []
+    for doc_id, t, *_ in rows:
+        s = licenses.shingles(licenses.tokens(t or ""))
+        for k, (n, mine) in own.items():
+            found = []
+            for p in (i for i, x in enumerate(s) if x in mine):
+                held = [q for q in range(p, min(len(s), p + 2 * n)) if s[q] in mine]
+                found.append((-len({s[q] for q in held}), held[-1] - p, p))
+            if found and -min(found)[0] / len(mine) >= licenses.CONTAINED:
+                out.append((doc_id, k, -min(found)[0] / len(mine), min(found)[2]))
+    return sorted(out, key=str)
+
+
 def test_licenses(spark, empty):
-    rows = [(i, f"Some words, then\n{t.upper()} and more of it.") for i, t in enumerate(licenses.TEMPLATES.values())] + [(90, "under the license"), (91, None), (92, ""), (93, "plain prose of the kind that has no notice " * 30)]
-    got = {(r["doc_id"], r["license"]): (r["contained"], r["first_word"]) for r in licenses.find_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    rng = random.Random(4)
+    prose = lambda n: " ".join(f"w{rng.randrange(500)}" for _ in range(n))
+    rows = [(i, f"Some words, then\n{t.upper()} and more of it.") for i, t in enumerate(licenses.TEMPLATES.values())]
+    for t in licenses.TEMPLATES.values():  # with words changed, added and left out, some too many; in the midst of prose; twice; cut off
+        for edits in (1, 3, 9):
+            w = t.split()
+            for _ in range(edits):
+                i = rng.randrange(len(w))
+                w[i : i + 1] = rng.choice([["changed"], [], [w[i], "added"]])
+            rows.append((None if edits == 3 else 100 + len(rows), f"{prose(rng.randrange(90))} {' '.join(w)} {prose(20)} {t}"[: rng.randrange(200, 9000)]))
+    rows += [(90, "under the license"), (91, None), (92, ""), (93, "plain prose of the kind that has no notice " * 30), (94, "a b")] + rows[9:11]
+    rows.append((95, prose(40_000) + " " + licenses.TEMPLATES["BSD-3-Clause-text"] + " " + prose(40_000) + 40 * (" " + licenses.TEMPLATES["MIT"])))
+    docs = spark.createDataFrame([(*r, "x", "y", "z") for r in rows], "doc_id long, text string, license string, contained string, w string")
+    got = sorted((tuple(r) for r in licenses.find_licenses(docs).collect()), key=str)
+    assert got == licenses_by_force(rows)
     for i, k in enumerate(licenses.TEMPLATES):
-        assert got[i, k] == (1.0, 3)
-    assert not {d for d, _ in got} & {90, 91, 92, 93}
+        assert (i, k, 1.0) in {r[:3] for r in got}
+    assert not {r[0] for r in got} & {90, 91, 92, 93, 94}
     assert licenses.find_licenses(empty).count() == 0
 
 
