@@ -3,7 +3,7 @@
 Texts and templates are cut to overlapping windows of eight words. A window's shingles (three words) are hashed, and each
 of twelve bands keeps the hash that is least after flipping the band's bits: a MinHash with one row a band, so windows
 with similarity j meet in some band with probability 1 - (1 - j)^12. Windows of a text start every fourth word, so one holds any five
-words in a row; a template has a window at each word. A template of five words, the shortest allowed, has j = 1/2 there and is retrieved
+words in a row (``stride`` is at most window - 2); a template has a window at each word. A template of five words, the shortest allowed, has j = 1/2 there and is retrieved
 with probability 0.9997; where eleven words of a longer one stand unchanged, j = 1. Each band maps its values to the
 templates that have them, as literals: retrieval is an expression on each row, without a join or a shuffle, and gives each row the
 few templates to verify. These are held against the row by their shingles: first by their hashes, all at once, then, stretch by
@@ -141,24 +141,20 @@ def find_licenses(docs: DataFrame, text: str = "text", templates: dict[str, str]
     maps = [F.map_from_arrays(_longs(m), F.split(F.lit(",".join(" ".join(map(str, sorted(v))) for v in m.values())), ",")) for m in found]
     a = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.regexp_extract_all(F.translate(F.coalesce(F.col(text).cast("string"), F.lit("")), UPPER, LOWER), F.lit(f"({TOKEN})"), F.lit(1)).alias("w"))
     a = a.withColumn("h", triples(F.col("w"), lambda x, y: F.xxhash64(x, y)))
-    starts = F.sequence(F.lit(0), F.greatest(F.size("h") - (window - 2) + stride - 1, F.lit(0)), F.lit(stride))
-    a = a.select("doc_id", "w", "h", starts.alias("starts"))
+    # a window whose least hash is a template's holds that template's shingle: only windows around such are worth their bands
+    every = sorted({x for h in hashes for x in h})
+    a = a.select("doc_id", "w", "h", F.array_compact(F.transform("h", lambda x, i: F.when(x.isin(every), i))).alias("hits"))
 
-    def least(at):
-        here = [F.get("h", at + i) for i in range(window - 2)]
-        return [F.least(*[x.bitwiseXOR(F.lit(bits)) for x in here]) for bits in _flips(bands)]
-
-    def meets(at):
-        out = F.lit(False)
-        for x, m in zip(least(at), found, strict=True):
-            out = out | x.isin(list(m))
-        return out
+    def around(i):
+        return F.sequence(F.greatest(F.ceil((i - (window - 3)) / stride).cast("int") * stride, F.lit(0)), i - i % stride, F.lit(stride))
 
     def retrieved(at):
-        return F.split(F.concat_ws(" ", *[F.try_element_at(m, x) for x, m in zip(least(at), maps, strict=True)]), " ")
+        here = [F.get("h", at + i) for i in range(window - 2)]
+        least = [F.least(*[x.bitwiseXOR(F.lit(bits)) for x in here]) for bits in _flips(bands)]
+        return F.filter(F.split(F.concat_ws(" ", *[F.try_element_at(m, x) for x, m in zip(least, maps, strict=True)]), " "), lambda x: x != "")
 
     # one row for each template that a row retrieves; outer, as Spark would push what it infers from an inner one below the hashes and work them out again
-    numbers = F.array_distinct(F.flatten(F.transform(F.filter("starts", meets), retrieved)))
+    numbers = F.array_distinct(F.flatten(F.transform(F.array_distinct(F.flatten(F.transform("hits", around))), retrieved)))
     a = a.select("doc_id", "w", "h", F.explode_outer(numbers.cast("array<int>")).alias("number")).where("number is not null")
     known = []
     for (name, t), h in zip(templates.items(), hashes, strict=True):
