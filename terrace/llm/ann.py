@@ -26,6 +26,8 @@ SHARD_ROWS = 8192
 DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 32, 64, 96, 1.2
 #: Longest vectors that walks begin at; vectors that the beam is tried with, and the share of their nearest that it has to find.
 ENTRIES, TRIED, WANTED = 32, 64, 0.97
+#: Edges that lead to a node at least; the widest beam that pays, as a share of the shard and in nodes.
+IN_EDGES, WIDEST_SHARE, WIDEST = 4, 8, 1024
 #: Queries that walk together; numbers that pruning holds at a time.
 QUERIES_AT_A_TIME, PRUNED_AT_A_TIME = 256, 1 << 22
 
@@ -73,8 +75,8 @@ def robust_prune(points: np.ndarray, nodes: np.ndarray, proposed: np.ndarray, de
     for a in range(0, len(nodes), step):
         x, ids = nodes[a : a + step], proposed[a : a + step]
         ids = np.where(ids == x[:, None], -1, ids)
-        p = points[ids]
-        d = np.where(ids >= 0, ((p - points[x][:, None]) ** 2).sum(2), np.inf)
+        p = points[ids] - points[x][:, None]  # seen from the node, so that near ones keep their digits
+        d = np.where(ids >= 0, (p * p).sum(2), np.inf)
         order = np.argsort(d, axis=1, kind="stable")
         rows = np.arange(len(x))[:, None]
         ids, d, p = ids[rows, order], d[rows, order], p[rows, order]
@@ -122,6 +124,7 @@ class Graph:
             self.edges[step] = kept
             self._back(np.repeat(step, degree)[kept.ravel() >= 0], kept.ravel()[kept.ravel() >= 0], degree, alpha)
             done += len(step)
+        self._anchored(beam)
         self.beam = self._calibrated(max(SEARCH_BEAM, top + 1))
 
     def _back(self, new: np.ndarray, at: np.ndarray, degree: int, alpha: float) -> None:
@@ -143,8 +146,40 @@ class Graph:
             every[row, np.repeat(have[some], count[some]) + rank] = new[np.repeat(begin[some], count[some]) + rank]
             self.edges[nodes[some]] = every if most == degree else robust_prune(self.points, nodes[some], every, degree, alpha)
 
+    def _reached(self) -> np.ndarray:
+        """Which nodes some walk can come to."""
+        out, at = np.zeros(len(self.points), bool), self.entries
+        while len(at):
+            out[at] = True
+            near = self.edges[at]
+            at = np.unique(near[near >= 0])
+            at = at[~out[at]]
+        return out
+
+    def _anchored(self, beam: int) -> None:
+        """Pruning can take the last edges to a node. Nodes that few edges or no walk leads to get some from the nearest nodes that a walk
+        finds, in columns of their own, as many as a node has edges, or more where no node found has room."""
+        degree = self.edges.shape[1]
+        into = np.bincount(self.edges[self.edges >= 0], minlength=len(self.points))
+        weak = np.flatnonzero((into < IN_EDGES) | ~self._reached())
+        self.edges = np.concatenate([self.edges, np.full_like(self.edges, -1)], 1)
+        load = np.zeros(len(self.points), np.int64)
+        for a in range(0, len(weak), QUERIES_AT_A_TIME):
+            some = weak[a : a + QUERIES_AT_A_TIME]
+            found, _ = beam_search(self.points, self.edges, self.entries, self.points[some], beam)
+            for node, near in zip(some, found, strict=True):
+                near = near[(near >= 0) & (near != node)]
+                room = near[load[near] < degree]
+                for at in (room if len(room) else near)[:IN_EDGES]:
+                    if degree + load[at] == self.edges.shape[1]:
+                        self.edges = np.concatenate([self.edges, np.full_like(self.edges[:, :degree], -1)], 1)
+                    self.edges[at, degree + load[at]] = node
+                    load[at] += 1
+        self.edges = np.ascontiguousarray(self.edges[:, : degree + int(load.max())])
+
     def _calibrated(self, beam: int) -> int:
-        """The beam, doubled until it finds WANTED of the true nearest of some of the vectors; the whole shard at last."""
+        """The beam, doubled until it finds WANTED of the true nearest of some of the vectors; the whole shard where that takes a beam so
+        wide that walks cost more than to score every node."""
         n = len(self.points)
         queries = self.points[np.random.default_rng(n + 1).permutation(n)[:TRIED]]
         k = min(self.top, n)
@@ -154,7 +189,7 @@ class Graph:
             _, got = beam_search(self.scaled, self.edges, self.entries, queries, beam)
             if (got[:, :k] >= least[:, None] - 1e-6 * np.abs(least[:, None])).mean() >= WANTED:
                 break
-            beam *= 2
+            beam = beam * 2 if beam * 2 <= max(n // WIDEST_SHARE, WIDEST) else n
         return min(beam, max(n, self.top + 1))
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, beam: int | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -165,7 +200,11 @@ class Graph:
         unit = unit.astype(np.float32)
         for a in range(0, len(queries), QUERIES_AT_A_TIME):
             b = a + QUERIES_AT_A_TIME
-            found, _ = beam_search(self.scaled, self.edges, self.entries, unit[a:b], beam)
+            if beam < len(self.points):
+                found, _ = beam_search(self.scaled, self.edges, self.entries, unit[a:b], beam)
+            else:  # no beam that pays finds enough: every node, and of these some more than wanted, as single precision may confuse near ones
+                most = min(len(self.points), SEARCH_BEAM + self.top)
+                found = np.argpartition(-(unit[a:b] @ self.scaled.T), most - 1, axis=1)[:, :most]
             for query_id, q, nodes in zip(query_ids[a:b].tolist(), queries[a:b], found, strict=True):
                 nodes = nodes[nodes >= 0]
                 with np.errstate(over="ignore", invalid="ignore"):

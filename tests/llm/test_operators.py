@@ -462,6 +462,22 @@ def test_toxic_windows():
     assert np.allclose(again, got)
 
 
+def test_graph_reaches_all():
+    """Vectors of which many are close to one: walks come to each, no beam as wide as the shard is needed, and a scan of the shard gives the same."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1500, 64))
+    x[:300] = x[0] + 0.02 * rng.normal(size=(300, 64))
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    g = ann.Graph(np.arange(1500), x, degree=12)
+    assert g._reached().all() and g.beam < 1500
+    scores = x @ x.T
+    np.fill_diagonal(scores, -np.inf)
+    least = np.sort(scores, axis=1)[:, -20]
+    for beam, wanted in ((None, 0.9), (1500, 1.0)):
+        found = list(g.search(np.arange(0, 1500, 10), x[::10], beam))
+        assert np.mean([(s >= least[i] - 1e-9).sum() / 20 for i, _, s in found]) >= wanted
+
+
 def test_chat(spark):
     rows = [
         (1, 0, "user", "How do I sort?\nThanks"),
