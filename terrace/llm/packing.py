@@ -34,8 +34,9 @@ DIMS, BITS = 4, 12
 CACHED_WORDS, CACHED_BYTES = 800_000, 64
 #: Words up to so many bytes are hashed together, eight bytes at a time; longer ones one by one.
 STEPPED_BYTES = 64
-#: Rows that place the range bounds, about.
+#: Rows that place the range bounds, about; what a row weighs beside its text.
 SAMPLE_ROWS = 20_000
+ROW_BYTES = 64
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 PIECE_SCHEMA = pa.schema([(x.split()[0], pa.int64()) for x in PIECE.split(", ")])
@@ -215,8 +216,8 @@ SPREAD_BITS = 62 - DIMS * BITS
 
 
 def _keyed(bounds: np.ndarray | None):
-    """(doc_id, text, spread) to the same with place (Hilbert key, then bits of ``spread``) and part; without ``bounds`` only the place."""
-    fields = [("place", pa.int64())] if bounds is None else [("doc_id", pa.int64()), ("text", pa.string()), ("place", pa.int64()), ("part", pa.int32())]
+    """(doc_id, text, spread) to the same with place (Hilbert key, then bits of ``spread``) and part; without ``bounds`` only the place and the weight."""
+    fields = [("place", pa.int64()), ("weight", pa.int64())] if bounds is None else [("doc_id", pa.int64()), ("text", pa.string()), ("place", pa.int64()), ("part", pa.int32())]
     schema = pa.schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,7 +227,7 @@ def _keyed(bounds: np.ndarray | None):
                 s = slice(first, first + len(texts))
                 place = curve_keys(texts) << SPREAD_BITS | spread[s]
                 if bounds is None:
-                    yield record(schema, place)
+                    yield record(schema, place, [len(t or b"") + ROW_BYTES for t in texts])
                 else:
                     yield record(schema, batch.column("doc_id")[s.start : s.stop], batch.column("text")[s.start : s.stop], place, np.searchsorted(bounds, place, "right").astype(np.int32))
 
@@ -234,15 +235,19 @@ def _keyed(bounds: np.ndarray | None):
 
 
 def range_bounds(docs: DataFrame, n: int) -> np.ndarray:
-    """n - 1 places that cut the curve into ranges of about as many rows, from a sample of about SAMPLE_ROWS rows.
+    """n - 1 places that cut the curve into ranges of about as many bytes, from a sample of about SAMPLE_ROWS rows.
 
     They only say which task packs which stretch of the curve: every row is packed wherever they are."""
     rows = docs.count()
     if n < 2 or not rows:
         return np.zeros(0, np.int64)
     sample = docs.sample(min(1.0, SAMPLE_ROWS / rows), 7) if rows > SAMPLE_ROWS else docs
-    places = np.sort(np.array([r["place"] for r in sample.mapInArrow(_keyed(None), "place long").collect()], np.int64))
-    return places[np.arange(1, n) * len(places) // n] if len(places) else np.zeros(0, np.int64)
+    found = np.array([tuple(r) for r in sample.mapInArrow(_keyed(None), "place long, weight long").collect()], np.int64).reshape(-1, 2)
+    found = found[np.argsort(found[:, 0], kind="stable")]
+    if not len(found):
+        return np.zeros(0, np.int64)
+    upto = np.cumsum(found[:, 1])
+    return found[np.searchsorted(upto, np.arange(1, n) * (upto[-1] / n)), 0]
 
 
 def _packer(path: str, length: int, with_ids: bool):
