@@ -478,6 +478,103 @@ def test_graph_reaches_all():
         assert np.mean([(s >= least[i] - 1e-9).sum() / 20 for i, _, s in found]) >= wanted
 
 
+def quote_level(line):
+    """(level, rest) of a line, character by character."""
+    i = 0
+    while i < min(3, len(line)) and line[i] in " \t":
+        i += 1
+    level = 0
+    while line[i : i + 1] == ">":
+        level, i = level + 1, i + 1
+        if line[i : i + 1] in (" ", "\t"):
+            i += 1
+    return (level, line[i:]) if level else (0, line)
+
+
+def links_by_force(rows):
+    """(conv_id, turn) to reply_to and thread: every quoted passage is compared with all that every earlier message wrote."""
+    wrote, quoted = {}, {}
+    norm = lambda lines: " ".join(" ".join(lines).lower().split())
+    for conv, turn, _, text in rows:
+        if conv is None or turn is None or not text:
+            continue
+        lines = [quote_level(x) for x in text.split("\n")]
+        own, levels = [], quoted.setdefault((conv, turn), set())
+        at = 0
+        while at < len(lines):
+            end = at
+            while end < len(lines) and lines[end][0] == lines[at][0]:
+                end += 1
+            run = [x for _, x in lines[at:end]]
+            if lines[at][0]:
+                full = [x for x in run if x.strip()]
+                levels |= {(lines[at][0], norm(x)) for x in [full, *([x] for x in full)] if norm(x)}
+            else:
+                if end < len(lines):
+                    last = len(run)
+                    while last and not run[last - 1].strip():
+                        last -= 1
+                    if last and run[last - 1].endswith("wrote:"):
+                        run = run[: last - 1]
+                own += run
+            at = end
+        mine, part = {norm(own)}, []
+        for x in [*own, ""]:
+            mine.add(norm([x]))
+            if x.strip():
+                part.append(x)
+            else:
+                mine.add(norm(part))
+                part = []
+        wrote.setdefault((conv, turn), set()).update(mine - {""})
+    reply = {}
+    for (conv, turn), passages in quoted.items():
+        score = {}
+        for level, words_ in passages:
+            writers = [t for (c, t), mine in wrote.items() if c == conv and t < turn and words_ in mine]
+            if writers:
+                key = level, max(writers)
+                score[key] = score.get(key, 0) + len(words_.split())
+        if score:
+            reply[conv, turn] = min(score, key=lambda k: (k[0], -score[k], -k[1]))[1]
+
+    def first(conv, turn):
+        return first(conv, reply[conv, turn]) if (conv, turn) in reply else turn
+
+    return {(c, t): (reply.get((c, t)), first(c, t)) for c, t, _, _ in rows}
+
+
+def test_chat_by_force(spark):
+    """Nested and partial quotes, introductions, passages that several wrote, repeated turns, nulls, a very long message; columns with clashing names."""
+    rng = random.Random(11)
+    rows = []
+    for conv in range(6):
+        made = []
+        for turn in range(14):
+            lines = []
+            for text in rng.sample(made, min(len(made), rng.choice([0, 1, 1, 2]))):
+                theirs = text.split("\n")
+                if rng.random() < 0.4:
+                    theirs = theirs[rng.randrange(len(theirs)) :]
+                mark = rng.choice(["> ", ">", " >\t"])
+                lines += rng.choice([[], ["Ann wrote:"], ["Ann wrote:", ""]]) + [mark + (x.upper() if rng.random() < 0.2 else x) for x in theirs]
+                lines += rng.choice([[], [""]]) + [" ".join(f"w{rng.randrange(12)}" for _ in range(rng.randrange(1, 5))) for _ in range(rng.randrange(3))]
+            lines += [" ".join(f"v{rng.randrange(30)}" for _ in range(rng.randrange(1, 4))) if rng.random() < 0.85 else "" for _ in range(rng.randrange(1, 4))]
+            made.append("\n".join(lines))
+            rows.append((conv, turn, "user", made[-1]))
+    long = "\n".join(f"long {i} line" for i in range(20_000))
+    rows += [(9, 0, "user", long), (9, 1, "user", "> " + long.replace("\n", "\n> ") + "\nyes"), (9, 2, None, None), (9, 3, "user", ""), (9, 4, "user", "> nobody wrote this")]
+    rows += [(9, 5, "user", "> yes"), (9, 5, "user", "> yes"), (None, 1, "user", "> yes"), (9, None, "user", "> yes"), (9, 0, "user", "twin")]
+    want = links_by_force(rows)
+    assert len({v[0] for v in want.values()}) > 8 and sum(v[0] is not None for v in want.values()) > 30
+    messages = spark.createDataFrame([(*r, "x", 1) for r in rows], "conv_id long, turn long, role string, text string, thread string, reply_to int").repartition(5)
+    got = chat.build_conversations(messages).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert (r["reply_to"], r["thread"]) == want[r["conv_id"], r["turn"]], r
+    assert chat.build_conversations(messages.limit(0)).count() == 0
+
+
 def test_chat(spark):
     rows = [
         (1, 0, "user", "How do I sort?\nThanks"),
