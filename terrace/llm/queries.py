@@ -12,6 +12,7 @@ from terrace.llm.jaccard import op3_ngram_jaccard
 from terrace.llm.licenses import CONTAINED, LOWER, TEMPLATES, TOKEN, UPPER, op6_license_scan
 from terrace.llm.mixing import op5_mixing_weights
 from terrace.llm.packing import op7_packing
+from terrace.llm.pieces import op11_sentencepiece
 from terrace.llm.quality import MOST_BANGS_PER_WORD, MOST_LOST, MOST_SYMBOLS_PER_WORD, op8_quality_rules
 from terrace.llm.substring import op10_substring_dedup
 from terrace.llm.suffix import op4_suffix_dedup
@@ -21,7 +22,7 @@ WORDS = r"'[^\x20\x09-\x0D]+'"
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_nearest_neighbours, op3_ngram_jaccard, op4_suffix_dedup, op5_mixing_weights, op6_license_scan, op7_packing, op8_quality_rules, op9_quotation_linking, op10_substring_dedup)}
+    return {f.__name__: f for f in (op1_toxicity, op2_nearest_neighbours, op3_ngram_jaccard, op4_suffix_dedup, op5_mixing_weights, op6_license_scan, op7_packing, op8_quality_rules, op9_quotation_linking, op10_substring_dedup, op11_sentencepiece)}
 
 
 _COMPONENTS = rf"""
