@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from terrace.llm.align import op12_tokenizer_alignment
 from terrace.llm.ann import op2_nearest_neighbours
 from terrace.llm.chat import op9_quotation_linking
 from terrace.llm.jaccard import op3_ngram_jaccard
@@ -17,12 +18,13 @@ from terrace.llm.quality import MOST_BANGS_PER_WORD, MOST_LOST, MOST_SYMBOLS_PER
 from terrace.llm.substring import op10_substring_dedup
 from terrace.llm.suffix import op4_suffix_dedup
 from terrace.llm.toxicity import op1_toxicity
+from terrace.llm.trie import op13_conversation_trie
 
 WORDS = r"'[^\x20\x09-\x0D]+'"
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_nearest_neighbours, op3_ngram_jaccard, op4_suffix_dedup, op5_mixing_weights, op6_license_scan, op7_packing, op8_quality_rules, op9_quotation_linking, op10_substring_dedup, op11_sentencepiece)}
+    return {f.__name__: f for f in (op1_toxicity, op2_nearest_neighbours, op3_ngram_jaccard, op4_suffix_dedup, op5_mixing_weights, op6_license_scan, op7_packing, op8_quality_rules, op9_quotation_linking, op10_substring_dedup, op11_sentencepiece, op12_tokenizer_alignment, op13_conversation_trie)}
 
 
 _COMPONENTS = rf"""
