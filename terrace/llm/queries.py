@@ -93,6 +93,22 @@ b AS (SELECT doc_id, license, k / n AS contained, p, row_number() OVER (PARTITIO
 SELECT doc_id, license, contained, p::BIGINT AS first_word FROM b WHERE r = 1 AND contained >= {CONTAINED}
 """
 
+#: The checksum of a conversation's number is worked out bit by bit. A node is named by the digest of all turns up to it, with their lengths.
+_TRIE = """
+WITH t AS (SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p FROM conversations WHERE conv_id IS NOT NULL),
+i AS (SELECT c, c - c % 5 AS f, xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(c::VARCHAR, ''), lambda z: ascii(z)::UBIGINT)),
+  lambda s, b: list_reduce(list_prepend(xor(s, b), range(8)::UBIGINT[]), lambda y, k: xor(y >> 1, 3988292384::UBIGINT * (y & 1)))), 4294967295::UBIGINT) % 9 AS h FROM (SELECT DISTINCT conv_id AS c FROM t)),
+a AS (SELECT c, 1 AS s, p, r, x FROM i JOIN t ON conv_id = f AND p <= h UNION ALL SELECT c, 2, p, r, x FROM i JOIN t ON conv_id = c AND p > h),
+b AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY s, p) AS d, strlen(x) AS size, length(r) || ':' || r || length(x) || ':' || x AS y FROM a),
+k AS (SELECT c, d, size, sha256(string_agg(y, '') OVER (PARTITION BY c ORDER BY d)) AS key FROM b UNION ALL SELECT c, 0, 0, sha256('') FROM i),
+m AS (SELECT *, lag(key) OVER (PARTITION BY c ORDER BY d) AS up, d = max(d) OVER (PARTITION BY c) AS last FROM k),
+n AS (SELECT key, any_value(d) AS depth, any_value(up) AS up, min(c) AS conv, count(*) AS n, (count(*) - 1) * any_value(size) AS saved, string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (last) AS ends FROM m GROUP BY key),
+kids AS (SELECT up AS key, count(*) AS n_children FROM n WHERE up IS NOT NULL GROUP BY ALL),
+g AS (SELECT above.key, count(*) FILTER (n_children IS NULL) AS n_leaves, sum(saved) AS saved FROM n LEFT JOIN kids USING (key) JOIN m above ON above.c = n.conv AND above.d <= n.depth GROUP BY ALL)
+SELECT n.conv AS conv_id, n.depth::BIGINT AS depth, p.conv AS parent_conv_id, n.n::BIGINT AS n_convs, coalesce(n_children, 0)::BIGINT AS n_children, g.n_leaves::BIGINT AS n_leaves, g.saved::BIGINT AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM n LEFT JOIN n p ON p.key = n.up LEFT JOIN kids ON kids.key = n.key JOIN g ON g.key = n.key
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     from terrace.llm.quality import BOILERPLATE, NAVIGATION
@@ -103,4 +119,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_license_scan": _LICENSES,
         "op8_quality_rules": _QUALITY.format(phrases="|".join(NAVIGATION + BOILERPLATE), symbols=MOST_SYMBOLS_PER_WORD, bangs=MOST_BANGS_PER_WORD, most=MOST_LOST),
         "op10_substring_dedup": _REMOVED,
+        "op13_conversation_trie": _TRIE,
     }
