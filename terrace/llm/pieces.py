@@ -30,7 +30,7 @@ from terrace.llm.common import chunks, record, table
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 #: Stretches of text and pairs of pieces that a worker keeps; longer stretches aren't kept.
-KEPT_STRETCHES, KEPT_CHARS, KEPT_PAIRS = 1_000_000, 64, 1 << 20
+KEPT_STRETCHES, KEPT_CHARS, KEPT_PAIRS = 700_000, 64, 1 << 20
 #: The library's stand-in for an unknown piece.
 UNKNOWN = " ⁇ "
 NEVER = 1 << 62
@@ -155,11 +155,11 @@ class Vocabulary:
 
 
 class Stretches(dict):
-    """Stretch of text -> ids as little-endian integers; keeps KEPT_STRETCHES in two halves, the older of which goes first."""
+    """Stretch of text -> ids as little-endian integers; keeps ``most`` (KEPT_STRETCHES) in two halves, the older of which goes first."""
 
-    def __init__(self, encode, kind: np.dtype):
+    def __init__(self, encode, kind: np.dtype, most: int | None = None):
         super().__init__()
-        self.encode, self.kind, self.old = encode, kind, {}
+        self.encode, self.kind, self.old, self.half = encode, kind, {}, (most or KEPT_STRETCHES) // 2
 
     def __missing__(self, stretch: str) -> bytes:
         found = self.old.get(stretch)
@@ -167,7 +167,7 @@ class Stretches(dict):
             found = np.array(self.encode(stretch), self.kind).tobytes()
             if len(stretch) > KEPT_CHARS:
                 return found
-        if len(self) >= KEPT_STRETCHES // 2:
+        if len(self) >= self.half:
             self.old = dict(self)
             self.clear()
         self[stretch] = found
@@ -177,10 +177,10 @@ class Stretches(dict):
 class Pieces:
     """Ids of whole texts and texts of ids, as the library makes them."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int | None = None):
         self.vocabulary = v = Vocabulary(path)
         self.kind = np.dtype("<u2" if v.size <= 1 << 16 else "<u4")
-        self.known = Stretches(v.encoded, self.kind)
+        self.known = Stretches(v.encoded, self.kind, most)
 
     def encode(self, text: str | None) -> np.ndarray:
         """Without begin and end."""
@@ -203,18 +203,18 @@ def _each_byte(error: UnicodeDecodeError) -> tuple[str, int]:
     return "�" * (error.end - error.start), error.end
 
 
-_models: dict[str, Pieces] = {}
+_models: dict[tuple[str, int | None], Pieces] = {}
 
 
-def pieces(path: str) -> Pieces:
-    """The model of this Python worker, which keeps its stretches from task to task."""
-    if path not in _models:
+def pieces(path: str, most: int | None = None) -> Pieces:
+    """The model of this Python worker, which keeps its stretches (``most``) from task to task."""
+    if (path, most) not in _models:
         import codecs
 
         codecs.register_error("each_byte", _each_byte)
         os.environ["OMP_NUM_THREADS"] = "1"
-        _models[path] = Pieces(path)
-    return _models[path]
+        _models[path, most] = Pieces(path, most)
+    return _models[path, most]
 
 
 def _added(batch: pa.RecordBatch, made: list, kind: pa.DataType, schema: pa.Schema, drop: str | None) -> pa.RecordBatch:
