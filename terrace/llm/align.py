@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from terrace.llm.common import chunks, computed, materialize, record, table
-from terrace.llm.pieces import MODEL, SPACE, Stretches, pieces
+from terrace.llm.pieces import KEPT_STRETCHES, MODEL, SPACE, Stretches, pieces
 
 BYTE_MODEL = "byte_bpe_50k.json"
 #: Offsets are doubled to carry a mark, in 32 bits.
@@ -55,11 +55,11 @@ class Both:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.whole = Tokenizer.from_file(byte_path)
         self.whole.encode_special_tokens = True  # their strings are plain text
-        self.pieces = pieces(piece_path)
+        self.pieces = pieces(piece_path, KEPT_STRETCHES // 2)
         a, b = byte_contents(byte_path), list(self.pieces.vocabulary.content)
         self.contents = a, b
         self.sizes = tuple(np.array([len(x) for x in c], np.int32) for c in (a, b))
-        self.known = Stretches(self._encode, np.dtype("<u2" if len(a) <= 1 << 16 else "<u4"))
+        self.known = Stretches(self._encode, np.dtype("<u2" if len(a) <= 1 << 16 else "<u4"), KEPT_STRETCHES // 2)
 
     def _encode(self, text: str) -> list[int]:
         return self.whole.encode(text, add_special_tokens=False).ids
