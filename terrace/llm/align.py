@@ -18,20 +18,28 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
 from terrace.llm.common import chunks, computed, materialize, record, table
-from terrace.llm.pieces import KEPT_STRETCHES, MODEL, SPACE, Stretches, pieces
+from terrace.llm.pieces import KEPT_CHARS, MODEL, SPACE, Vocabulary
 
 BYTE_MODEL = "byte_bpe_50k.json"
 #: Offsets are doubled to carry a mark, in 32 bits.
 MOST_BYTES = 1 << 30
+#: Stands for the negative of id 0; no other id is as large.
+MINUS_ZERO = -1_000_000_000
+#: Stretches of text that a worker keeps.
+KEPT_BOTH = 500_000
 #: White space beside white space that only Unicode counts as such: what a run of it is cut into depends on the tokenizer, so such texts aren't cut here.
 _OTHER_SPACES = "".join(c for c in map(chr, [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF]))
 UNCERTAIN = re.compile(f"[{_OTHER_SPACES}][ \t-\r]|[ \t-\r][{_OTHER_SPACES}]").search
+#: Letters, digits and signs of Latin script: of one kind to all versions of Unicode.
+LATIN = re.compile("[\x00-\u024f]*").fullmatch
 #: The tokenizer's own cuts at white space: the last of a run goes with the word behind it if it is a space, and is alone if not.
 STRETCHES = re.compile("(?: ?[^ \t-\r]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+)").findall
 
@@ -49,47 +57,78 @@ def byte_contents(path: str) -> list[bytes]:
 
 
 class Both:
-    """Ids of the two tokenizers, and the bytes of each."""
+    """Ids of the two tokenizers, and the bytes of each.
+
+    The byte-level vocabulary is read from its file. Its merges are the ranks of what they make (each token is what its own bytes are merged into, so no other pair
+    of neighbours makes it), by which tiktoken encodes stretches of Latin script; others and uncut texts go through the file's own tokenizer. Stretches are cut where
+    both tokenizers cut, and keep what both make of them.
+    """
 
     def __init__(self, byte_path: str, piece_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.whole = Tokenizer.from_file(byte_path)
         self.whole.encode_special_tokens = True  # their strings are plain text
-        self.pieces = pieces(piece_path, KEPT_STRETCHES // 2)
-        a, b = byte_contents(byte_path), list(self.pieces.vocabulary.content)
-        self.contents = a, b
+        self.library = SentencePieceProcessor(model_file=piece_path)
+        self.pieces = Vocabulary(piece_path)
+        self.contents = a, b = byte_contents(byte_path), self.pieces.content
+        ranks = {x: i for i, x in enumerate(a) if i < self.whole.get_vocab_size(with_added_tokens=False)}
+        self.latin = tiktoken.Encoding("byte level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.sizes = tuple(np.array([len(x) for x in c], np.int32) for c in (a, b))
-        self.known = Stretches(self._encode, np.dtype("<u2" if len(a) <= 1 << 16 else "<u4"), KEPT_STRETCHES // 2)
-
-    def _encode(self, text: str) -> list[int]:
-        return self.whole.encode(text, add_special_tokens=False).ids
-
-    def byte_ids(self, text: str) -> np.ndarray:
-        if UNCERTAIN(text):
-            return np.array(self._encode(text), self.known.kind)
-        return np.frombuffer(b"".join(map(self.known.__getitem__, STRETCHES(text))), self.known.kind)
-
-    def __call__(self, text: bytes | None) -> tuple[np.ndarray, ...]:
-        """(ids, ends) of either tokenizer for a space and the text; all empty where a tokenizer's bytes aren't the text's."""
-        none = np.empty(0, np.int32)
-        if not text:
-            return none, none, none, none
-        if len(text) >= MOST_BYTES:
+        self.kinds = tuple(np.dtype("<u2" if len(c) <= 1 << 16 else "<u4") for c in (a, b))
+        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.old: dict[str, tuple[bytes, bytes]] = {}  # the half before; its stretches come back when they are seen again
+
+    def byte_ids(self, text: str) -> list[int]:
+        return self.latin(text) if LATIN(text) else self.whole.encode(text, add_special_tokens=False).ids
+
+    def _learn(self, stretches: set[str]) -> None:
+        new = [x for x in stretches if x not in self.known]
+        back = [x for x in new if x in self.old]
+        self.known.update((x, self.old[x]) for x in back)
+        new = [x for x in new if x not in self.old]
+        # the library puts a space in front
+        spaced = [x for x in new if x[0] == " "]
+        made = dict(zip(spaced, self.library.encode([x[1:] for x in spaced], num_threads=1)))
+        for x in new:
+            ids = self.byte_ids(x), made.get(x) or self.pieces.encoded(x)
+            if any(b"".join(map(c.__getitem__, i)) != x.encode() for i, c in zip(ids, self.contents, strict=True)):
+                raise ValueError(f"a tokenizer doesn't give back {x!r}")
+            self.known[x] = tuple(np.array(i, k).tobytes() for i, k in zip(ids, self.kinds, strict=True))
+
+    def _uncut(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        return tuple(np.array(x, k) for x, k in zip((self.whole.encode(" " + text, add_special_tokens=False).ids, self.library.encode(text)), self.kinds, strict=True))
+
+    def __call__(self, texts: list[bytes | None]) -> Iterator[tuple[np.ndarray, ...]]:
+        """(ids, ends) of either tokenizer for a space and each text; all empty where a tokenizer's bytes aren't the text's."""
+        if any(len(t) >= MOST_BYTES for t in texts if t):
             raise ValueError("a text of over 2^30 bytes")
-        plain, want, out = text.decode(), b" " + text, []
-        if SPACE in plain:  # comes back as a space
-            return none, none, none, none
-        for ids, contents, sizes in zip((self.byte_ids(" " + plain), self.pieces.encode(plain)), self.contents, self.sizes, strict=True):
-            if b"".join(map(contents.__getitem__, ids.tolist())) != want:
-                return none, none, none, none
-            out += [ids.astype(np.int32), np.cumsum(sizes[ids], dtype=np.int32)]
-        return tuple(out)
+        plain = [t.decode() if t else "" for t in texts]
+        # a run of spaces is cut otherwise by either; a visible space comes back as a space
+        cut = [STRETCHES(" " + t) if t and "  " not in t and t[0] != " " and SPACE not in t and (t.isascii() or not UNCERTAIN(t)) else [] for t in plain]
+        self._learn(set().union(*cut))
+        none = np.empty(0, np.int32)
+        for t, raw, stretches in zip(plain, texts, cut, strict=True):
+            if not t or SPACE in t:
+                yield none, none, none, none
+                continue
+            both = tuple(np.frombuffer(b"".join(x), k) for x, k in zip(zip(*map(self.known.__getitem__, stretches)), self.kinds, strict=True)) if stretches else self._uncut(t)
+            ends = [np.cumsum(n[i], dtype=np.int32) for i, n in zip(both, self.sizes, strict=True)]
+            if any(e[-1] != len(raw) + 1 for e in ends) or not stretches and any(b"".join(map(c.__getitem__, i.tolist())) != b" " + raw for i, c in zip(both, self.contents, strict=True)):
+                yield none, none, none, none
+            else:
+                yield both[0].astype(np.int32), ends[0], both[1].astype(np.int32), ends[1]
+        for x in set().union(*cut):
+            if len(x) > KEPT_CHARS:
+                del self.known[x]
+        if len(self.known) > KEPT_BOTH // 2:
+            self.old, self.known = self.known, {}
 
 
 _both: dict[tuple[str, str], Both] = {}
 
 
 def both(byte_path: str, piece_path: str) -> Both:
+    """The tokenizers of this Python worker, which keep their stretches from task to task."""
     if (byte_path, piece_path) not in _both:
         _both[byte_path, piece_path] = Both(byte_path, piece_path)
     return _both[byte_path, piece_path]
@@ -109,39 +148,55 @@ def tokenized(docs: DataFrame, text: str = "text", byte_model: str | None = None
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in chunks(batch):
-                columns = zip(*map(both(*paths), texts), strict=True)
+                columns = zip(*both(*paths)(texts), strict=True)
                 lists = [pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(x) for x in c])]).astype(np.int32), np.concatenate(c)) for c in columns]
                 yield record(TOKENS_SCHEMA, batch.column("doc_id").slice(first, len(texts)), *lists)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, TOKENS)
 
 
-def _closing(ends: str) -> Column:
+def _marked(ends: str) -> Column:
     """The offsets in order, doubled, odd where tokens of both end."""
     marked = F.concat(F.transform("common", lambda e: e * 2 + 1), F.transform(F.array_except(ends, "common"), lambda e: e * 2))
     return F.sort_array(marked)
 
 
-def _numbers(n: Column) -> Column:
-    """1 to n; none for 0."""
-    return F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+def marked(tokens: DataFrame) -> DataFrame:
+    """(doc_id, a_ids, a_marks, b_ids, b_marks) of ``tokens``: an odd mark says that a token closes a group, as a token of the other side ends there too."""
+    t = computed(tokens.withColumn("common", F.array_intersect("a_ends", "b_ends")))
+    return computed(t.select("doc_id", "a_ids", _marked("a_ends").alias("a_marks"), "b_ids", _marked("b_ends").alias("b_marks")))
 
 
-def grouped(tokens: DataFrame) -> DataFrame:
-    """``tokens`` (doc_id and the four arrays) with ``groups``, array<struct<a, b>> of ids between offsets at which tokens of both end, in order, and ``links``, array<struct<a, b>>
-    of the tokens that close a group together. Array functions only."""
-    t = computed(tokens.withColumn("common", F.array_intersect("a_ends", "b_ends")))
-    t = computed(t.select("doc_id", "a_ids", "b_ids", _closing("a_ends").alias("a_marks"), _closing("b_ends").alias("b_marks")))
-    # which tokens close a group, by their place from 1
-    closes = lambda side: F.filter(_numbers(F.size(f"{side}_ids")), lambda i: F.col(f"{side}_marks")[i - 1].bitwiseAND(1) == 1).alias(f"{side}_at")
-    t = computed(t.select("doc_id", "a_ids", "b_ids", closes("a"), closes("b")))
-    # the place before a group's first token: the last one of the group before
-    before = lambda at: F.concat(F.array(F.lit(0)), F.col(at)).alias(f"{at}_before")
-    t = computed(t.select("*", before("a_at"), before("b_at")))
-    part = lambda side, g: F.slice(F.col(f"{side}_ids"), F.col(f"{side}_at_before")[g - 1] + 1, F.col(f"{side}_at")[g - 1] - F.col(f"{side}_at_before")[g - 1]).alias(side)
-    groups = F.transform(_numbers(F.size("a_at")), lambda g: F.struct(part("a", g), part("b", g)))
-    links = F.zip_with("a_at", "b_at", lambda p, q: F.struct(F.col("a_ids")[p - 1].alias("a"), F.col("b_ids")[q - 1].alias("b")))
-    return t.select("doc_id", F.size("a_ids").cast("long").alias("n_a"), F.size("b_ids").cast("long").alias("n_b"), groups.alias("groups"), links.alias("links"))
+def _closing(side: str) -> Column:
+    """Ids of the tokens that close a group."""
+    return F.filter(F.col(f"{side}_ids"), lambda _, i: F.col(f"{side}_marks")[i].bitwiseAND(1) == 1)
+
+
+def links() -> Column:
+    """array<struct<a, b>> of ``marked`` columns: the tokens that end together. Those of the k-th group are the k-th to close one on either side."""
+    return F.arrays_zip(_closing("a").alias("a"), _closing("b").alias("b")).cast("array<struct<a: int, b: int>>")
+
+
+def _written(side: str) -> Column:
+    """Ids of each group, with commas between them: the first id of a group is made negative, and all are written in one go and split before the signs."""
+    ids, marks = F.col(f"{side}_ids"), F.col(f"{side}_marks")
+    begins = F.concat(F.array(F.lit(1)), F.slice(marks, F.lit(1), F.greatest(F.size(marks) - 1, F.lit(0))))
+    signed = F.zip_with(ids, begins, lambda x, m: F.when(m.bitwiseAND(1) == 1, F.when(x == 0, F.lit(MINUS_ZERO)).otherwise(-x)).otherwise(x))
+    text = F.replace(F.array_join(signed.cast("array<string>"), ","), F.lit(str(MINUS_ZERO)), F.lit("-0"))
+    return F.split(F.substr(text, F.lit(2)), ",-")
+
+
+def written() -> Column:
+    """``marked`` columns as a1,a2|b1;a3|b2,b3: groups, each with the ids of either side. Empty without tokens."""
+    pairs = F.zip_with(_written("a"), _written("b"), lambda a, b: F.concat(a, F.lit("|"), b))
+    return F.when(F.size("a_ids") > 0, F.array_join(pairs, ";")).otherwise("")
+
+
+def groups() -> Column:
+    """array<struct<a: array<int>, b: array<int>>> of ``marked`` columns: ids between offsets at which tokens of both end, in order."""
+    ids = lambda x: F.split(x, ",").cast("array<int>")
+    pairs = F.zip_with(_written("a"), _written("b"), lambda a, b: F.struct(ids(a).alias("a"), ids(b).alias("b")))
+    return F.when(F.size("a_ids") > 0, pairs).otherwise(F.array().cast("array<struct<a: array<int>, b: array<int>>>"))
 
 
 def weighed(linked: DataFrame) -> DataFrame:
@@ -161,13 +216,15 @@ def weighed(linked: DataFrame) -> DataFrame:
 
 def align(docs: DataFrame, text: str = "text", byte_model: str | None = None, piece_model: str | None = None) -> DataFrame:
     """doc_id, n_a, n_b, groups, n_best, count_sum: one row per row of ``docs``. Texts without tokens have zeros and no groups."""
-    return weighed(grouped(tokenized(docs, text, byte_model, piece_model)))
+    found = marked(tokenized(docs, text, byte_model, piece_model))
+    size = lambda c: F.size(c).cast("long")
+    return weighed(found.select("doc_id", size("a_ids").alias("n_a"), size("b_ids").alias("n_b"), groups().alias("groups"), links().alias("links")))
 
 
 def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = grouped(tokenized(table(spark, sf_dir, "documents")))
-    ids = lambda g, side: F.array_join(g[side].cast("array<string>"), ",")
-    written = F.array_join(F.transform("groups", lambda g: F.concat(ids(g, "a"), F.lit("|"), ids(g, "b"))), ";")
-    n = F.size("groups").cast("long")
-    digest = F.when(F.size("groups") > 0, F.sha2(written.cast("binary"), 256)).otherwise("").alias("groups_sha256")
-    return weighed(computed(found).select("doc_id", "n_a", "n_b", n.alias("n_groups"), n.alias("n_links"), digest, "links"))
+    found = marked(tokenized(table(spark, sf_dir, "documents")))
+    size = lambda c: F.size(c).cast("long")
+    digest = F.when(F.size("a_ids") > 0, F.sha2(written().cast("binary"), 256)).otherwise("")
+    each = computed(found.select("doc_id", size("a_ids").alias("n_a"), size("b_ids").alias("n_b"), digest.alias("groups_sha256"), links().alias("links")))
+    n = size("links")
+    return weighed(each.select("doc_id", "n_a", "n_b", n.alias("n_groups"), n.alias("n_links"), "groups_sha256", "links"))
