@@ -75,6 +75,9 @@ class Both:
         self.latin = tiktoken.Encoding("byte level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.sizes = tuple(np.array([len(x) for x in c], np.int32) for c in (a, b))
         self.kinds = tuple(np.dtype("<u2" if len(c) <= 1 << 16 else "<u4") for c in (a, b))
+        # runs of spaces are cut otherwise by either tokenizer, and some white space goes on in longer pieces
+        longer = {c for x in self.pieces.ids if len(x) > 1 for c in x} & set("\t\n\v\f\r")
+        self.unsure = re.compile("|".join(["  ", *map(re.escape, sorted(longer))])).search
         self.known: dict[str, tuple[bytes, bytes]] = {}
         self.old: dict[str, tuple[bytes, bytes]] = {}  # the half before; its stretches come back when they are seen again
 
@@ -103,8 +106,8 @@ class Both:
         if any(len(t) >= MOST_BYTES for t in texts if t):
             raise ValueError("a text of over 2^30 bytes")
         plain = [t.decode() if t else "" for t in texts]
-        # a run of spaces is cut otherwise by either; a visible space comes back as a space
-        cut = [STRETCHES(" " + t) if t and "  " not in t and t[0] != " " and SPACE not in t and (t.isascii() or not UNCERTAIN(t)) else [] for t in plain]
+        # a visible space comes back as a space
+        cut = [STRETCHES(" " + t) if t and SPACE not in t and not self.unsure(" " + t) and (t.isascii() or not UNCERTAIN(t)) else [] for t in plain]
         self._learn(set().union(*cut))
         none = np.empty(0, np.int32)
         for t, raw, stretches in zip(plain, texts, cut, strict=True):
