@@ -29,12 +29,12 @@ from terrace.llm.common import chunks, computed, materialize, record, table
 from terrace.llm.pieces import KEPT_CHARS, MODEL, SPACE, Vocabulary
 
 BYTE_MODEL = "byte_bpe_50k.json"
-#: Offsets are doubled to carry a mark, in 32 bits.
+#: Offsets are doubled, to carry a mark, in 32 bits.
 MOST_BYTES = 1 << 30
 #: Stands for the negative of id 0; no other id is as large.
 MINUS_ZERO = -1_000_000_000
 #: Stretches of text that a worker keeps.
-KEPT_BOTH = 500_000
+KEPT_BOTH = 250_000
 #: White space beside white space that only Unicode counts as such: what a run of it is cut into depends on the tokenizer, so such texts aren't cut here.
 _OTHER_SPACES = "".join(c for c in map(chr, [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF]))
 UNCERTAIN = re.compile(f"[{_OTHER_SPACES}][ \t-\r]|[ \t-\r][{_OTHER_SPACES}]").search
@@ -102,7 +102,7 @@ class Both:
         return tuple(np.array(x, k) for x, k in zip((self.whole.encode(" " + text, add_special_tokens=False).ids, self.library.encode(text)), self.kinds, strict=True))
 
     def __call__(self, texts: list[bytes | None]) -> Iterator[tuple[np.ndarray, ...]]:
-        """(ids, ends) of either tokenizer for a space and each text; all empty where a tokenizer's bytes aren't the text's."""
+        """(ids, doubled ends) of either tokenizer for a space and each text; all empty where a tokenizer's bytes aren't the text's."""
         if any(len(t) >= MOST_BYTES for t in texts if t):
             raise ValueError("a text of over 2^30 bytes")
         plain = [t.decode() if t else "" for t in texts]
@@ -119,7 +119,7 @@ class Both:
             if any(e[-1] != len(raw) + 1 for e in ends) or not stretches and any(b"".join(map(c.__getitem__, i.tolist())) != b" " + raw for i, c in zip(both, self.contents, strict=True)):
                 yield none, none, none, none
             else:
-                yield both[0].astype(np.int32), ends[0], both[1].astype(np.int32), ends[1]
+                yield both[0].astype(np.int32), ends[0] * 2, both[1].astype(np.int32), ends[1] * 2
         for x in set().union(*cut):
             if len(x) > KEPT_CHARS:
                 del self.known[x]
@@ -142,7 +142,7 @@ TOKENS_SCHEMA = pa.schema([("doc_id", pa.int64()), *[(x, pa.list_(pa.int32())) f
 
 
 def tokenized(docs: DataFrame, text: str = "text", byte_model: str | None = None, piece_model: str | None = None) -> DataFrame:
-    """(doc_id, a_ids, a_ends, b_ids, b_ends) of a space and each text: ids of a byte-level and of a piece tokenizer, and where in the bytes their tokens end.
+    """(doc_id, a_ids, a_ends, b_ids, b_ends) of a space and each text: ids of a byte-level and of a piece tokenizer, and where in the bytes their tokens end, doubled.
 
     Null and empty texts, and those that a tokenizer doesn't give back byte for byte, have empty arrays. Rows with a null or repeated doc_id are rows like all
     others. Other columns are not read."""
@@ -158,16 +158,13 @@ def tokenized(docs: DataFrame, text: str = "text", byte_model: str | None = None
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, TOKENS)
 
 
-def _marked(ends: str) -> Column:
-    """The offsets in order, doubled, odd where tokens of both end."""
-    marked = F.concat(F.transform("common", lambda e: e * 2 + 1), F.transform(F.array_except(ends, "common"), lambda e: e * 2))
-    return F.sort_array(marked)
-
-
 def marked(tokens: DataFrame) -> DataFrame:
-    """(doc_id, a_ids, a_marks, b_ids, b_marks) of ``tokens``: an odd mark says that a token closes a group, as a token of the other side ends there too."""
+    """(doc_id, a_ids, a_marks, b_ids, b_marks) of ``tokens``: an odd mark says that a token closes a group, as a token of the other side ends there too. Marks are the
+    offsets, in order, with 1 added where tokens of both end."""
+    marks = lambda ends: F.sort_array(F.concat("odd", F.array_except(ends, "common")))
     t = computed(tokens.withColumn("common", F.array_intersect("a_ends", "b_ends")))
-    return computed(t.select("doc_id", "a_ids", _marked("a_ends").alias("a_marks"), "b_ids", _marked("b_ends").alias("b_marks")))
+    t = computed(t.withColumn("odd", F.transform("common", lambda e: e + 1)))
+    return computed(t.select("doc_id", "a_ids", marks("a_ends").alias("a_marks"), "b_ids", marks("b_ends").alias("b_marks")))
 
 
 def _closing(side: str) -> Column:
