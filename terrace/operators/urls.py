@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-
-from terrace.functions.texts import lineage
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def prefix_counts(urls: DataFrame, url: str = "url", by: tuple[str, ...] = ()) -> DataFrame:
@@ -18,9 +20,55 @@ def _distinct(urls: DataFrame, url: str, by: tuple[str, ...]) -> DataFrame:
     return urls.select(*by, url).where(F.col(url).isNotNull()).distinct()
 
 
+def _folded(columns: int, schema: pa.Schema):
+    """Sorted (by..., url) to (by..., prefix, descendants, direct): a stack has the prefixes that the last URL begins with. What hangs below a prefix is passed up
+    when it is closed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stack: list[list] = []  # prefix with its slash, URLs below its closed children, direct ones
+        group, done = None, []
+
+        def close(url: str) -> None:
+            while stack and not url.startswith(stack[-1][0]):
+                prefix, below, direct = stack.pop()
+                done.append((*group, prefix[:-1], below + direct, direct))
+                if stack:
+                    stack[-1][1] += below + direct
+
+        def put_out() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*done), schema, strict=True)], schema=schema)
+            done.clear()
+            return out
+
+        for batch in batches:
+            for *by, url in zip(*(batch.column(i).to_pylist() for i in range(columns)), strict=True):
+                if by != group:
+                    close("")
+                    group = by
+                close(url)
+                at = len(stack[-1][0]) if stack else url.find("/") + 1
+                while (slash := url.find("/", at)) >= 0 and at:
+                    at = slash + 1
+                    stack.append([url[:at], 0, 0])
+                if stack:
+                    stack[-1][2] += 1
+            if len(done) >= 10_000:
+                yield put_out()
+        close("")
+        if done:
+            yield put_out()
+
+    return run
+
+
 def _counts(distinct: DataFrame, url: str, by: tuple[str, ...]) -> DataFrame:
-    each = distinct.select(*by, F.explode(lineage(F.col(url))).alias("a"))
-    return each.groupBy(*by, F.col("a.prefix").alias("prefix")).agg(F.count("*").alias("descendants"), F.count_if(F.col("a.direct")).alias("direct"))
+    """Each task folds a range of the sorted URLs; a prefix is put out once by each task that has URLs below it, and these counts are added up."""
+    kept = distinct.select(*by, url)
+    fields = [*to_arrow_schema(kept.schema)][:-1]
+    schema = pa.schema([*fields, ("prefix", pa.string()), ("descendants", pa.int64()), ("direct", pa.int64())])
+    kinds = ", ".join([*(f"`{n}` {t}" for n, t in kept.dtypes[:-1]), "prefix string, descendants long, direct long"])
+    folded = kept.repartitionByRange(*by, url).sortWithinPartitions(*by, url).mapInArrow(_folded(len(kept.columns), schema), kinds)
+    return folded.groupBy(*by, "prefix").agg(F.sum("descendants").alias("descendants"), F.sum("direct").alias("direct"))
 
 
 def aggregate_urls(urls: DataFrame, url: str = "url", by: tuple[str, ...] = ()) -> DataFrame:

@@ -2,38 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-
-from terrace.operators.triples import label_index, triples
 from terrace.sources import sinks
 from terrace.sources.catalog import Catalog
-from terrace.sources.entities import parse_entities, read_lines
-from terrace.sources.framed import read_framed_lines
 from terrace.sources.pages import read_pages
+from terrace.sources.parts import PART
+from terrace.streaming.compile import compile_entities
+
+__all__ = ["compile_all", "compile_entities", "compile_pages", "compile_tables"]
+
 
-#: Rows of one part file, at most.
-ROWS_PER_FILE = 1_000_000
-
-
-def compile_pages(catalog: Catalog, wiki: str, date: str, strict: bool = False) -> None:
-    """download/wiki/date (XML, plain or compressed) to pages/wiki/date. What was there is cleared first, the marker comes last; Spark starts the largest splits first."""
-    catalog.write(read_pages(catalog.spark, catalog.inputs(wiki, date), strict), "pages", wiki, date, ROWS_PER_FILE)
-
-
-def compile_entities(catalog: Catalog, name: str, date: str, mode: str = "PERMISSIVE", partitions: int | None = None) -> None:
-    """download/name/date (JSON lines, plain, .gz, .bz2 or framed .sz) to entities, labels and triples of that date. Lines that are no
-    entity go to quarantine/name/date."""
-    spark, files = catalog.spark, catalog.inputs(name, date)
-    framed, plain = [x for x in files if x.endswith(".sz")], [x for x in files if not x.endswith(".sz")]
-    lines: DataFrame = read_lines(spark, plain, partitions) if plain else spark.createDataFrame([], "value string")
-    if framed:
-        lines = lines.unionByName(read_framed_lines(spark, framed).select("value"))
-    parsed = parse_entities(lines, mode)
-    catalog.write(parsed.where("corrupt is null").drop("corrupt"), "entities", name, date, ROWS_PER_FILE)
-    catalog.write(parsed.where("corrupt is not null").select("corrupt"), "quarantine", name, date)
-    entities = catalog.entities(date, name)
-    catalog.write(label_index(entities), "labels", name, date)
-    catalog.write(triples(entities), "triples", name, date)
+def compile_pages(catalog: Catalog, wiki: str, date: str, strict: bool = False, part_bytes: int = PART) -> None:
+    """download/wiki/date (XML, plain or compressed) to pages/wiki/date, in parts of about ``part_bytes``. What was there goes when all is written, the marker comes last; Spark starts the largest splits first."""
+    catalog.write(read_pages(catalog.spark, catalog.inputs(wiki, date), strict), "pages", wiki, date, part_bytes)
 
 
 def compile_all(catalog: Catalog, entities: str = "entities", again: bool = False) -> list[tuple[str, str]]:

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.functions.entities import best_label, claims_of, coordinates, relations
+from terrace.operators import graph
+from terrace.operators.triples import label_index, triples
 from terrace.operators.urls import aggregate_urls, ordered
 from terrace.plans import fixtures as fx
 from terrace.plans.compile import compile_entities, compile_pages, compile_tables
@@ -16,7 +18,7 @@ from terrace.scratch import folder
 from terrace.sources import sinks
 from terrace.sources.catalog import Catalog
 from terrace.sources.entities import read_entities
-from terrace.sources.framed import read_framed_lines, write_framed
+from terrace.sources.framed import read_framed, read_framed_lines, write_framed
 from terrace.sources.pages import find_page, read_pages
 
 DATE = "20240101"
@@ -127,6 +129,44 @@ def compiled_entities(spark: SparkSession, sf: str) -> DataFrame:
     return c.triples(DATE).join(c.labels(DATE).withColumnRenamed("id", "source"), "source").select("source", "prop", "dest", "label")
 
 
+def compile_counters(spark: SparkSession, sf: str) -> DataFrame:
+    """What a compile job counts while it reads the dump once, half of it framed Snappy and half gzip, two files a batch."""
+    c = Catalog(spark, folder(spark, "entities"))
+    lines, path = _json(spark, sf).repartition(4), c.path("download", "entities", DATE)
+    even = F.regexp_extract("value", r'^\{"id":"Q(\d+)"', 1).cast("long") % 2 == 0
+    write_framed(lines.where(even), path, most=2_000_000)
+    lines.where(~even).write.mode("append").option("compression", "gzip").text(path)
+    compile_entities(c, "entities", DATE, files_per_batch=2)
+    total = [F.sum(x).cast("long").alias(x) for x in ("lines", "entities", "corrupt", "relations")]
+    stored = c.entities(DATE).agg(F.count("*").alias("stored")), c.triples(DATE).agg(F.count("*").alias("triples")), c.labels(DATE).agg(F.count("*").alias("labels"))
+    out = c.progress(DATE).agg(*total)
+    for one in stored:  # a row each
+        out = out.crossJoin(F.broadcast(one))
+    return out
+
+
+def raw_cat(spark: SparkSession, sf: str) -> DataFrame:
+    """Characters of the raw content of framed files, counted; ranges are small, so that many tasks read a file."""
+    path = folder(spark, "cat")
+    write_framed(fx.table(spark, sf, "customer").select(F.concat_ws("|", "c_custkey", "c_name", "c_mktsegment").alias("value")), path)
+    content = read_framed(spark, f"{path}/*.sz", range_bytes=1 << 18).select(F.explode(F.split(F.decode("content", "utf-8"), "")).alias("letter"))
+    return content.where("letter <> ''").groupBy("letter").agg(F.count("*").alias("n"))
+
+
+def pages_by_bytes(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed XML, compiled into parts that are cut by bytes."""
+    c = Catalog(spark, folder(spark, "wiki"))
+    _xml(spark, sf).write.option("compression", "bzip2").text(c.path("download", "w", DATE))
+    compile_pages(c, "w", DATE, part_bytes=64_000)
+    return c.pages("w").select("id", "title", "model", "kind", "text")
+
+
+def forest_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """The tree of places as lines, each with its path in the order of the document."""
+    places = fx.place_entities(spark, sf)
+    return graph.forest_lines(graph.edges(triples(places), "P279"), label_index(places))
+
+
 def framed_lines(spark: SparkSession, sf: str) -> DataFrame:
     path = folder(spark, "framed")
     write_framed(fx.table(spark, sf, "customer").select(F.concat_ws("|", "c_custkey", "c_name").alias("value")), path)
@@ -157,8 +197,6 @@ def tsv_file(spark: SparkSession, sf: str) -> DataFrame:
 
 def graph_files(spark: SparkSession, sf: str) -> DataFrame:
     path, e = folder(spark, "graph_files"), fx.place_entities(spark, sf)
-    from terrace.operators.triples import triples
-
     sinks.write_graph(e, triples(e), path)
     return _lines(spark, f"{path}/nodes").unionByName(_lines(spark, f"{path}/tuples"))
 
@@ -169,7 +207,7 @@ def url_prefixes_in_order(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (pages_from_xml, redirect_lookup, links_without_redirects, wiki_tables, entities_from_json, quarantined_lines, compiled_entities, framed_lines, csv_file, tsv_file, graph_files, url_prefixes_in_order)}
+    return {f.__name__: f for f in (pages_from_xml, redirect_lookup, links_without_redirects, wiki_tables, entities_from_json, quarantined_lines, compiled_entities, compile_counters, framed_lines, raw_cat, pages_by_bytes, forest_tree, csv_file, tsv_file, graph_files, url_prefixes_in_order)}
 
 
 _PAGES = """
@@ -183,9 +221,16 @@ _ODD = """
 c AS (SELECT 'Q' || c_custkey AS id, CASE WHEN c_custkey % 5 < 2 THEN '' ELSE '''a; b' || chr(9) || '"c" ' || c_name END AS label FROM customer)
 """
 
+_TREE = """
+WITH RECURSIVE {labels}, {edges}, r(path, node, depth) AS (SELECT DISTINCT parent, parent, 0 FROM e WHERE parent NOT IN (SELECT child FROM e) UNION ALL SELECT r.path || chr(1) || e.child, e.child, depth + 1 FROM r JOIN e ON e.parent = r.node),
+x AS (SELECT path, depth, repeat('    ', depth) AS pad, '  <a anchor=' || chr(39) || node || chr(39) || '/><b>' || node || '</b> ' || coalesce(label, 'no label') AS name FROM r LEFT JOIN l ON l.id = node)
+SELECT path, CASE WHEN depth > 0 THEN repeat('    ', depth - 1) || '  <ul>' || chr(10) ELSE '' END || pad || '<li>' || chr(10) || pad || name AS line FROM x
+UNION ALL SELECT path || chr(2), pad || '</li>' || CASE WHEN depth > 0 THEN chr(10) || repeat('    ', depth - 1) || '  </ul>' ELSE '' END FROM x
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    from terrace.plans.catalogue import _LABELS, _TRIPLES, _UP
+    from terrace.plans.catalogue import _EDGES, _LABELS, _TRIPLES, _UP
 
     given = lambda x: f"CASE WHEN p_size % 9 <> 0 THEN {x} END"
     return {
@@ -196,6 +241,10 @@ def oracle_sql() -> dict[str, str]:
         "entities_from_json": f"SELECT 'Q' || p_partkey AS id, {_LABEL} AS label, {given("'Q' || p_size")} AS dest, {given('p_brand')} AS brand, {given('p_size::DOUBLE')} AS amount, {given('-p_size::BIGINT')} AS timezone, {given("'size ' || p_size")} AS words, {given('p_partkey % 90 + 0.5::DOUBLE')} AS latitude, {given('(-(p_partkey % 180))::DOUBLE')} AS longitude FROM part WHERE p_size % 10 <> 0",
         "quarantined_lines": "SELECT 'no entity' AS why, count(*) AS n FROM part WHERE p_size % 10 = 0",
         "compiled_entities": f"SELECT 'Q' || p_partkey AS source, 'P31' AS prop, 'Q' || p_size AS dest, {_LABEL} AS label FROM part WHERE p_size % 10 <> 0 AND p_size % 9 <> 0",
+        "compile_counters": "SELECT *, entities AS stored, relations AS triples, entities AS labels FROM (SELECT count(*) AS lines, count(*) FILTER (p_size % 10 <> 0) AS entities, count(*) FILTER (p_size % 10 = 0) AS corrupt, count(*) FILTER (p_size % 10 <> 0 AND p_size % 9 <> 0) AS relations FROM part)",
+        "raw_cat": "SELECT letter, count(*) AS n FROM (SELECT unnest(string_split(c_custkey || '|' || c_name || '|' || c_mktsegment || chr(10), '')) AS letter FROM customer) GROUP BY letter",
+        "pages_by_bytes": f"WITH {_PAGES} SELECT id, title, model, kind, text FROM p",
+        "forest_tree": f"{_TREE.format(labels=_LABELS, edges=_EDGES)}",
         "framed_lines": "SELECT c_custkey || '|' || c_name AS value FROM customer",
         "csv_file": f"WITH {_ODD} SELECT 'id,label' AS value UNION SELECT id || ',' || label FROM c",
         "tsv_file": f"WITH {_ODD} SELECT id || chr(9) || label AS value FROM c",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from terrace.operators.triples import triples
+from terrace.sources.parts import write_parts
 
 MARKERS = ("_SUCCESS", "ok")
 
@@ -45,18 +46,33 @@ class Catalog:
     def latest(self, state: str, name: str) -> str | None:
         return max(self.dates(state, name), default=None)
 
-    def write(self, df: DataFrame, state: str, name: str, date: str, rows_per_file: int | None = None) -> None:
-        """Replace a snapshot; Spark's committer writes the marker last."""
-        w = df.write.mode("overwrite")
-        if rows_per_file:
-            w = w.option("maxRecordsPerFile", rows_per_file)
-        w.parquet(self.path(state, name, date))
+    def write(self, df: DataFrame, state: str, name: str, date: str, part_bytes: int | None = None) -> None:
+        """Replace a snapshot, in parts of about ``part_bytes`` where that is given; the marker comes last."""
+        if part_bytes:
+            write_parts(df, self.path(state, name, date), "parquet", part_bytes)
+        else:
+            df.write.mode("overwrite").parquet(self.path(state, name, date))
+
+    def clear(self, state: str, name: str, date: str) -> None:
+        """Remove a snapshot, its marker first."""
+        for path in (f"{self.path(state, name, date)}/{MARKERS[0]}", self.path(state, name, date)):
+            fs, p = self._fs(path)
+            fs.delete(p, True)
+
+    def mark(self, state: str, name: str, date: str) -> None:
+        """Declare a snapshot finished."""
+        fs, p = self._fs(f"{self.path(state, name, date)}/{MARKERS[0]}")
+        fs.create(p).close()
+
+    def has(self, path: str) -> bool:
+        fs, p = self._fs(path)
+        return fs.exists(p)
 
     def _read(self, state: str, name: str, date: str | None) -> DataFrame:
         date = date or self.latest(state, name)
         if date is None:
             raise FileNotFoundError(f"no finished snapshot of {state}/{name} under {self.root}")
-        return self.spark.read.parquet(self.path(state, name, date))
+        return self.spark.read.parquet(self.path(state, name, date)).drop("batch")
 
     def pages(self, wiki: str, date: str | None = None) -> DataFrame:
         return self._read("pages", wiki, date)
@@ -65,7 +81,12 @@ class Catalog:
         """Entities; without a date the latest labels must be of the same date."""
         if date is None and (a := self.latest("labels", name)) is not None and a != self.latest("entities", name):
             raise ValueError(f"the latest labels are of {a}, the latest entities of {self.latest('entities', name)}")
-        return self._read("entities", name, date)
+        found = self._read("entities", name, date)
+        return found.where("corrupt is null").drop("corrupt") if "corrupt" in found.columns else found
+
+    def progress(self, date: str, name: str = "entities") -> DataFrame:
+        """(batch, files, lines, entities, corrupt, relations) of the batches that a compile job has committed so far, finished or not."""
+        return self.spark.read.parquet(self.path("progress", name, date))
 
     def labels(self, date: str | None = None, name: str = "entities") -> DataFrame:
         return self._read("labels", name, date)

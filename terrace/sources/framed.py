@@ -1,17 +1,28 @@
-"""Files in the framed Snappy format (.sz), as raw bytes or lines."""
+"""Files in the framed Snappy format (.sz), as raw bytes or lines: a data source that reads a file in ranges of bytes.
+
+A range owns the frames that begin in it. Where its first frame begins is found by trying: the first place from which the bytes read
+as a frame whose checksum is right. A range that ends before the file does goes on to the next frame and compares its place with what the next range
+will find, so places that only look like frames are an error and never other rows. A line belongs to the range with the line end before it.
+"""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+from terrace.sources.files import listed, opened
 
 MAGIC = b"\xff\x06\x00\x00sNaPpY"
-#: Raw bytes of a frame, at most; frames whose checksums are worked out together; lines of a written file.
-FRAME, TOGETHER, LINES = 65536, 512, 1_000_000
+#: Raw bytes of a frame, at most, and of a stored one with its checksum; frames whose checksums are worked out together.
+FRAME, STORED, TOGETHER = 65536, 32 + 65536 + 65536 // 6 + 4, 512
+#: Bytes read at a time; bytes of a range where Spark's setting isn't known.
+READ, RANGE = 1 << 20, 128 << 20
 
 
 def _crc_table() -> np.ndarray:
@@ -22,70 +33,167 @@ def _crc_table() -> np.ndarray:
 
 
 CRC_TABLE = _crc_table()
+#: Bytes of a part that are taken one after the other; the stretches of all parts go in step.
+STRETCH = 256
 
 
-def checksums(parts: list[bytes]) -> list[int]:
-    """The format's masked CRC-32C of each part; all take their bytes in step."""
-    order = sorted(range(len(parts)), key=lambda i: -len(parts[i]))
-    sizes = np.array([len(parts[i]) for i in order], np.int64)
-    width = int(sizes.max(initial=0))
-    data = np.zeros((width, len(parts)), np.uint8)
-    for k, i in enumerate(order):
-        data[: len(parts[i]), k] = np.frombuffer(parts[i], np.uint8)
-    crc = np.full(len(parts), 0xFFFFFFFF, np.uint32)
-    live = np.searchsorted(-sizes, -np.arange(width), "left")  # parts longer than the position
-    for at, n in enumerate(live.tolist()):
-        now = crc[:n]
-        crc[:n] = CRC_TABLE[(now ^ data[at, :n]) & 0xFF] ^ (now >> 8)
-    crc ^= np.uint32(0xFFFFFFFF)
-    masked = ((crc >> np.uint32(15)) | (crc << np.uint32(17))) + np.uint32(0xA282EAD8)
-    out = [0] * len(parts)
-    for k, i in enumerate(order):
-        out[i] = int(masked[k])
+def _over_zeros(states: np.ndarray, tables: np.ndarray) -> np.ndarray:
+    """States after as many zero bytes as ``tables`` stand for."""
+    return tables[0][states & 0xFF] ^ tables[1][states >> 8 & 0xFF] ^ tables[2][states >> 16 & 0xFF] ^ tables[3][states >> 24]
+
+
+def _zero_tables(most: int) -> list[np.ndarray]:
+    """For each k up to ``most``: what 2**k zero bytes make of each byte of a state."""
+    states = np.arange(256, dtype=np.uint32)[None, :] << (8 * np.arange(4, dtype=np.uint32))[:, None]
+    out = [CRC_TABLE[states & 0xFF] ^ states >> np.uint32(8)]
+    for _ in range(most):
+        out.append(_over_zeros(out[-1], out[-1]))
     return out
 
 
-def _pieces(data: bytes) -> Iterator[tuple[int, bytes]]:
-    """(checksum, content) of each frame; ValueError at a cut-off frame or one of an unknown kind."""
-    codec, at = pa.Codec("snappy"), 0
-    while at < len(data):
-        kind, size = data[at], int.from_bytes(data[at + 1 : at + 4], "little")
-        body = data[at + 4 : at + 4 + size]
-        if at + 4 > len(data) or len(body) < size:
+ZEROS = _zero_tables(32)
+
+
+def checksums(parts: list[bytes]) -> list[int]:
+    """The format's masked CRC-32C of each part. Zeros in front don't change a state of 0, so all parts are made equally long;
+    what the first state, all ones, adds depends on a part's length only."""
+    if not parts:
+        return []
+    sizes = np.array([len(x) for x in parts], np.int64)
+    rows = max(1, -(-int(sizes.max()) // STRETCH))
+    data = np.frombuffer(b"".join(x.rjust(rows * STRETCH, b"\0") for x in parts), np.uint8).reshape(-1, STRETCH).T.copy()
+    state = np.zeros(data.shape[1], np.uint32)
+    for column in data:
+        state = CRC_TABLE[(state ^ column) & 0xFF] ^ state >> np.uint32(8)
+    state = state.reshape(len(parts), rows).T
+    crc, begun = np.zeros(len(parts), np.uint32), np.full(len(parts), 0xFFFFFFFF, np.uint32)
+    for row in state:
+        crc = _over_zeros(crc, ZEROS[STRETCH.bit_length() - 1]) ^ row
+    for k in range(int(sizes.max()).bit_length()):
+        begun = np.where(sizes >> k & 1, _over_zeros(begun, ZEROS[k]), begun)
+    crc ^= begun ^ np.uint32(0xFFFFFFFF)
+    masked = ((crc >> np.uint32(15)) | (crc << np.uint32(17))) + np.uint32(0xA282EAD8)
+    return masked.tolist()
+
+
+def _content(kind: int, body: bytes) -> bytes:
+    """What a frame of data holds; ValueError where it can't be read."""
+    if len(body) < 4:
+        raise ValueError("a frame without a checksum")
+    if kind == 0x01:
+        return body[4:]
+    length, shift = 0, 0
+    for b in body[4:9]:  # the varint of the raw length
+        length |= (b & 0x7F) << shift
+        shift += 7
+        if not b & 0x80:
+            break
+    if length > FRAME:
+        raise ValueError("a frame of too many bytes")
+    try:
+        return pa.Codec("snappy").decompress(body[4:], length).to_pybytes() if length else b""
+    except OSError as e:
+        raise ValueError("a frame that can't be read") from e
+
+
+class _Bytes:
+    """A file read forwards from a place, READ bytes at a time."""
+
+    def __init__(self, file, size: int, at: int):
+        self.file, self.size, self.at, self.held, self.used = file, size, at, b"", 0
+        file.seek(at)
+
+    def take(self, n: int) -> bytes:
+        while len(self.held) - self.used < n and (more := self.file.read(max(READ, n))):
+            self.held, self.used = self.held[self.used :] + more, 0
+        out = self.held[self.used : self.used + n]
+        self.used += len(out)
+        self.at += len(out)
+        return out
+
+
+def _stored(file, size: int, at: int) -> Iterator[tuple[int, int, bytes]]:
+    """(place, checksum, content) of the frames of data from a frame's place on. ValueError at a cut-off frame or one of an unknown kind."""
+    data = _Bytes(file, size, at)
+    while head := data.take(4):
+        place, n = data.at - len(head), int.from_bytes(head[1:], "little")
+        body = data.take(n)
+        if len(head) < 4 or len(body) < n:
             raise ValueError("the last frame is cut off")
-        at += 4 + size
-        if kind in (0x00, 0x01) and size < 4:
-            raise ValueError("a frame without a checksum")
-        if kind == 0x00:
-            raw, length, shift = body[4:], 0, 0
-            for b in raw[:5]:  # the varint of the raw length
-                length |= (b & 0x7F) << shift
-                shift += 7
-                if not b & 0x80:
-                    break
-            yield int.from_bytes(body[:4], "little"), codec.decompress(raw, length).to_pybytes() if length else b""
-        elif kind == 0x01:
-            yield int.from_bytes(body[:4], "little"), body[4:]
-        elif 0x02 <= kind <= 0x7F:
-            raise ValueError(f"frame of unknown kind {kind}")
+        if head[0] in (0x00, 0x01):
+            yield place, int.from_bytes(body[:4], "little"), _content(head[0], body)
+        elif head[0] <= 0x7F:
+            raise ValueError(f"frame of unknown kind {head[0]}")
 
 
-def frames(data: bytes) -> Iterator[bytes]:
-    """Contents of the frames, some at a time, with their checksums compared. ValueError where the data is cut off or damaged."""
-    held: list[tuple[int, bytes]] = []
+def _checked(stored: Iterator[tuple[int, int, bytes]], end: int | None = None) -> Iterator[tuple[int, bytes]]:
+    """(place, content) with their checksums compared, some at a time, but one at a time from ``end`` on."""
+    held: list[tuple[int, int, bytes]] = []
 
-    def checked() -> Iterator[bytes]:
-        for (want, part), got in zip(held, checksums([x for _, x in held]), strict=True):
+    def out() -> Iterator[tuple[int, bytes]]:
+        for (place, want, part), got in zip(held, checksums([x for *_, x in held]), strict=True):
             if want != got:
                 raise ValueError("a frame's checksum is wrong")
-            yield part
+            yield place, part
         held.clear()
 
-    for piece in _pieces(data):
-        held.append(piece)
-        if len(held) >= TOGETHER:
-            yield from checked()
-    yield from checked()
+    for frame in stored:
+        held.append(frame)
+        if len(held) >= TOGETHER or (end is not None and frame[0] >= end):
+            yield from out()
+    yield from out()
+
+
+def frames(data: bytes) -> Iterator[bytes]:
+    """Contents of the frames. ValueError where the data is cut off or damaged."""
+    for _, part in _checked(_stored(pa.BufferReader(data), len(data), 0)):
+        yield part
+
+
+def first_frame(file, size: int, at: int) -> int | None:
+    """The first place from ``at`` on where a frame of data begins, by its head and its checksum; None if there is none."""
+    reach = STORED + 8
+    while at < size:
+        file.seek(at)
+        some = np.frombuffer(file.read(READ + reach), np.uint8)
+        last = len(some) - 3 if at + len(some) >= size else READ
+        # kinds 0 and 1, and fewer than 131072 bytes
+        for i in np.flatnonzero((some[: len(some) - 3] <= 1) & (some[3:] <= 1))[: len(some)]:
+            if i >= last:
+                break
+            n = int(some[i + 1]) | int(some[i + 2]) << 8 | int(some[i + 3]) << 16
+            body = some[i + 4 : i + 4 + n].tobytes()
+            if not 4 <= n <= STORED or len(body) < n or (some[i] == 1 and n > FRAME + 4):
+                continue
+            try:
+                content = _content(int(some[i]), body)
+            except ValueError:
+                continue
+            if checksums([content])[0] == int.from_bytes(body[:4], "little"):
+                return at + int(i)
+        at += READ
+    return None
+
+
+def range_frames(file, size: int, start: int, end: int) -> Iterator[tuple[bool, int, bytes]]:
+    """(owned, place, content): the frames of data that begin in start:end, then those behind, for as long as they are asked for."""
+
+    def stored() -> Iterator[tuple[int, int, bytes]]:
+        crossed = end >= size
+        for frame in _stored(file, size, at):
+            if not crossed and frame[0] >= end:
+                crossed = True
+                with_next = first_frame(again, size, end)
+                if with_next != frame[0]:
+                    raise ValueError(f"bytes at {with_next} look like a frame but aren't one: read the file in one range")
+            yield frame
+
+    at = start if start == 0 else first_frame(file, size, start)
+    if at is None or at >= end:
+        return
+    again = file.beside()
+    for place, part in _checked(stored(), end):
+        yield place < end, place, part
 
 
 def framed(data: bytes) -> bytes:
@@ -100,68 +208,117 @@ def framed(data: bytes) -> bytes:
     return b"".join(out)
 
 
-def read_framed(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(path, content): the raw bytes of each file. A file is one row, as the format can't be split."""
-    schema = pa.schema([("path", pa.string()), ("content", pa.binary())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, data in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([b"".join(frames(data.as_py()))], pa.binary())], schema=schema)
-
-    return spark.read.format("binaryFile").load(paths).select("path", "content").mapInArrow(run, "path string, content binary")
-
-
-def read_framed_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(path, value): the lines of each file, a few frames at a time. A file is one task's."""
-    schema = pa.schema([("path", pa.string()), ("value", pa.string())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, data in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                rest: list[bytes] = []
-                for part in frames(data.as_py()):
-                    first, *lines = part.split(b"\n")
-                    rest.append(first)
-                    if lines:
-                        whole = [b"".join(rest), *lines[:-1]]
-                        rest = [lines[-1]]
-                        yield pa.RecordBatch.from_arrays([pa.array([path] * len(whole)), pa.array([x.decode("utf-8", "replace") for x in whole])], schema=schema)
-                if last := b"".join(rest):
-                    yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([last.decode("utf-8", "replace")])], schema=schema)
-
-    return spark.read.format("binaryFile").load(paths).select("path", "content").mapInArrow(run, "path string, value string")
-
-
-def write_framed(lines: DataFrame, path: str) -> None:
-    """Lines (value) as .sz files of up to LINES lines, part-<partition>-<number>.sz in ``path``; ``_SUCCESS`` comes last.
-
-    Executors make the files; they pass through the driver one by one, as Spark has no binary sink."""
-    conf = lines.sparkSession.sparkContext
-    schema = pa.schema([("name", pa.string()), ("content", pa.binary())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n, part = [], 0, TaskContext.get().partitionId()
-
-        def made():
-            data = framed(b"".join(held))
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array([f"part-{part:05}-{n:05}.sz"]), pa.array([data], pa.binary())], schema=schema)
-
-        for batch in batches:
-            held += [(x or "").encode() + b"\n" for x in batch.column("value").to_pylist()]
-            if len(held) >= LINES:
-                yield made()
-                n += 1
-        if held:
-            yield made()
-
-    jvm, files = conf._jvm, lines.select("value").mapInArrow(run, "name string, content binary")
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(conf._jsc.hadoopConfiguration())
-    fs.delete(target, True)
-    for row in files.toLocalIterator():  # one file in the driver at a time
-        out = fs.create(jvm.org.apache.hadoop.fs.Path(path, row["name"]))
-        out.write(bytes(row["content"]))
-        out.close()
-    fs.create(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")).close()
+@dataclass
+class Range(InputPartition):
+    path: str
+    start: int
+    end: int
+    size: int
+
+
+def _batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows, whose last values are strings or bytes, in batches of some megabytes."""
+    held, n = [], 0
+    for row in rows:
+        held.append(row)
+        n += len(row[-1]) + 64
+        if n >= 4 * READ:
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*held), schema)], schema=schema)
+            held, n = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*held), schema)], schema=schema)
+
+
+def range_lines(file, size: int, start: int, end: int) -> Iterator[bytes]:
+    """Lines whose line end before them is in a frame of the range; the first line is the first range's."""
+    rest: list[bytes] | None = [] if start == 0 else None  # None until a line has begun
+    for owned, _, part in range_frames(file, size, start, end):
+        if not owned:
+            if rest is None:
+                return
+            line, found, _ = part.partition(b"\n")
+            rest.append(line)
+            if found:
+                break
+            continue
+        first, *lines = part.split(b"\n")
+        if rest is not None:
+            rest.append(first)
+        if lines:
+            if rest is not None:
+                yield b"".join(rest)
+            yield from lines[:-1]
+            rest = [lines[-1]]
+    if rest and (last := b"".join(rest)):
+        yield last
+
+
+def _joined(found: Iterator[tuple[bool, int, bytes]]) -> Iterator[tuple[int, bytes]]:
+    """(place, content) of the range's own frames, joined to about READ bytes."""
+    place, held, n = 0, [], 0
+    for owned, at, part in found:
+        if not owned:
+            break
+        place = place if held else at
+        held.append(part)
+        n += len(part)
+        if n >= READ:
+            yield place, b"".join(held)
+            held, n = [], 0
+    if held:
+        yield place, b"".join(held)
+
+
+class FramedReader(DataSourceReader):
+    def __init__(self, options: dict[str, str], raw: bool):
+        self.paths, self.step, self.raw = json.loads(options["paths"]), int(options.get("rangebytes", RANGE)), raw
+
+    def partitions(self) -> list[Range]:
+        return [Range(path, at, min(at + self.step, size), size) for path, size in listed(self.paths) for at in range(0, size, self.step)]
+
+    def read(self, part: Range) -> Iterator[pa.RecordBatch]:
+        where = part.size, part.start, part.end
+        with opened(part.path) as file:
+            if self.raw:
+                schema = pa.schema([("path", pa.string()), ("at", pa.int64()), ("content", pa.binary())])
+                yield from _batches(((part.path, *x) for x in _joined(range_frames(file, *where))), schema)
+            else:
+                schema = pa.schema([("path", pa.string()), ("value", pa.string())])
+                yield from _batches(((part.path, x.decode("utf-8", "replace")) for x in range_lines(file, *where)), schema)
+
+
+class FramedSource(DataSource):
+    """Options: paths (a JSON list; folders and names with * too), mode (lines or raw), rangeBytes."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "terrace_framed"
+
+    def schema(self) -> str:
+        return "path string, at long, content binary" if self.options.get("mode") == "raw" else "path string, value string"
+
+    def reader(self, schema) -> FramedReader:
+        return FramedReader(dict(self.options), self.options.get("mode") == "raw")
+
+
+def _read(spark: SparkSession, paths: str | list[str], mode: str, range_bytes: int | None) -> DataFrame:
+    spark.dataSource.register(FramedSource)
+    size = range_bytes or int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
+    return spark.read.format("terrace_framed").options(paths=json.dumps([paths] if isinstance(paths, str) else paths), mode=mode, rangeBytes=size).load()
+
+
+def read_framed(spark: SparkSession, paths: str | list[str], range_bytes: int | None = None) -> DataFrame:
+    """(path, at, content): raw bytes of some frames together and the place of the first in the file; in this order they are the file's content."""
+    return _read(spark, paths, "raw", range_bytes)
+
+
+def read_framed_lines(spark: SparkSession, paths: str | list[str], range_bytes: int | None = None) -> DataFrame:
+    """(path, value): the lines of each file. Ranges are as large as Spark's (spark.sql.files.maxPartitionBytes) unless told otherwise."""
+    return _read(spark, paths, "lines", range_bytes)
+
+
+def write_framed(lines: DataFrame, path: str, most: int = 250_000_000) -> None:
+    """Lines (value) as .sz files of about ``most`` raw bytes; each task writes its own, and ``_SUCCESS`` comes last."""
+    from terrace.sources.parts import write_parts
+
+    write_parts(lines.select("value"), path, "framed", most)

@@ -1,14 +1,75 @@
-"""Compiling dumps as they land: a file stream of entity lines into the compiled table."""
+"""Compiling entity dumps as a stream of files: each batch is parsed once and fills all tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from terrace.sources.entities import parse_entities
+from terrace.functions.entities import relations
+from terrace.operators.triples import label_index, triples
+from terrace.sources.catalog import MARKERS, Catalog
+from terrace.sources.entities import parse_entities, read_lines
+from terrace.sources.framed import FramedSource, read_framed_lines
+from terrace.sources.parts import PART, PartsSink, write_parts
 
+#: Tables of a date, the one that makes it visible last.
+TABLES = ("progress", "quarantine", "triples", "labels", "entities")
+FILES = 1000
+LISTED = "path string, modificationTime timestamp, length long, content binary"
 
-def compile_entities(spark: SparkSession, landing: str, target: str, checkpoint: str) -> StreamingQuery:
-    """Parse files that are new in ``landing`` and append them to ``target``; ends when it has caught up."""
-    lines = spark.readStream.format("text").load(landing)
-    return parse_entities(lines).writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(target)
+
+def entity_lines(spark: SparkSession, files: list[str], partitions: int | None = None) -> DataFrame:
+    """(value): lines of plain, .gz, .bz2 and framed .sz files. Those of a .gz file, which one task reads, are spread before they are parsed."""
+    kinds = {kind: [x for x in files if x.rpartition(".")[2] == kind] for kind in ("sz", "gz")}
+    plain = [x for x in files if x not in kinds["sz"] and x not in kinds["gz"]]
+    spread = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = [read_lines(spark, kinds["gz"], spread)] if kinds["gz"] else []
+    parts += [read_lines(spark, plain, partitions)] if plain else []
+    parts += [read_framed_lines(spark, kinds["sz"]).select("value")] if kinds["sz"] else []
+    lines = parts[0]
+    for more in parts[1:]:
+        lines = lines.unionByName(more)
+    return lines
+
+
+def compile_batch(catalog: Catalog, name: str, date: str, number: int, files: list[str], mode: str, partitions: int | None, part_bytes: int) -> None:
+    """One batch's part of every table. It replaces what an earlier try has left, so a batch that is run again leaves the same rows. The dump is read by the first
+    write alone; the other tables are made of what that has written."""
+    spark, at = catalog.spark, lambda state: f"{catalog.path(state, name, date)}/batch={number}"
+    seen, bad = Observation(), F.col("corrupt").isNotNull()
+    counts = F.count("*").alias("lines"), F.count_if(~bad).alias("entities"), F.count_if(bad).alias("corrupt"), F.coalesce(F.sum(F.when(~bad, F.size(relations()))), F.lit(0)).cast("long").alias("relations")
+    parsed = parse_entities(entity_lines(spark, files, partitions), mode).observe(seen, *counts)
+    write_parts(parsed, at("entities"), "parquet", part_bytes)
+    stored = spark.read.parquet(at("entities"))
+    good = stored.where(~bad)
+    for state, df in (("labels", label_index(good)), ("triples", triples(good)), ("quarantine", stored.where(bad).select("corrupt"))):
+        df.write.mode("overwrite").parquet(at(state))
+    n = seen.get
+    row = [(len(files), n["lines"], n["entities"], n["corrupt"], n["relations"])]
+    spark.createDataFrame(row, "files long, lines long, entities long, corrupt long, relations long").coalesce(1).write.mode("overwrite").parquet(at("progress"))
+
+
+def compile_entities(catalog: Catalog, name: str, date: str, mode: str = "PERMISSIVE", partitions: int | None = None, files_per_batch: int = FILES, part_bytes: int = PART) -> None:
+    """download/name/date (JSON lines, plain, .gz, .bz2 or framed .sz) to entities, labels, triples, quarantine and progress of that date.
+
+    The stream's log fixes which files are in which batch. A job that was killed goes on with the batch that it was in when it is called again; one that has
+    finished starts anew. Readers see nothing of the date until all tables are whole: their markers come last.
+    """
+    catalog.inputs(name, date)  # there must be some
+    log = catalog.path("compiling", name, date)
+    if not catalog.has(log):
+        for state in reversed(TABLES):
+            catalog.clear(state, name, date)
+    for source in (FramedSource, PartsSink):  # the stream works in a copy of the session
+        catalog.spark.dataSource.register(source)
+    landed = catalog.spark.readStream.format("binaryFile").schema(LISTED).option("maxFilesPerTrigger", files_per_batch).load(catalog.path("download", name, date)).select("path")
+
+    def one(batch: DataFrame, number: int) -> None:
+        files = sorted(r["path"] for r in batch.collect() if r["path"].rpartition("/")[2] not in MARKERS)  # of files_per_batch files, at most
+        if files:
+            compile_batch(catalog, name, date, number, files, mode, partitions, part_bytes)
+
+    landed.writeStream.foreachBatch(one).option("checkpointLocation", log).trigger(availableNow=True).start().awaitTermination()
+    for state in TABLES:
+        catalog.mark(state, name, date)
+    catalog.clear("compiling", name, date)
