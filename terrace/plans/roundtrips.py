@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.functions.entities import best_label, claims_of, coordinates, relations
+from terrace.functions.entities import best_label, claims_of, coordinates, description, relations, sitelink
 from terrace.operators import graph
 from terrace.operators.triples import label_index, triples
 from terrace.operators.urls import aggregate_urls, ordered
@@ -129,6 +129,58 @@ def compiled_entities(spark: SparkSession, sf: str) -> DataFrame:
     return c.triples(DATE).join(c.labels(DATE).withColumnRenamed("id", "source"), "source").select("source", "prop", "dest", "label")
 
 
+def _snaks(spark: SparkSession, sf: str) -> DataFrame:
+    """An entity a line for each supplier, with what else entities hold: sitelinks, aliases, descriptions, snaks without a value, references to properties, and claims that can't be read."""
+    s = fx.table(spark, sf, "supplier")
+    k = F.col("s_suppkey")
+    n, name = k.cast("string"), F.regexp_extract(F.to_json(F.struct("s_name")), r"^\{\"s_name\":(.*)\}$", 1)
+    text = lambda *x: F.concat(*[y if isinstance(y, Column) else F.lit(y) for y in x])
+    ref = lambda kind: text('"mainsnak":{"property":"P5","snaktype":"value","datavalue":{"type":"wikibase-entityid","value":{"entity-type":"', kind, '","numeric-id":', n, "}}}")
+    given = '"type":"statement","rank":"normal",'
+    claims = [
+        text(given, ref("item")),
+        F.lit(given + '"mainsnak":{"property":"P5","snaktype":"somevalue"}'),
+        F.lit(given + '"mainsnak":{"property":"P5","snaktype":"novalue"}'),
+        F.lit('"type":"statement","rank":"normal"'),
+        F.lit(given + '"mainsnak":{"property":"P5","datavalue":{"type":"string","value":"x"}}'),
+        text('"type":"odd","rank":"normal",', ref("item")),
+        F.lit(given + '"mainsnak":{"property":"P5","snaktype":"value"}'),
+        text('"type":"claim",', ref("property")),
+    ]
+    claim = F.element_at(F.array(*claims), (k % 8 + 1).cast("int"))
+    mono = lambda v: text('{"language":"en","value":', v, "}")
+    line = text('{"id":"Q', n, '","type":"item","labels":{},"descriptions":{"en":', mono(name), '},"aliases":{"en":[', mono(name), ",", mono(text('"S', n, '"')), ']},"sitelinks":{"enwiki":{"site":"enwiki","title":', name, '}},"claims":{"P5":[{"id":"x",', claim, "}]}}")
+    return s.select(line.alias("value"))
+
+
+def _snak_file(spark: SparkSession, sf: str) -> DataFrame:
+    path = folder(spark, "snaks")
+    _snaks(spark, sf).write.option("compression", "bzip2").text(path)
+    return read_entities(spark, path)
+
+
+def entity_extras(spark: SparkSession, sf: str) -> DataFrame:
+    e = _snak_file(spark, sf).where("corrupt is null")
+    also = F.array_join(F.transform(F.try_element_at("aliases", F.lit("en")), lambda x: x["value"]), "|")
+    kind = F.try_element_at(claims_of("P5"), F.lit(1))["mainsnak"]["snaktype"]
+    return e.select("id", sitelink("enwiki").alias("page"), description("en").alias("description"), also.alias("aliases"), kind.alias("snaktype"), F.try_element_at(relations(), F.lit(1))["dest"].alias("dest"))
+
+
+def quarantined_claims(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids of entities with a claim that can't be read: the whole line is set apart."""
+    return _snak_file(spark, sf).where("corrupt is not null").select(F.regexp_extract("corrupt", r'"id":"(Q\d+)"', 1).alias("id"))
+
+
+def export_line_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Every line of the exports as often as it is there, without the parts' headers."""
+    path, e = folder(spark, "exports"), fx.place_entities(spark, sf)
+    sinks.write_csv(_odd_labels(spark, sf), f"{path}/csv")
+    sinks.write_graph(e, triples(e), path)
+    lines = lambda name, header: spark.read.text(f"{path}/{name}").where(F.col("value") != header).select(F.lit(name).alias("file"), "value")
+    every = lines("csv", "id,label").unionByName(lines("nodes", "qid:ID;label:LABEL")).unionByName(lines("tuples", ":START_ID;:TYPE;:END_ID"))
+    return every.groupBy("file", "value").agg(F.count("*").alias("n"))
+
+
 def compile_counters(spark: SparkSession, sf: str) -> DataFrame:
     """What a compile job counts while it reads the dump once, half of it framed Snappy and half gzip, two files a batch."""
     c = Catalog(spark, folder(spark, "entities"))
@@ -207,7 +259,7 @@ def url_prefixes_in_order(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (pages_from_xml, redirect_lookup, links_without_redirects, wiki_tables, entities_from_json, quarantined_lines, compiled_entities, compile_counters, framed_lines, raw_cat, pages_by_bytes, forest_tree, csv_file, tsv_file, graph_files, url_prefixes_in_order)}
+    return {f.__name__: f for f in (pages_from_xml, redirect_lookup, links_without_redirects, wiki_tables, entities_from_json, quarantined_lines, compiled_entities, compile_counters, framed_lines, raw_cat, pages_by_bytes, forest_tree, entity_extras, quarantined_claims, export_line_counts, csv_file, tsv_file, graph_files, url_prefixes_in_order)}
 
 
 _PAGES = """
@@ -244,6 +296,9 @@ def oracle_sql() -> dict[str, str]:
         "compile_counters": "SELECT *, entities AS stored, relations AS triples, entities AS labels FROM (SELECT count(*) AS lines, count(*) FILTER (p_size % 10 <> 0) AS entities, count(*) FILTER (p_size % 10 = 0) AS corrupt, count(*) FILTER (p_size % 10 <> 0 AND p_size % 9 <> 0) AS relations FROM part)",
         "raw_cat": "SELECT letter, count(*) AS n FROM (SELECT unnest(string_split(c_custkey || '|' || c_name || '|' || c_mktsegment || chr(10), '')) AS letter FROM customer) GROUP BY letter",
         "pages_by_bytes": f"WITH {_PAGES} SELECT id, title, model, kind, text FROM p",
+        "entity_extras": "SELECT 'Q' || s_suppkey AS id, s_name AS page, s_name AS description, s_name || '|S' || s_suppkey AS aliases, ['value', 'somevalue', 'novalue', '', '', '', '', 'value'][s_suppkey % 8 + 1] AS snaktype, CASE s_suppkey % 8 WHEN 0 THEN 'Q' || s_suppkey WHEN 7 THEN 'P' || s_suppkey END AS dest FROM supplier WHERE s_suppkey % 8 NOT IN (3, 4, 5, 6)",
+        "quarantined_claims": "SELECT 'Q' || s_suppkey AS id FROM supplier WHERE s_suppkey % 8 IN (3, 4, 5, 6)",
+        "export_line_counts": f"WITH {_ODD}, {_LABELS}, {_TRIPLES}, x AS (SELECT 'csv' AS file, id || ',' || label AS value FROM c UNION ALL SELECT 'nodes', id || ';' || chr(39) || replace(replace(label, chr(39), ''), chr(10), '') || chr(39) FROM l WHERE length(id) IN (4, 5) OR id LIKE 'Q10%' UNION ALL SELECT 'tuples', source || ';' || prop || ';' || dest FROM t WHERE length(source) IN (4, 5) OR source LIKE 'Q10%') SELECT file, value, count(*) AS n FROM x GROUP BY ALL",
         "forest_tree": f"{_TREE.format(labels=_LABELS, edges=_EDGES)}",
         "framed_lines": "SELECT c_custkey || '|' || c_name AS value FROM customer",
         "csv_file": f"WITH {_ODD} SELECT 'id,label' AS value UNION SELECT id || ',' || label FROM c",

@@ -18,6 +18,8 @@ RAW_PAGE = "title string, ns int, id bigint, redirect struct<_title: string>, re
 
 #: Fixed values of the dump formats.
 ENTITY_TYPES = ["item", "property"]
+CLAIM_TYPES = ["statement", "claim"]
+VALUE_TYPES = ["string", "wikibase-entityid", "time", "quantity", "globecoordinate", "monolingualtext"]
 RANKS = ["preferred", "normal", "deprecated"]
 SNAKTYPES = ["value", "somevalue", "novalue"]
 MODELS = ["wikitext", "wikibase-item", "css", "json", "flow-board", "javascript", "Scribunto", "MassMessageListContent"]

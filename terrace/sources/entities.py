@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.schemas import DATAVALUE, ENTITY, ENTITY_TYPES, RANKS, RAW_ENTITY, SNAKTYPES
+from terrace.schemas import CLAIM_TYPES, DATAVALUE, ENTITY, ENTITY_TYPES, RANKS, RAW_ENTITY, SNAKTYPES, VALUE_TYPES
 
 
 def read_lines(spark: SparkSession, paths: str | list[str], partitions: int | None = None) -> DataFrame:
@@ -33,6 +33,14 @@ def _arms(value):
     ).cast(DATAVALUE)
 
 
+def _unreadable(claim):
+    """A claim of an unknown type or rank (missing ones will do), without a main snak of a known type, or with a value that is missing or of an unknown type."""
+    snak, value = claim["mainsnak"], claim["mainsnak"]["datavalue"]
+    unknown = lambda x, known: F.coalesce(~x.isin(known), F.lit(False))
+    without = value["value"].isNull() | F.coalesce(~value["type"].isin(VALUE_TYPES), F.lit(True))
+    return unknown(claim["type"], CLAIM_TYPES) | unknown(claim["rank"], RANKS) | F.coalesce(~snak["snaktype"].isin(SNAKTYPES), F.lit(True)) | (snak["snaktype"] == "value") & without
+
+
 def parse_entities(lines: DataFrame, mode: str = "PERMISSIVE") -> DataFrame:
     """Entities of lines (value), with ``corrupt``: the line, where it isn't an entity of known types. FAILFAST raises instead.
 
@@ -47,7 +55,7 @@ def parse_entities(lines: DataFrame, mode: str = "PERMISSIVE") -> DataFrame:
     raw = lines.select("line", F.from_json(fixed, RAW_ENTITY, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("e"))
     snaks = lambda f: F.exists(F.flatten(F.map_values("e.claims")), f)
     bad = F.col("e._corrupt_record").isNotNull() | F.col("e.id").isNull() | F.coalesce(~F.col("e.type").isin(ENTITY_TYPES), F.lit(True))
-    bad = bad | F.coalesce(snaks(lambda c: ~c["rank"].isin(RANKS) | ~c["mainsnak"]["snaktype"].isin(SNAKTYPES)), F.lit(False))
+    bad = bad | F.coalesce(snaks(_unreadable), F.lit(False))
     corrupt = F.when(bad, F.col("line") if mode == "PERMISSIVE" else F.raise_error(F.concat(F.lit("not an entity: "), F.left("line", F.lit(200)))).cast("string"))
     claims = F.transform_values(
         "e.claims",

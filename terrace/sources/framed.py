@@ -239,7 +239,8 @@ def range_lines(file, size: int, start: int, end: int) -> Iterator[bytes]:
             line, found, _ = part.partition(b"\n")
             rest.append(line)
             if found:
-                break
+                yield b"".join(rest)
+                return
             continue
         first, *lines = part.split(b"\n")
         if rest is not None:
