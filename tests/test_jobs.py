@@ -268,3 +268,31 @@ def test_references_there_and_back(spark):
     df = spark.createDataFrame([("Q42",), ("P31",), ("Q4294967295",), ("q1",), ("Q",), (None,)], "r string").select("r", parse_ref(F.col("r")).alias("x"))
     got = df.select("r", format_ref(F.col("x.kind"), F.col("x.num")).alias("back")).collect()
     assert [r["back"] for r in got] == ["Q42", "P31", "Q4294967295", None, None, None]
+
+
+def test_which_files_make_up_a_dump():
+    listing = '<a href="/w/20240101/w-20240101-pages-articles1.xml-p1p9.bz2">1</a> <a href="/w/20240101/w-20240101-pages-articles2.xml-p10.bz2">2</a><a href="/w/20240101/w-20240101-pages-articles.xml.bz2">all</a><a href="/w/20240101/w-20240101-stub.xml.gz">s</a>'
+    assert landing.wiki_files(landing.linked(listing), "w", "20240101") == ["w-20240101-pages-articles1.xml-p1p9.bz2", "w-20240101-pages-articles2.xml-p10.bz2"]
+    assert landing.wiki_files([], "w", "20240101") == ["w-20240101-pages-articles.xml.bz2"]
+    assert landing.latest_entities('<a href="20231231.json.gz"><a href="20240108.json.gz">\n<a href="20240108.json.bz2">') == "20240108" and landing.latest_entities("") is None
+    assert landing.latest_in_feed("<rss>\n<link>http://mirror/w</link>\n<link>http://mirror/w/20240220</link><link>http://mirror/w/20240101</link>") == "20240101"
+    assert landing.latest_in_feed("<link>http://mirror/w/20240220</link>\n<link>http://mirror/w/20240101</link>") == "20240220" and landing.latest_in_feed("") is None
+    names = ["pagecounts-20240229-000000.gz", "pagecounts-20240229-010000.gz", "pagecounts-20240301-000000.gz", "projectcounts-20240229-000000", "pagecounts-20240229-000000.gz"]
+    assert landing.pagecounts_folder("20240229") == "2024/2024-02" and landing.pagecounts_files(names, "20240229") == names[:2]
+
+
+def test_taking_over_is_done_once(spark, tmp_path):
+    mirror, root = tmp_path / "mirror", tmp_path / "root"
+    mirror.mkdir()
+    for name, size in (("a.gz", 10), ("b.gz", 3000), ("c.txt", 5)):
+        (mirror / name).write_bytes(name.encode() * size)
+    assert landing.import_snapshot(str(mirror), str(root), "w", "20240101", "*.gz", spark) == ["b.gz", "a.gz"]
+    assert landing.import_snapshot(str(mirror), str(root), "w", "20240101", "*.gz", spark) == []
+    target = root / "download" / "w" / "20240101"
+    (target / "b.gz").write_bytes(b"cut off")
+    assert landing.import_snapshot(str(mirror), str(root), "w", "20240101", "*.gz", spark) == ["b.gz"]
+    assert {x: (target / x).read_bytes() for x in ("a.gz", "b.gz")} == {x: (mirror / x).read_bytes() for x in ("a.gz", "b.gz")}
+    assert sorted(os.listdir(target)) == ["a.gz", "b.gz", "ok"]
+    with pytest.raises(FileNotFoundError):
+        landing.import_snapshot(str(mirror), str(root), "w", "20240102", names=["d.gz"], spark=spark)
+    assert catalog.Catalog(spark, str(root)).latest("download", "w") == "20240101"
