@@ -42,22 +42,26 @@ def children(e: DataFrame) -> DataFrame:
 
 
 def descendants(e: DataFrame, start: DataFrame, most_rounds: int = 10_000) -> DataFrame:
-    """(root, node): all below each root of ``start`` (root), itself excluded. Cycles end: a round takes only what is new to its root. ValueError if that takes more than ``most_rounds``."""
+    """(root, node): all below each root of ``start`` (root), itself excluded. Cycles end: a round takes only what is new to its root. ValueError if that takes more than ``most_rounds``.
+    What the rounds have written is removed, but for the result."""
     e = cut(e.select("child", "parent"))
     seen = frontier = cut(start.select("root", F.col("root").alias("node")).distinct())
-    found = [seen]
-    for _ in range(most_rounds):
+    made = [e, seen]
+    for rounds in range(1, most_rounds + 1):
         new = frontier.join(e, frontier["node"] == e["parent"]).select("root", F.col("child").alias("node")).distinct()
         frontier = cut(new.join(seen, ["root", "node"], "left_anti"))
+        made.append(frontier)
         if frontier.isEmpty():
-            break
-        found.append(frontier)
+            out = cut(seen.where("root <> node"))
+            drop(*made)
+            return out
         seen = seen.unionByName(frontier)
-        if len(found) % 8 == 0:
+        if rounds % 8 == 0:
             seen = cut(seen)
-    else:
-        raise ValueError(f"there is more below the roots after {most_rounds} rounds")
-    return seen.where("root <> node")
+            drop(*made[1:-1])
+            made = [e, seen, frontier]
+    drop(*made)
+    raise ValueError(f"there is more below the roots after {most_rounds} rounds")
 
 
 #: Between the ids of a path, and behind all that hangs below one. Ids hold neither.

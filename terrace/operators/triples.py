@@ -28,6 +28,13 @@ def match_count(t: DataFrame, prop: str, dest: str) -> DataFrame:
     return t.where((F.col("prop") == prop) & (F.col("dest") == dest)).agg(F.count("*").alias("n"))
 
 
+def wanted(stored: DataFrame, filters: DataFrame) -> DataFrame:
+    """Distinct (ident, source) of triples with a relation of a filter table (ident, prop, dest) of any length. Where the triples are stored by property, only
+    the filters' properties are read: what they are is found out when the query runs."""
+    asked = filters.where(F.col("prop").like("P%")).distinct()
+    return stored.join(asked, ["prop", "dest"]).select("ident", "source").distinct()
+
+
 def pool_pages(entities: DataFrame, t: DataFrame, filters: DataFrame, site: str = "enwiki") -> DataFrame:
     """Distinct (ident, title) of entities with any relation of a pool's filter rows (ident, prop, dest) and a link to ``site``. Filters are a parameter, a few rows."""
     hits = t.join(filters, ["prop", "dest"]).select("ident", F.col("source").alias("id")).distinct()

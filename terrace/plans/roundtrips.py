@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from terrace.functions.entities import best_label, claims_of, coordinates, description, relations, sitelink
 from terrace.operators import graph
-from terrace.operators.triples import label_index, triples
+from terrace.operators.order import numbered
+from terrace.operators.pools import filter_table
+from terrace.operators.triples import label_index, triples, wanted
 from terrace.operators.urls import aggregate_urls, ordered
 from terrace.plans import fixtures as fx
 from terrace.plans.compile import compile_entities, compile_pages, compile_tables
@@ -19,7 +21,7 @@ from terrace.sources import sinks
 from terrace.sources.catalog import Catalog
 from terrace.sources.entities import read_entities
 from terrace.sources.framed import read_framed, read_framed_lines, write_framed
-from terrace.sources.pages import find_page, read_pages
+from terrace.sources.pages import find_page, read_pages, title_text
 
 DATE = "20240101"
 
@@ -258,8 +260,26 @@ def url_prefixes_in_order(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("prefix", "descendants", "direct")
 
 
+def url_prefix_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """The aggregated prefixes with their places in the listing."""
+    return numbered(aggregate_urls(fx.table(spark, sf, "pages").select("url")), "prefix").select("at", "prefix", "descendants", "direct")
+
+
+def titles_and_texts(spark: SparkSession, sf: str) -> DataFrame:
+    return title_text(_page_file(spark, sf))
+
+
+def wanted_entities(spark: SparkSession, sf: str) -> DataFrame:
+    """Entities of a filter table, from triples that are stored by property: the pools, the orders of every seventh customer, and a property that isn't there."""
+    path = folder(spark, "by_property")
+    sinks.write_by_property(fx.all_triples(spark, sf), path)
+    customers = fx.table(spark, sf, "customer").where("c_custkey % 7 = 0").select(F.lit("orders").alias("ident"), F.lit("P50").alias("prop"), F.concat(F.lit("Q"), (10000000 + F.col("c_custkey")).cast("string")).alias("dest"))
+    asked = filter_table(spark, [*fx.POOLS, "none:P404Q1"]).unionByName(customers)
+    return wanted(spark.read.parquet(path), graph.cut(asked))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (pages_from_xml, redirect_lookup, links_without_redirects, wiki_tables, entities_from_json, quarantined_lines, compiled_entities, compile_counters, framed_lines, raw_cat, pages_by_bytes, forest_tree, entity_extras, quarantined_claims, export_line_counts, csv_file, tsv_file, graph_files, url_prefixes_in_order)}
+    return {f.__name__: f for f in (pages_from_xml, redirect_lookup, links_without_redirects, wiki_tables, entities_from_json, quarantined_lines, compiled_entities, compile_counters, framed_lines, raw_cat, pages_by_bytes, forest_tree, entity_extras, quarantined_claims, export_line_counts, url_prefix_listing, titles_and_texts, wanted_entities, csv_file, tsv_file, graph_files, url_prefixes_in_order)}
 
 
 _PAGES = """
@@ -299,6 +319,9 @@ def oracle_sql() -> dict[str, str]:
         "entity_extras": "SELECT 'Q' || s_suppkey AS id, s_name AS page, s_name AS description, s_name || '|S' || s_suppkey AS aliases, ['value', 'somevalue', 'novalue', '', '', '', '', 'value'][s_suppkey % 8 + 1] AS snaktype, CASE s_suppkey % 8 WHEN 0 THEN 'Q' || s_suppkey WHEN 7 THEN 'P' || s_suppkey END AS dest FROM supplier WHERE s_suppkey % 8 NOT IN (3, 4, 5, 6)",
         "quarantined_claims": "SELECT 'Q' || s_suppkey AS id FROM supplier WHERE s_suppkey % 8 IN (3, 4, 5, 6)",
         "export_line_counts": f"WITH {_ODD}, {_LABELS}, {_TRIPLES}, x AS (SELECT 'csv' AS file, id || ',' || label AS value FROM c UNION ALL SELECT 'nodes', id || ';' || chr(39) || replace(replace(label, chr(39), ''), chr(10), '') || chr(39) FROM l WHERE length(id) IN (4, 5) OR id LIKE 'Q10%' UNION ALL SELECT 'tuples', source || ';' || prop || ';' || dest FROM t WHERE length(source) IN (4, 5) OR source LIKE 'Q10%') SELECT file, value, count(*) AS n FROM x GROUP BY ALL",
+        "url_prefix_listing": f"WITH u AS (SELECT DISTINCT url FROM pages), {_UP.format(by='')} SELECT row_number() OVER (ORDER BY prefix) AS at, * FROM agg WHERE descendants > 1 AND descendants > (SELECT count(*) FROM u) // 1000 AND direct > descendants // 2",
+        "titles_and_texts": f"WITH {_PAGES} SELECT title, text FROM p",
+        "wanted_entities": f"WITH {_TRIPLES} SELECT DISTINCT CASE prop WHEN 'P361' THEN 'pool' || (substr(dest, 2)::BIGINT - 900) ELSE 'orders' END AS ident, source FROM t WHERE prop = 'P361' OR (prop = 'P50' AND substr(dest, 2)::BIGINT % 10000000 % 7 = 0)",
         "forest_tree": f"{_TREE.format(labels=_LABELS, edges=_EDGES)}",
         "framed_lines": "SELECT c_custkey || '|' || c_name AS value FROM customer",
         "csv_file": f"WITH {_ODD} SELECT 'id,label' AS value UNION SELECT id || ',' || label FROM c",

@@ -296,3 +296,28 @@ def test_taking_over_is_done_once(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         landing.import_snapshot(str(mirror), str(root), "w", "20240102", names=["d.gz"], spark=spark)
     assert catalog.Catalog(spark, str(root)).latest("download", "w") == "20240101"
+
+
+def test_only_wanted_properties_are_read(spark, tmp_path):
+    from terrace.operators.triples import wanted
+    from terrace.sources.sinks import write_by_property
+
+    t = spark.createDataFrame([(f"Q{i}", f"P{i % 40}", f"Q{i % 7}") for i in range(2000)], "source string, prop string, dest string")
+    write_by_property(t, str(tmp_path / "t"))
+    filters = spark.createDataFrame([("a", "P3", "Q1"), ("b", "P3", "Q1"), ("c", "P999", "Q1")] + [("many", f"P{i % 2}", f"Q{i}") for i in range(10_000)], "ident string, prop string, dest string")
+    filters.write.parquet(str(tmp_path / "f"))
+    found = wanted(spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "f")))
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
+    rows = [(f"Q{i}", i % 40, i % 7) for i in range(2000)]
+    want = {(x, s) for s, p, d in rows for x in ("a", "b") if (p, d) == (3, 1)} | {("many", s) for s, p, d in rows if p < 2 and any(k % 2 == p for k in range(d, 10_000, 10_000))}
+    assert {tuple(r) for r in found.collect() if r["ident"] != "many"} == {x for x in want if x[0] != "many"}
+    assert {r["source"] for r in found.where("ident = 'many'").collect()} == {s for s, p, d in rows if p < 2 and p == d % 2}
+
+
+def test_places_in_an_order(spark):
+    from terrace.operators.order import numbered
+
+    df = spark.range(1000).select((F.col("id") * 7919 % 1009).alias("x")).repartition(6)
+    got = {r["at"]: r["x"] for r in numbered(df, "x").collect()}
+    assert [got[i + 1] for i in range(1000)] == sorted(i * 7919 % 1009 for i in range(1000))
+    assert numbered(df.limit(0), "x").collect() == []
