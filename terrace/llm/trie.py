@@ -22,7 +22,8 @@ from terrace.llm.common import join_counted, materialize, record, remove, table
 
 #: Conversations share turns within families of so many ids; a conversation takes over fewer than INHERITED turns.
 FAMILY, INHERITED = 5, 9
-ROOT = bytes(16)
+KEY = 16
+ROOT = bytes(KEY)
 #: Partial tries that a round merges; nodes and ends that a partial trie holds before it is put out; a block of ids is 2**BLOCK wide.
 FAN, HELD, BLOCK = 256, 100_000, 14
 
@@ -57,37 +58,46 @@ def child_key(parent: bytes, role: bytes, text: bytes) -> bytes:
 
 
 class PartialTrie:
-    """Nodes of some conversations: key -> [parent, depth, bytes of the last text, members, least member, ends, ancestors at 1, 2, 4, ...]."""
+    """Nodes of some conversations: key -> [parent, depth, bytes of the last text, members, least member, ends, ancestors at 1, 2, 4, ...].
+
+    They can be put out at any time, in the middle of a conversation too: what comes later adds up with what went out."""
 
     def __init__(self):
         self.nodes: dict[bytes, list] = {}
-        self.path: list[bytes] = []
+        self.path = bytearray()  # the keys from the root on
         self.conv: int | None = None
-        self.ends = 0
+        self.size = self.ends = 0
 
-    def _enter(self, key: bytes, size: int) -> None:
-        depth = len(self.path)
-        self.path.append(key)
+    def _node(self) -> list:
+        """The node that the path ends at."""
+        key = bytes(self.path[-KEY:])
         node = self.nodes.get(key)
         if node is None:
-            ups = [self.path[depth - (1 << k)] for k in range(depth.bit_length())]
-            node = self.nodes[key] = [ups[0] if ups else None, depth, size, 0, self.conv, [], ups]
+            at = len(self.path) - KEY
+            ups = [bytes(self.path[at - (KEY << k) : at - (KEY << k) + KEY]) for k in range((at // KEY).bit_length())]
+            node = self.nodes[key] = [ups[0] if ups else None, at // KEY, self.size, 0, self.conv, [], ups]
+        return node
+
+    def _enter(self, key: bytes, size: int) -> None:
+        self.path += key
+        self.size = size
+        node = self._node()
         node[3] += 1
         node[4] = min(node[4], self.conv)
 
     def begin(self, conv: int) -> None:
         self.finish()
-        self.conv, self.path = conv, []
+        self.conv = conv
         self._enter(ROOT, 0)
 
     def turn(self, role: bytes, text: bytes) -> None:
-        self._enter(child_key(self.path[-1], role, text), len(text))
+        self._enter(child_key(bytes(self.path[-KEY:]), role, text), len(text))
 
     def finish(self) -> None:
         if self.path:
-            self.nodes[self.path[-1]][5].append(self.conv)
+            self._node()[5].append(self.conv)
             self.ends += 1
-            self.path = []
+            self.path = bytearray()
 
     def take(self) -> list[tuple]:
         out = [(k, *v) for k, v in self.nodes.items()]
@@ -109,17 +119,16 @@ def _partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, (conv, step) in enumerate(zip(batch.column("conv_id").to_pylist(), batch.column("step").to_pylist(), strict=True)):
             if step:
                 trie.turn(role[i].as_py(), text[i].as_py())
-                continue
-            trie.finish()
+            else:
+                trie.begin(conv)
             if len(trie.nodes) + trie.ends >= HELD:
                 yield from put_out()
-            trie.begin(conv)
     trie.finish()
     yield from put_out()
 
 
 def partial_tries(turns: DataFrame) -> DataFrame:
-    """Nodes as each task has added them up, with the number of the task (part). A conversation's turns pass through one task in order; it holds a key for each of them and at most HELD nodes
+    """Nodes as each task has added them up, with the number of the task (part). A conversation's turns pass through one task in order; it holds a key of 16 bytes for each of them and at most HELD nodes
     besides."""
     n = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return turns.repartition(n, "conv_id").sortWithinPartitions("conv_id", "step", "pos").drop("pos").mapInArrow(_partials, PARTIAL)
