@@ -304,7 +304,7 @@ class FramedSource(DataSource):
 
 def _read(spark: SparkSession, paths: str | list[str], mode: str, range_bytes: int | None) -> DataFrame:
     spark.dataSource.register(FramedSource)
-    size = range_bytes or int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
+    size = range_bytes or spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     return spark.read.format("terrace_framed").options(paths=json.dumps([paths] if isinstance(paths, str) else paths), mode=mode, rangeBytes=size).load()
 
 
