@@ -307,7 +307,7 @@ def oracle_sql() -> dict[str, str]:
     given = lambda x: f"CASE WHEN p_size % 9 <> 0 THEN {x} END"
     return {
         "pages_from_xml": f"WITH {_PAGES} SELECT * FROM p",
-        "redirect_lookup": "SELECT 'REDIRECT Page_8' AS content",
+        "redirect_lookup": f"WITH {_PAGES} SELECT 'REDIRECT ' || redirect AS content FROM p WHERE title = 'Page_7'",
         "links_without_redirects": f"WITH {_PAGES} SELECT id, len(string_split(text, '[http')) AS n FROM p WHERE kind = 'text'",
         "wiki_tables": f"WITH {_PAGES} SELECT id, 'p' || substr(title, 2) AS title, CASE kind WHEN 'redirect' THEN 'REDIRECT ' || redirect ELSE text END AS text FROM p",
         "entities_from_json": f"SELECT 'Q' || p_partkey AS id, {_LABEL} AS label, {given("'Q' || p_size")} AS dest, {given('p_brand')} AS brand, {given('p_size::DOUBLE')} AS amount, {given('-p_size::BIGINT')} AS timezone, {given("'size ' || p_size")} AS words, {given('p_partkey % 90 + 0.5::DOUBLE')} AS latitude, {given('(-(p_partkey % 180))::DOUBLE')} AS longitude FROM part WHERE p_size % 10 <> 0",

@@ -321,3 +321,13 @@ def test_places_in_an_order(spark):
     got = {r["at"]: r["x"] for r in numbered(df, "x").collect()}
     assert [got[i + 1] for i in range(1000)] == sorted(i * 7919 % 1009 for i in range(1000))
     assert numbered(df.limit(0), "x").collect() == []
+
+
+def test_a_strict_compile_shows_nothing(spark, tmp_path):
+    landed(tmp_path, files=2)
+    c = catalog.Catalog(spark, str(tmp_path))
+    with pytest.raises(Exception):  # noqa: B017
+        compile.compile_entities(c, "entities", "20240101", mode="FAILFAST")
+    assert [c.dates(x, "entities") for x in compile.TABLES] == [[]] * 5
+    compile.compile_entities(c, "entities", "20240101")
+    assert [c.dates(x, "entities") for x in compile.TABLES] == [["20240101"]] * 5 and c.labels().count() == 40
