@@ -331,3 +331,18 @@ def test_a_strict_compile_shows_nothing(spark, tmp_path):
     assert [c.dates(x, "entities") for x in compile.TABLES] == [[]] * 5
     compile.compile_entities(c, "entities", "20240101")
     assert [c.dates(x, "entities") for x in compile.TABLES] == [["20240101"]] * 5 and c.labels().count() == 40
+
+
+def test_pages_of_several_files_in_parts(spark, tmp_path):
+    from terrace.plans.compile import compile_pages
+
+    folder = tmp_path / "download" / "w" / "20240101"
+    folder.mkdir(parents=True)
+    for f in range(3):
+        pages = "".join(f"<page><title>T{f * 50 + i}</title><ns>0</ns><id>{f * 50 + i}</id><revision><id>1</id><model>wikitext</model><text>{'x' * 2000}{i}</text></revision></page>" for i in range(50))
+        (folder / f"p,{f}.xml").write_text(f"<m>{pages}</m>")
+    (folder / "ok").touch()
+    c = catalog.Catalog(spark, str(tmp_path))
+    compile_pages(c, "w", "20240101", part_bytes=1)
+    assert sorted(r["id"] for r in c.pages("w").collect()) == list(range(150)) and c.latest("pages", "w") == "20240101"
+    assert len([x for x in os.listdir(tmp_path / "pages" / "w" / "20240101") if x.startswith("part-")]) > 3
