@@ -1,9 +1,8 @@
-"""Sinks: CSV, graph-loader files, TSV, lookup tables, HTML."""
+"""Sinks: CSV, graph-loader files, TSV, lookup tables, triples by property."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from pathlib import Path
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -76,8 +75,3 @@ def write_sorted(df: DataFrame, path: str, key: str) -> None:
 def write_by_property(triples: DataFrame, path: str) -> None:
     """Triples in a folder for each property, so that a join with a table of wanted properties reads those alone. Rows of frequent properties are spread over tasks, rare properties share one."""
     triples.hint("rebalance", "prop").write.mode("overwrite").partitionBy("prop").parquet(path)
-
-
-def write_lines(lines: Iterable[str], path: str) -> None:
-    with Path(path).open("w", encoding="utf-8") as out:
-        out.writelines(f"{x}\n" for x in lines)
