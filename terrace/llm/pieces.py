@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
-from terrace.llm.common import chunks, record, table
+from terrace.llm.common import chunks, table
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
