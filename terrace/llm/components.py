@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import materialize, record, remove
+from terrace.llm.common import made_of, materialize, record, remove
 
 #: Up to this many edges (16 bytes each) one task holds all and finishes the job; before that, tasks empty their forests at so many nodes.
 TASK_EDGES = 1 << 18
@@ -87,4 +87,4 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if stars["n"] == stars["d"] and e.join(e.select(F.col("a").alias("b")).distinct(), "b", "left_semi").isEmpty():
             break
     nodes = e.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return nodes.union(nodes.select(F.col("component").alias("node"), "component").distinct())
+    return made_of(nodes.union(nodes.select(F.col("component").alias("node"), "component").distinct()), e)

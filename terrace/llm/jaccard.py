@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from terrace.llm.common import U, WordHashes, chunks, columns, join_counted, materialize, mix, record, signed, table
+from terrace.llm.common import U, WordHashes, chunks, columns, join_counted, made_of, materialize, mix, record, remove, signed, table
 from terrace.llm.components import Forest, connected_components
 from terrace.llm.shingles import shingle_sets, signatures
 
@@ -386,8 +386,9 @@ def similar_sets(docs: DataFrame, text: str = "text", size: int = 5, num: int =
     Documents without words (null, empty, white space) have n_shingles 0 and are components of their own. doc_id should
     be unique; rows that share one are each returned with the component of their own text, and texts whose smallest
     doc_id is the same are one class. Rows with a null doc_id are returned with a null component_id and link nothing.
-    Other columns of ``docs`` are not read.
+    Other columns of ``docs`` are not read. Two small tables stay for the result to read; ``remove`` deletes them.
     """
+    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     sets = materialize(docs.mapInArrow(_sets(size), SETS), "sets")
     watched = docs.mapInArrow(_watched(size), "shingle long, sig long")
@@ -402,24 +403,29 @@ def similar_sets(docs: DataFrame, text: str = "text", size: int = 5, num: int =
     known = docs.where("doc_id is not null")
     members = known.mapInArrow(_members(size, classes), MEMBER).join(reps.select("doc_id", "sig", "sig2"), ["doc_id", "sig", "sig2"], "left_semi")
     members = materialize(members.dropDuplicates(["doc_id", "sig", "sig2"]).select("doc_id", "shingles"), "members")
+    remove(spark, reps)
     held = fixed_table(members.mapInArrow(_sketch(cells), TABLE), cells, np.uint32, _saturating)
     postings = members.mapInArrow(_postings(held, num, den), "key long, doc_id long")
     chains = postings.repartition(F.shiftrightunsigned("key", 24)).sortWithinPartitions("key", "doc_id").mapInArrow(_chains(num, den), "a long, b long")
-    clusters = connected_components(chains).withColumnsRenamed({"node": "doc_id", "component": "cluster"})
+    chained = connected_components(chains)
+    clusters = chained.withColumnsRenamed({"node": "doc_id", "component": "cluster"})
     sizes = members.select("doc_id", F.expr("length(shingles) div 8").alias("n_shingles")).groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"))
     clusters = materialize(clusters.join(sizes, "doc_id"), "clusters")
+    remove(spark, chained)
     blocks = _block_numbers(clusters, block, num, den).join(members, "doc_id")
     blocks = blocks.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "doc_id").select("cluster", "i", "j", "doc_id", "shingles")
     links = blocks.mapInArrow(_join_blocks(num, den), "a long, b long")
     found = connected_components(links)
+    remove(spark, members, clusters)
     # classes of equal sets, then what links connect; a row without either is alone
     some = sets.where("n_shingles > 0")
     same = some.groupBy(*equal).agg(F.min("doc_id").alias("rep"), F.count("*").alias("held"))
     same = same.join(found, same["rep"] == found["node"], "left").where("held > 1 or component is not null")
     same = materialize(same.select(*equal, F.coalesce("component", "rep").alias("component"), "held"), "same")
+    remove(spark, found)
     out = join_counted(some, same, equal, sets.count(), "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component"))
     out = out.unionByName(sets.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component")))
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component_id"))
+    return made_of(out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component_id")), sets, same)
 
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,8 @@
 Documents are counted by (source, length). Each source takes whole passes over its documents as long as they fit
 its target; for the rest of the budget a proportional number of documents of every length is set aside first, then
 bounded-knapsack dynamic programming over what is left of the budget closes the gap. A seeded hash says which
-documents of a length are taken. Only per-length counts, never documents, meet in one task.
+documents of a length are taken. Only per-length counts, never documents, meet in one task. Texts are read once to count
+and once to give the rows out; they aren't stored, and where the plan is small they aren't shuffled either.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from terrace.llm.common import WORD, materialize, table
+from terrace.llm.common import WORD, computed, join_counted, materialize, table
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
@@ -22,6 +23,8 @@ SEED = 20240501
 #: Words of budget that the dynamic programme works on, at least; more if the shortest documents are longer.
 DP_BUDGET = 1 << 14
 HASH_BUCKETS = 256
+#: A plan of so many rows (one for each source and length) is broadcast.
+SMALL_PLAN = 1 << 18
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
@@ -103,7 +106,7 @@ def mix(docs: DataFrame, text: str = "text", weights: tuple[int, ...] = WEIGHTS,
     tie = [F.xxhash64(*keep)] if keep else []
     key = F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("long"), *tie) if keep else "doc_id")
     sized = docs.select("doc_id", "source", F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"), *keep)
-    sized = materialize(sized.withColumn("key", key).withColumn("part", F.pmod("key", F.lit(HASH_BUCKETS)).cast("int")), "sizes")
+    sized = computed(sized.withColumn("key", key).withColumn("part", F.pmod("key", F.lit(HASH_BUCKETS)).cast("int")))
     parts = sized.groupBy("source", "size", "part").agg(F.count("*").alias("n"))
     parts = materialize(parts, "lengths")
     per_length = parts.groupBy("source", "size").agg(F.sum("n").alias("n"))
@@ -111,16 +114,19 @@ def mix(docs: DataFrame, text: str = "text", weights: tuple[int, ...] = WEIGHTS,
     p = per_length.where("size > 0").alias("p")
     fitted = p.join(targets.alias("t"), F.expr("p.source <=> t.source")).selectExpr("p.source", "p.size", "p.n", "t.source_size", "t.target")
     plan = fitted.groupBy("source").applyInPandas(_fit_source, "source string, size long, take long, passes long")
-    # of each length the documents with the least hash parts are taken; only the part at the edge is ranked
+    # of each length the documents with the least hash parts are taken: whole parts up to one, and of the part at the edge those of the least rank
     run = W.partitionBy("source", "size").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    cuts = parts.withColumn("before", F.coalesce(F.sum("n").over(run), F.lit(0))).alias("c").join(plan.alias("f"), F.expr("c.source <=> f.source and c.size = f.size"))
-    cuts = cuts.selectExpr("c.source", "c.size", "c.part", "f.passes", "greatest(0, least(c.n, f.take - c.before)) as quota", "c.n")
-    cuts = materialize(cuts, "cuts")
-    d = sized.alias("d").join(cuts.alias("c"), F.expr("d.source <=> c.source and d.size = c.size and d.part = c.part"), "left")
-    d = d.selectExpr("d.doc_id", "d.source", "d.size", "d.key", "d.part", "coalesce(c.passes, 0) as passes", "coalesce(c.quota, 0) as quota", "c.n", *[f"d.{k}" for k in keep])
-    whole = d.where("quota = 0 or quota = n").withColumn("extra", (F.col("quota") > 0).cast("long"))
+    cuts = parts.withColumn("before", F.coalesce(F.sum("n").over(run), F.lit(0))).alias("c").join(plan.alias("f"), F.expr("c.source <=> f.source and c.size = f.size"), "left")
+    cuts = cuts.selectExpr("c.source", "c.size", "c.part", "c.n", "c.before", "coalesce(f.take, 0) as take", "coalesce(f.passes, 0) as passes")
+    upto, at = F.expr("max(if(before + n <= take, part, -1))").alias("upto"), F.expr("max(if(before < take and before + n > take, struct(part, take - before as quota), null))").alias("at")
+    by = {"named": F.col("source").isNotNull(), "name": F.coalesce(F.col("source").cast("string"), F.lit(""))}
+    cuts = materialize(cuts.groupBy("source", "size", "passes").agg(F.sum("n").alias("held"), upto, at).withColumns(by).drop("source"), "cuts")
+    sized, on = sized.withColumns(by), [*by, "size"]
+    d = sized.join(F.broadcast(cuts.drop("held")), on) if cuts.count() <= SMALL_PLAN else join_counted(sized, cuts, on, cuts.agg(F.sum("held")).first()[0])
+    d = d.selectExpr("doc_id", "source", "size", "key", "part", "passes", "upto", "if(part = at.part, at.quota, 0) as quota", *keep)
+    whole = d.where("quota = 0").withColumn("extra", (F.col("part") <= F.col("upto")).cast("long"))
     rank = F.row_number().over(W.partitionBy("source", "size", "part").orderBy("key", "doc_id", *tie))
-    edge = d.where("quota > 0 and quota < n").withColumn("extra", (rank <= F.col("quota")).cast("long"))
+    edge = d.where("quota > 0").withColumn("extra", (rank <= F.col("quota")).cast("long"))
     out = whole.unionByName(edge).withColumn("copies", F.col("passes") + F.col("extra")).alias("d")
     return out.join(targets.alias("t"), F.expr("d.source <=> t.source"), "left").selectExpr("d.doc_id", "d.source", "d.size", "t.source_size", "t.target", "d.copies", "d.copies * d.size as taken", *[f"d.{k}" for k in keep])
 

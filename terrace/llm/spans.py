@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from terrace.llm.common import U, WordHashes, Words, chunks, columns, join_counted, materialize, mix, record, signed, sliding_min, window_hashes
+from terrace.llm.common import U, WordHashes, Words, chunks, columns, join_counted, made_of, materialize, mix, record, signed, sliding_min, window_hashes
 
 #: Spans that a task gathers before it combines equal ones.
 COMBINE = 1 << 20
@@ -143,7 +143,7 @@ def repeated_places(docs: DataFrame, spans: DataFrame, size: int) -> DataFrame:
     """(doc_id, loc) of windows that occur twice or more, from ``classified`` rows of spans whose anchors repeat (a written table).
 
     One row of each span is asked for its windows where the anchor has another span, and one that occurs once. Anchors with very many
-    spans, and windows in very many of them, are counted before anything is shuffled by them."""
+    spans, and windows in very many of them, are counted before anything is shuffled by them. ``remove`` deletes the table of windows that the result reads, and ``spans``."""
     whole = spans.where("total > 1 and loc & 1 = 0").select("doc_id", "loc")
     picked = spans.where("pick = 1").select("fp", "span", "doc_id", "loc", "total")
     anchors = picked.groupBy("fp").agg(F.min("span").alias("low"), F.max("span").alias("high"), F.min("total").alias("least"), F.count("*").alias("held"))
@@ -154,7 +154,7 @@ def repeated_places(docs: DataFrame, spans: DataFrame, size: int) -> DataFrame:
     windows = materialize(read.mapInArrow(_single_windows(size), "fp long, window long, doc_id long, start long, once boolean"), "windows")
     twice = windows.groupBy("fp", "window").agg(F.count("*").alias("held")).where("held > 1")
     found = join_counted(windows.where("once"), twice, ["fp", "window"], windows.count())
-    return whole.union(found.select("doc_id", F.expr("start << 9 | 2L")))
+    return made_of(whole.union(found.select("doc_id", F.expr("start << 9 | 2L"))), spans, windows)
 
 
 def covered(n: int, locs: np.ndarray, size: int) -> np.ndarray:

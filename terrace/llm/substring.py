@@ -38,6 +38,7 @@ class FingerprintIndex:
         self.root = f"{checkpoint_dir(spark)}/runs/{self.name}"
         self.runs: list[str] = []
         self.spans: list[DataFrame] = []
+        self.answers: list[DataFrame] = []  # tables that results read
         self.made = 0
 
     def _write(self, counted: DataFrame) -> str:
@@ -61,12 +62,13 @@ class FingerprintIndex:
         found = own.where("n > 1").select("fp")
         for old in self.runs:
             found = found.union(own.select("fp").join(self.spark.table(old).select("fp").hint("merge"), "fp"))
-        found = materialize(found, "repeats").distinct()
+        found = materialize(found, "repeats")
+        self.answers.append(found)
         self.runs.append(run)
         self.spans.append(spans)
         if len(self.runs) > self.fan_in:
             self.compact()
-        return found
+        return found.distinct()
 
     def compact(self) -> None:
         """Merge all runs into one and remove the old ones."""
@@ -77,10 +79,10 @@ class FingerprintIndex:
         self._remove(old)
 
     def drop(self) -> None:
-        """Remove all that the index has written."""
+        """Remove all that the index has written, what its answers read too."""
         self._remove(self.runs)
-        remove(self.spark, self.root, *self.spans)
-        self.runs, self.spans = [], []
+        remove(self.spark, self.root, *self.spans, *self.answers)
+        self.runs, self.spans, self.answers = [], [], []
 
     @staticmethod
     def _union(frames: list[DataFrame]) -> DataFrame:
@@ -98,7 +100,9 @@ class FingerprintIndex:
         repeats = self.spark.table(self.runs[0]).where("n > 1").select("fp", F.col("n").alias("held"))
         hits = join_counted(spans.where("not settled").drop("settled"), repeats, ["fp"], spans.count())
         hits = materialize(classified(hits), "hits")
-        return spans.where("settled").select("doc_id", "loc").union(repeated_places(docs, hits, self.window))
+        places = repeated_places(docs, hits, self.window)
+        self.answers.append(places)
+        return spans.where("settled").select("doc_id", "loc").union(places)
 
 
 _WORD = re.compile(rb"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+")

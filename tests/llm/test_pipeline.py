@@ -1,15 +1,20 @@
 """Each stage of the pipeline on what the stage before it kept, against brute force."""
 
 
+import os
 import random
+import time
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from terrace.llm import mixing, packing, quality
+from terrace.llm import common, mixing, packing, quality
 from test_operators import components_by_force, covered_by_repeats, words
 
 SF = "/root/testdata/sf0.001"
@@ -74,3 +79,43 @@ def test_stages_lose_nothing(spark):
         pieces.setdefault(r["doc_id"], []).append((r["start"], np.frombuffer(r["ids"], "<u4").tolist()))
     got = {k: [x for _, ids in sorted(p) for x in ids] for k, p in pieces.items()}
     assert got == {r["doc_id"]: [*model.encode(r["text"] or "", add_special_tokens=False).ids, 2] for r in docs.collect()}
+
+
+def files_below(path):
+    return {os.path.join(d, x) for d, _, names in os.walk(path) for x in names}
+
+
+def test_stages_leave_neither_texts_nor_shuffle_files(spark):
+    """What stays on disk between stages are tables of keys and counts; what a stage has shuffled goes with its query."""
+    docs, tables = spark.read.parquet(f"{SF}/documents.parquet"), f"{common.checkpoint_dir(spark)}/tables"
+    for stage in (corpus_pipeline.near_duplicates, corpus_pipeline.substrings, corpus_pipeline.mixture):
+        before = files_below(tables)
+        stage(spark, docs, SF)
+        left = [x for x in files_below(tables) - before if x.endswith(".parquet")]
+        assert not [x for x in left if pq.read_schema(x).get_all_field_indices("text") or pa.binary() in pq.read_schema(x).types], left
+        assert len({os.path.dirname(x) for x in left}) <= 5
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    spark.sparkContext._jvm.System.gc()
+    before = disk.getAllFiles().size()
+    kept = common.materialize(docs.repartition(3, "doc_id").select("doc_id"), "kept")
+    deadline = time.monotonic() + 20
+    while disk.getAllFiles().size() > before and time.monotonic() < deadline:
+        time.sleep(0.1)
+    assert kept.count() == docs.count() and disk.getAllFiles().size() <= before
+
+
+def test_equal_rows_and_null_columns(spark):
+    """Rows that agree in every column are one if they have words; where a null stands tells rows apart."""
+    rows = [(1, "", "x", None, 0), (1, "", None, "x", 0), (1, "", "x", None, 0), (None, None, None, None, None), (None, None, None, None, None)]
+    rows += [(5, "some words", "en", "s", 1)] * 3 + [(6, "other words", None, "en", 1), (7, "other words", "en", None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert Counter(map(tuple, corpus_pipeline.near_duplicates(spark, docs, SF).collect())) == Counter([*rows[:6], rows[8]])
+
+
+def test_mix_by_small_and_large_plans(spark, monkeypatch):
+    """The same rows whether the plan is broadcast or joined."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("source", F.expr("if(doc_id % 5 = 0, null, source)")).withColumn("text", F.expr("if(doc_id % 7 = 0, null, if(doc_id % 3 = 0, 'five words in this text', text))"))
+    want = {r["doc_id"]: (r["source"], r["taken"]) for r in mixing.mix(docs).collect()}
+    monkeypatch.setattr(mixing, "SMALL_PLAN", 0)
+    got = mixing.mix(docs).collect()
+    assert {r["doc_id"]: (r["source"], r["taken"]) for r in got} == want and len(got) == docs.count()
