@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import lru_cache
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.schemas import CLAIM_TYPES, DATAVALUE, ENTITY, ENTITY_TYPES, RANKS, RAW_ENTITY, SNAKTYPES, VALUE_TYPES
@@ -48,11 +50,18 @@ def parse_entities(lines: DataFrame, mode: str = "PERMISSIVE") -> DataFrame:
     """
     if mode not in ("PERMISSIVE", "FAILFAST"):
         raise ValueError(f"no such mode: {mode}")
+    raw, *columns = _parsed(lines.sparkSession, mode)
     line = F.regexp_replace(F.trim("value"), r",$", "")
     lines = lines.where(~F.trim("value").isin("[", "]", "")).select(line.alias("line"))
+    return lines.select("line", raw).select(*columns)
+
+
+@lru_cache(maxsize=4)
+def _parsed(spark: SparkSession, mode: str) -> list[Column]:
+    """The raw entity of a ``line`` and the columns made of it. They are thousands of calls, so a session that compiles many batches makes them once."""
     # a map given as [] would make the whole row corrupt
     fixed = F.regexp_replace("line", r'("(?:labels|descriptions|aliases|claims|sitelinks)"\s*:\s*)\[\s*\]', "$1{}")
-    raw = lines.select("line", F.from_json(fixed, RAW_ENTITY, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("e"))
+    raw = F.from_json(fixed, RAW_ENTITY, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("e")
     snaks = lambda f: F.exists(F.flatten(F.map_values("e.claims")), f)
     bad = F.col("e._corrupt_record").isNotNull() | F.col("e.id").isNull() | F.coalesce(~F.col("e.type").isin(ENTITY_TYPES), F.lit(True))
     bad = bad | F.coalesce(snaks(_unreadable), F.lit(False))
@@ -63,7 +72,7 @@ def parse_entities(lines: DataFrame, mode: str = "PERMISSIVE") -> DataFrame:
     )
     kinds = dict(x.split(" ", 1) for x in ENTITY.replace(", labels", "\nlabels").replace(", descriptions", "\ndescriptions").replace(", aliases", "\naliases").replace(", claims", "\nclaims").replace(", sitelinks", "\nsitelinks").replace("id string, type", "id string\ntype").split("\n"))
     maps = {"labels": F.col("e.labels"), "descriptions": F.col("e.descriptions"), "aliases": F.col("e.aliases"), "claims": claims, "sitelinks": F.col("e.sitelinks")}
-    return raw.select(F.col("e.id").alias("id"), F.col("e.type").alias("type"), *[F.coalesce(x.cast(kinds[k]), F.create_map().cast(kinds[k])).alias(k) for k, x in maps.items()], corrupt.alias("corrupt"))
+    return [raw, F.col("e.id").alias("id"), F.col("e.type").alias("type"), *[F.coalesce(x.cast(kinds[k]), F.create_map().cast(kinds[k])).alias(k) for k, x in maps.items()], corrupt.alias("corrupt")]
 
 
 def read_entities(spark: SparkSession, paths: str | list[str], mode: str = "PERMISSIVE", partitions: int | None = None) -> DataFrame:

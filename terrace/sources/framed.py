@@ -23,6 +23,8 @@ MAGIC = b"\xff\x06\x00\x00sNaPpY"
 FRAME, STORED, TOGETHER = 65536, 32 + 65536 + 65536 // 6 + 4, 512
 #: Bytes read at a time; bytes of a range where Spark's setting isn't known.
 READ, RANGE = 1 << 20, 128 << 20
+#: Bytes of a range, at least, where small files are spread over tasks.
+LEAST_RANGE = 1 << 16
 
 
 def _crc_table() -> np.ndarray:
@@ -313,8 +315,11 @@ def read_framed(spark: SparkSession, paths: str | list[str], range_bytes: int |
     return _read(spark, paths, "raw", range_bytes)
 
 
-def read_framed_lines(spark: SparkSession, paths: str | list[str], range_bytes: int | None = None) -> DataFrame:
-    """(path, value): the lines of each file. Ranges are as large as Spark's (spark.sql.files.maxPartitionBytes) unless told otherwise."""
+def read_framed_lines(spark: SparkSession, paths: str | list[str], range_bytes: int | None = None, tasks: int | None = None) -> DataFrame:
+    """(path, value): the lines of each file. Ranges are as large as Spark's (spark.sql.files.maxPartitionBytes) unless told otherwise; smaller if ``tasks`` have less to read."""
+    if tasks and not range_bytes:
+        each = -(-sum(n for _, n in listed([paths] if isinstance(paths, str) else paths)) // tasks)
+        range_bytes = min(max(each, LEAST_RANGE), spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
     return _read(spark, paths, "lines", range_bytes)
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,13 +22,14 @@ LISTED = "path string, modificationTime timestamp, length long, content binary"
 
 
 def entity_lines(spark: SparkSession, files: list[str], partitions: int | None = None) -> DataFrame:
-    """(value): lines of plain, .gz, .bz2 and framed .sz files. Those of a .gz file, which one task reads, are spread before they are parsed."""
+    """(value): lines of plain, .gz, .bz2 and framed .sz files. Those of a .gz file, which one task reads, are spread before they are parsed; few small .sz files are read
+    in ranges, for as many tasks."""
     kinds = {kind: [x for x in files if x.rpartition(".")[2] == kind] for kind in ("sz", "gz")}
     plain = [x for x in files if x not in kinds["sz"] and x not in kinds["gz"]]
     spread = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = [read_lines(spark, kinds["gz"], spread)] if kinds["gz"] else []
     parts += [read_lines(spark, plain, partitions)] if plain else []
-    parts += [read_framed_lines(spark, kinds["sz"]).select("value")] if kinds["sz"] else []
+    parts += [read_framed_lines(spark, kinds["sz"], tasks=spread).select("value")] if kinds["sz"] else []
     lines = parts[0]
     for more in parts[1:]:
         lines = lines.unionByName(more)
@@ -34,19 +38,19 @@ def entity_lines(spark: SparkSession, files: list[str], partitions: int | None =
 
 def compile_batch(catalog: Catalog, name: str, date: str, number: int, files: list[str], mode: str, partitions: int | None, part_bytes: int) -> None:
     """One batch's part of every table. It replaces what an earlier try has left, so a batch that is run again leaves the same rows. The dump is read by the first
-    write alone; the other tables are made of what that has written."""
+    write alone; the other tables are made of what that has written, at the same time: a dump of many small files is many batches, whose cost is that of their jobs."""
     spark, at = catalog.spark, lambda state: f"{catalog.path(state, name, date)}/batch={number}"
     seen, bad = Observation(), F.col("corrupt").isNotNull()
     counts = F.count("*").alias("lines"), F.count_if(~bad).alias("entities"), F.count_if(bad).alias("corrupt"), F.coalesce(F.sum(F.when(~bad, F.size(relations()))), F.lit(0)).cast("long").alias("relations")
     parsed = parse_entities(entity_lines(spark, files, partitions), mode).observe(seen, *counts)
     write_parts(parsed, at("entities"), "parquet", part_bytes)
-    stored = spark.read.parquet(at("entities"))
+    stored = spark.read.schema(parsed.schema).parquet(at("entities"))  # no job to find out what is known
     good = stored.where(~bad)
-    for state, df in (("labels", label_index(good)), ("triples", triples(good)), ("quarantine", stored.where(bad).select("corrupt"))):
-        df.write.mode("overwrite").parquet(at(state))
-    n = seen.get
-    row = [(len(files), n["lines"], n["entities"], n["corrupt"], n["relations"])]
-    spark.createDataFrame(row, "files long, lines long, entities long, corrupt long, relations long").coalesce(1).write.mode("overwrite").parquet(at("progress"))
+    made = ("labels", label_index(good)), ("triples", triples(good)), ("quarantine", stored.where(bad).select("corrupt"))
+    with ThreadPool(len(made)) as pool:
+        pool.map(inheritable_thread_target(spark)(lambda x: x[1].write.mode("overwrite").parquet(at(x[0]))), made, 1)
+    n = {"files": len(files)} | seen.get
+    spark.range(0, 1, 1, 1).select(*[F.lit(n[x]).cast("long").alias(x) for x in ("files", "lines", "entities", "corrupt", "relations")]).write.mode("overwrite").parquet(at("progress"))
 
 
 def compile_entities(catalog: Catalog, name: str, date: str, mode: str = "PERMISSIVE", partitions: int | None = None, files_per_batch: int = FILES, part_bytes: int = PART) -> None:

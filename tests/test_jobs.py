@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from terrace.functions.refs import format_ref, parse_ref
 from terrace.functions.texts import lineage
 from terrace.operators import graph, mapreduce, urls
-from terrace.sources import catalog, framed, landing, parts
+from terrace.sources import catalog, entities, framed, landing, parts
 from terrace.streaming import compile
 
 
@@ -346,3 +346,14 @@ def test_pages_of_several_files_in_parts(spark, tmp_path):
     compile_pages(c, "w", "20240101", part_bytes=1)
     assert sorted(r["id"] for r in c.pages("w").collect()) == list(range(150)) and c.latest("pages", "w") == "20240101"
     assert len([x for x in os.listdir(tmp_path / "pages" / "w" / "20240101") if x.startswith("part-")]) > 3
+
+
+def test_small_framed_files_are_spread(spark, tmp_path):
+    """Two small .sz files are read by as many tasks as there are, up to a least range, with the same lines; what parses them is made once a session."""
+    rng = random.Random(8)
+    lines = [f"{i} {rng.randbytes(300).hex()}" for i in range(3000)]
+    framed.write_framed(spark.createDataFrame([(x,) for x in lines], "value string").repartition(2), str(tmp_path / "sz"))
+    files = sorted(str(x) for x in (tmp_path / "sz").glob("*.sz"))
+    got = compile.entity_lines(spark, files, 8)
+    assert len(files) == 2 and got.rdd.getNumPartitions() >= 8 and sorted(r["value"] for r in got.collect()) == sorted(lines)
+    assert entities._parsed(spark, "PERMISSIVE") is entities._parsed(spark, "PERMISSIVE")
