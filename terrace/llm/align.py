@@ -1,8 +1,8 @@
 """Operator 12, alignment of two tokenizers.
 
-Python only tokenizes: a text becomes the ids of both tokenizers and the byte offsets at which their tokens end. All else is Spark's
-own array functions: offsets at which tokens of both end are the intersection of the two arrays; sorted back among the rest with a mark, they say
-which tokens close a group; ``sequence`` and ``slice`` cut the groups, and the tokens that close a group on either side are a link.
+Texts are cut where both tokenizers cut, so tokens of both end there, and the groups and links of a text are those of its stretches, one after the other. A worker
+keeps what it has made of a stretch; new ones are tokenized and grouped many at a time, by whole arrays. What a text then needs is looked up and put together.
+Spark counts the links of the corpus and weighs each row's.
 
 Tokens that end together are linked, so one's bytes end the other's: each token has at most as many partners shorter than itself as it has bytes. The
 pairs of a corpus of any size are therefore at most the bytes of both vocabularies (some 500 000), and their counts can be broadcast.
@@ -14,6 +14,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -25,14 +26,14 @@ from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from terrace.llm.common import chunks, computed, materialize, record, table
+from terrace.llm.common import chunks, materialize, record, table
 from terrace.llm.pieces import KEPT_CHARS, MODEL, SPACE, Vocabulary
 
 BYTE_MODEL = "byte_bpe_50k.json"
-#: Offsets are doubled, to carry a mark, in 32 bits.
+#: Offsets have 32 bits.
 MOST_BYTES = 1 << 30
-#: Stands for the negative of id 0; no other id is as large.
-MINUS_ZERO = -1_000_000_000
+#: New stretches that are tokenized at a time (the piece library is slower on longer texts), and tokens that are written at a time.
+LEARNT, WRITTEN_TOKENS = 1000, 1 << 20
 #: Stretches of text that a worker keeps.
 KEPT_BOTH = 250_000
 #: White space beside white space that only Unicode counts as such: what a run of it is cut into depends on the tokenizer, so such texts aren't cut here.
@@ -40,6 +41,8 @@ _OTHER_SPACES = "".join(c for c in map(chr, [*range(0x1C, 0x20), 0x85, 0xA0, 0x1
 UNCERTAIN = re.compile(f"[{_OTHER_SPACES}][ \t-\r]|[ \t-\r][{_OTHER_SPACES}]").search
 #: Letters, digits and signs of Latin script: of one kind to all versions of Unicode.
 LATIN = re.compile("[\x00-\u024f]*").fullmatch
+#: Stretches that are cut off again when they stand one behind the other: no white space but the space in front.
+JOINED = re.compile(f" [^ \t-\r{_OTHER_SPACES}]+").fullmatch
 #: The tokenizer's own cuts at white space: the last of a run goes with the word behind it if it is a space, and is alone if not.
 STRETCHES = re.compile("(?: ?[^ \t-\r]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+)").findall
 
@@ -57,11 +60,12 @@ def byte_contents(path: str) -> list[bytes]:
 
 
 class Both:
-    """Ids of the two tokenizers, and the bytes of each.
+    """Groups and links of the ids that the two tokenizers make of a text.
 
     The byte-level vocabulary is read from its file. Its merges are the ranks of what they make (each token is what its own bytes are merged into, so no other pair
     of neighbours makes it), by which tiktoken encodes stretches of Latin script; others and uncut texts go through the file's own tokenizer. Stretches are cut where
-    both tokenizers cut, and keep what both make of them.
+    both tokenizers cut, and keep what both make of them: (groups, links, number of ids of either). Groups are written as a1,a2|b1;a3|b2,b3; with a sign behind each
+    id, links are 64-bit integers, a's id in the upper half.
     """
 
     def __init__(self, byte_path: str, piece_path: str):
@@ -74,53 +78,98 @@ class Both:
         ranks = {x: i for i, x in enumerate(a) if i < self.whole.get_vocab_size(with_added_tokens=False)}
         self.latin = tiktoken.Encoding("byte level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.sizes = tuple(np.array([len(x) for x in c], np.int32) for c in (a, b))
-        self.kinds = tuple(np.dtype("<u2" if len(c) <= 1 << 16 else "<u4") for c in (a, b))
+        # digits of each id to the right, with room for a sign behind them
+        ids = np.arange(max(len(a), len(b)))
+        width = len(str(len(ids)))
+        self.digits = np.stack([*(48 + ids // 10**k % 10 for k in reversed(range(width))), 0 * ids], axis=1).astype(np.uint8)
+        self.written = 1 + np.array([len(str(i)) for i in ids])
+        self.filled = np.arange(width + 1) > width - self.written[:, None]
         # runs of spaces are cut otherwise by either tokenizer, and some white space goes on in longer pieces
         longer = {c for x in self.pieces.ids if len(x) > 1 for c in x} & set("\t\n\v\f\r")
-        self.unsure = re.compile("|".join(["  ", *map(re.escape, sorted(longer))])).search
-        self.known: dict[str, tuple[bytes, bytes]] = {}
-        self.old: dict[str, tuple[bytes, bytes]] = {}  # the half before; its stretches come back when they are seen again
+        self.unsure = ["  ", *sorted(longer)]
+        self.known: dict[str, tuple[bytes, bytes, int, int]] = {}
+        self.old: dict[str, tuple[bytes, bytes, int, int]] = {}  # the half before; its stretches come back when they are seen again
 
     def byte_ids(self, text: str) -> list[int]:
-        return self.latin(text) if LATIN(text) else self.whole.encode(text, add_special_tokens=False).ids
-
-    def _learn(self, stretches: set[str]) -> None:
-        new = [x for x in stretches if x not in self.known]
-        back = [x for x in new if x in self.old]
-        self.known.update((x, self.old[x]) for x in back)
-        new = [x for x in new if x not in self.old]
+        return self.latin(text) if LATIN(text) else self.whole_ids(text)
+
+    def whole_ids(self, text: str) -> list[int]:
+        return self.whole.encode(text, add_special_tokens=False).ids
+
+    def grouped(self, data: bytes, stops: np.ndarray, *both: list[int]) -> list[tuple[bytes, bytes, int, int]] | None:
+        """Of the ids that both tokenizers make of ``data``, what is kept for each of its stretches, which end at ``stops``. None where an id's bytes aren't those of ``data``."""
+        if any(b"".join(map(c.__getitem__, i)) != data for c, i in zip(self.contents, both, strict=True)):
+            return None
+        ids = [np.array(i, np.int32) for i in both]
+        ends = [np.cumsum(n[i], dtype=np.int32) for n, i in zip(self.sizes, ids, strict=True)]
+        common = np.zeros((2, len(data) + 1), bool)
+        for side, e in zip(common, ends, strict=True):
+            side[e] = True
+        common = common[0] & common[1]
+        if not common[stops].all():
+            raise ValueError("a stretch doesn't end where tokens of both end")
+        # a group's tokens of a, then those of b: each token stands behind all of its own side and the other side's of the groups before (for b, of its own group too)
+        last = [np.flatnonzero(common[e]) for e in ends]
+        at = [np.arange(len(e)) + before[np.cumsum(c := common[e]) - c] for e, before in zip(ends, (np.append(0, last[1] + 1), last[0] + 1), strict=True)]
+        tokens = np.empty(sum(map(len, ids)), np.int32)
+        signs = np.full(len(tokens), ord(","), np.uint8)
+        for i, where, closing, sign in zip(ids, at, last, b"|;", strict=True):
+            tokens[where] = i
+            signs[where[closing]] = sign
+        text = b"".join(self._written(tokens[k : k + WRITTEN_TOKENS], signs[k : k + WRITTEN_TOKENS]) for k in range(0, len(tokens), WRITTEN_TOKENS))
+        links = (ids[0][last[0]].astype("<i8") << 32 | ids[1][last[1]]).tobytes()
+        n_a, n_b, n = (np.searchsorted(e, stops, "right") for e in (*ends, ends[0][last[0]]))
+        to = np.cumsum(self.written[tokens])[n_a + n_b - 1]
+        cuts = [np.append(0, x).tolist() for x in (to, n * 8)]
+        counts = [np.diff(x, prepend=0).tolist() for x in (n_a, n_b)]
+        return [*zip(*([x[i:j] for i, j in zip(c, c[1:])] for x, c in zip((text, links), cuts, strict=True)), *counts, strict=True)]
+
+    def _written(self, tokens: np.ndarray, signs: np.ndarray) -> bytes:
+        chars = self.digits[tokens]
+        chars[:, -1] = signs
+        return chars[self.filled[tokens]].tobytes()
+
+    def _learn(self, new: list[str]) -> None:
+        """Keep what both tokenizers make of new stretches. Those that are cut off again are tokenized as one text: either tokenizer takes longer to be called than to encode a stretch."""
+        joined = [x for x in new if JOINED(x)]
+        latin, other = (joined, []) if LATIN(text := "".join(joined)) else ([x for x in joined if LATIN(x)], [x for x in joined if not LATIN(x)])
+        single = [x for x in new if not JOINED(x)] if len(joined) < len(new) else []
+        if other:
+            text = "".join([*latin, *other])
+        a = [*self.latin("".join(latin)), *(self.whole_ids("".join(other)) if other else []), *chain.from_iterable(map(self.byte_ids, single))]
         # the library puts a space in front
-        spaced = [x for x in new if x[0] == " "]
-        made = dict(zip(spaced, self.library.encode([x[1:] for x in spaced], num_threads=1)))
-        for x in new:
-            ids = self.byte_ids(x), made.get(x) or self.pieces.encoded(x)
-            if any(b"".join(map(c.__getitem__, i)) != x.encode() for i, c in zip(ids, self.contents, strict=True)):
-                raise ValueError(f"a tokenizer doesn't give back {x!r}")
-            self.known[x] = tuple(np.array(i, k).tobytes() for i, k in zip(ids, self.kinds, strict=True))
-
-    def _uncut(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        return tuple(np.array(x, k) for x, k in zip((self.whole.encode(" " + text, add_special_tokens=False).ids, self.library.encode(text)), self.kinds, strict=True))
-
-    def __call__(self, texts: list[bytes | None]) -> Iterator[tuple[np.ndarray, ...]]:
-        """(ids, doubled ends) of either tokenizer for a space and each text; all empty where a tokenizer's bytes aren't the text's."""
+        b = [*(self.library.encode(text[1:]) if text else []), *chain.from_iterable(self.library.encode(x[1:]) if x[0] == " " and len(x) > 1 else self.pieces.encoded(x) for x in single)]
+        some = [*latin, *other, *single]
+        stops = np.cumsum([len(x) if x.isascii() else len(x.encode()) for x in some])
+        made = self.grouped("".join(some).encode(), stops, a, b)
+        if made is None:
+            raise ValueError(f"a tokenizer doesn't give back one of {some!r:.1000}")
+        self.known.update(zip(some, made, strict=True))
+
+    def __call__(self, texts: list[bytes | None]) -> Iterator[tuple[bytes, bytes, int, int]]:
+        """(groups, links, number of ids of either tokenizer) of a space and each text; nothing and zeros where a tokenizer's bytes aren't the text's."""
         if any(len(t) >= MOST_BYTES for t in texts if t):
             raise ValueError("a text of over 2^30 bytes")
         plain = [t.decode() if t else "" for t in texts]
         # a visible space comes back as a space
-        cut = [STRETCHES(" " + t) if t and SPACE not in t and not self.unsure(" " + t) and (t.isascii() or not UNCERTAIN(t)) else [] for t in plain]
-        self._learn(set().union(*cut))
-        none = np.empty(0, np.int32)
+        cut = [STRETCHES(" " + t) if t and SPACE not in t and not any(x in (" " + t) for x in self.unsure) and (t.isascii() or not UNCERTAIN(t)) else [] for t in plain]
+        new = set(chain.from_iterable(cut)).difference(self.known)
+        back = new.intersection(self.old)
+        self.known.update((x, self.old[x]) for x in back)
+        unseen = [*(new - back)]
+        for k in range(0, len(unseen), LEARNT):
+            self._learn(unseen[k : k + LEARNT])
+        nothing = b"", b"", 0, 0
         for t, raw, stretches in zip(plain, texts, cut, strict=True):
-            if not t or SPACE in t:
-                yield none, none, none, none
-                continue
-            both = tuple(np.frombuffer(b"".join(x), k) for x, k in zip(zip(*map(self.known.__getitem__, stretches)), self.kinds, strict=True)) if stretches else self._uncut(t)
-            ends = [np.cumsum(n[i], dtype=np.int32) for i, n in zip(both, self.sizes, strict=True)]
-            if any(e[-1] != len(raw) + 1 for e in ends) or not stretches and any(b"".join(map(c.__getitem__, i.tolist())) != b" " + raw for i, c in zip(both, self.contents, strict=True)):
-                yield none, none, none, none
+            if stretches:
+                groups, links, n_a, n_b = zip(*map(self.known.__getitem__, stretches))
+                yield b"".join(groups)[:-1], b"".join(links), sum(n_a), sum(n_b)
+            elif not t or SPACE in t:
+                yield nothing
             else:
-                yield both[0].astype(np.int32), ends[0] * 2, both[1].astype(np.int32), ends[1] * 2
-        for x in set().union(*cut):
+                made = self.grouped(b" " + raw, np.array([len(raw) + 1]), self.whole_ids(" " + t), self.library.encode(t))
+                yield (made[0][0][:-1], *made[0][1:]) if made else nothing
+        for x in new:
             if len(x) > KEPT_CHARS:
                 del self.known[x]
         if len(self.known) > KEPT_BOTH // 2:
@@ -137,66 +186,34 @@ def both(byte_path: str, piece_path: str) -> Both:
     return _both[byte_path, piece_path]
 
 
-TOKENS = "doc_id long, a_ids array<int>, a_ends array<int>, b_ids array<int>, b_ends array<int>"
-TOKENS_SCHEMA = pa.schema([("doc_id", pa.int64()), *[(x, pa.list_(pa.int32())) for x in ("a_ids", "a_ends", "b_ids", "b_ends")]])
+ALIGNED = "doc_id long, n_a long, n_b long, groups string, links array<long>"
+ALIGNED_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("groups", pa.string()), ("links", pa.list_(pa.int64()))])
 
 
-def tokenized(docs: DataFrame, text: str = "text", byte_model: str | None = None, piece_model: str | None = None) -> DataFrame:
-    """(doc_id, a_ids, a_ends, b_ids, b_ends) of a space and each text: ids of a byte-level and of a piece tokenizer, and where in the bytes their tokens end, doubled.
+def aligned(docs: DataFrame, text: str = "text", byte_model: str | None = None, piece_model: str | None = None) -> DataFrame:
+    """(doc_id, n_a, n_b, groups, links) of a space and each text: how many ids a byte-level and a piece tokenizer make of it; the ids between offsets at which tokens of
+    both end, written as a1,a2|b1;a3|b2,b3; and the pairs of ids that end together, a's id in the upper 32 bits.
 
-    Null and empty texts, and those that a tokenizer doesn't give back byte for byte, have empty arrays. Rows with a null or repeated doc_id are rows like all
+    Null and empty texts, and those that a tokenizer doesn't give back byte for byte, have no ids. Rows with a null or repeated doc_id are rows like all
     others. Other columns are not read."""
     paths = byte_model or public_tokenizers.path(BYTE_MODEL), piece_model or public_tokenizers.path(MODEL)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in chunks(batch):
-                columns = zip(*both(*paths)(texts), strict=True)
-                lists = [pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(x) for x in c])]).astype(np.int32), np.concatenate(c)) for c in columns]
-                yield record(TOKENS_SCHEMA, batch.column("doc_id").slice(first, len(texts)), *lists)
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, TOKENS)
-
-
-def marked(tokens: DataFrame) -> DataFrame:
-    """(doc_id, a_ids, a_marks, b_ids, b_marks) of ``tokens``: an odd mark says that a token closes a group, as a token of the other side ends there too. Marks are the
-    offsets, in order, with 1 added where tokens of both end."""
-    marks = lambda ends: F.sort_array(F.concat("odd", F.array_except(ends, "common")))
-    t = computed(tokens.withColumn("common", F.array_intersect("a_ends", "b_ends")))
-    t = computed(t.withColumn("odd", F.transform("common", lambda e: e + 1)))
-    return computed(t.select("doc_id", "a_ids", marks("a_ends").alias("a_marks"), "b_ids", marks("b_ends").alias("b_marks")))
-
-
-def _closing(side: str) -> Column:
-    """Ids of the tokens that close a group."""
-    return F.filter(F.col(f"{side}_ids"), lambda _, i: F.col(f"{side}_marks")[i].bitwiseAND(1) == 1)
-
-
-def links() -> Column:
-    """array<struct<a, b>> of ``marked`` columns: the tokens that end together. Those of the k-th group are the k-th to close one on either side."""
-    return F.arrays_zip(_closing("a").alias("a"), _closing("b").alias("b")).cast("array<struct<a: int, b: int>>")
-
-
-def _written(side: str) -> Column:
-    """Ids of each group, with commas between them: the first id of a group is made negative, and all are written in one go and split before the signs."""
-    ids, marks = F.col(f"{side}_ids"), F.col(f"{side}_marks")
-    begins = F.concat(F.array(F.lit(1)), F.slice(marks, F.lit(1), F.greatest(F.size(marks) - 1, F.lit(0))))
-    signed = F.zip_with(ids, begins, lambda x, m: F.when(m.bitwiseAND(1) == 1, F.when(x == 0, F.lit(MINUS_ZERO)).otherwise(-x)).otherwise(x))
-    text = F.replace(F.array_join(signed.cast("array<string>"), ","), F.lit(str(MINUS_ZERO)), F.lit("-0"))
-    return F.split(F.substr(text, F.lit(2)), ",-")
-
+                groups, links, n_a, n_b = zip(*both(*paths)(texts), strict=True)
+                starts = np.cumsum([0, *(len(x) // 8 for x in links)]).astype(np.int32)
+                pairs = pa.ListArray.from_arrays(starts, np.frombuffer(b"".join(links), "<i8"))
+                yield record(ALIGNED_SCHEMA, batch.column("doc_id").slice(first, len(texts)), n_a, n_b, pa.array(groups, pa.binary()).cast(pa.string()), pairs)
 
-def written() -> Column:
-    """``marked`` columns as a1,a2|b1;a3|b2,b3: groups, each with the ids of either side. Empty without tokens."""
-    pairs = F.zip_with(_written("a"), _written("b"), lambda a, b: F.concat(a, F.lit("|"), b))
-    return F.when(F.size("a_ids") > 0, F.array_join(pairs, ";")).otherwise("")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, ALIGNED)
 
 
 def groups() -> Column:
-    """array<struct<a: array<int>, b: array<int>>> of ``marked`` columns: ids between offsets at which tokens of both end, in order."""
+    """array<struct<a: array<int>, b: array<int>>> of the written ``groups``, in order."""
     ids = lambda x: F.split(x, ",").cast("array<int>")
-    pairs = F.zip_with(_written("a"), _written("b"), lambda a, b: F.struct(ids(a).alias("a"), ids(b).alias("b")))
-    return F.when(F.size("a_ids") > 0, pairs).otherwise(F.array().cast("array<struct<a: array<int>, b: array<int>>>"))
+    pairs = F.transform(F.split("groups", ";"), lambda g: F.struct(ids(F.split_part(g, F.lit("|"), F.lit(1))).alias("a"), ids(F.split_part(g, F.lit("|"), F.lit(2))).alias("b")))
+    return F.when(F.col("groups") != "", pairs).otherwise(F.array().cast("array<struct<a: array<int>, b: array<int>>>"))
 
 
 def weighed(linked: DataFrame) -> DataFrame:
@@ -206,25 +223,20 @@ def weighed(linked: DataFrame) -> DataFrame:
     the sum of its links' counts; 0 without links. A row's links are summed in the task that reads them; one row of sums goes into the shuffle."""
     kept = [c for c in linked.columns if c != "links"]
     rows = materialize(linked.withColumn("__row", F.monotonically_increasing_id()), "alignments")
-    each = rows.select("__row", F.explode("links").alias("x")).select("__row", "x.a", "x.b")
-    counts = each.groupBy("a", "b").agg(F.count("*").alias("n"))
-    counts = counts.withColumn("best", (F.col("n") == F.max("n").over(W.partitionBy("b"))).cast("long"))
-    sums = each.join(F.broadcast(counts), ["a", "b"]).groupBy("__row").agg(F.sum("best").alias("n_best"), F.sum("n").alias("count_sum"))
+    each = rows.select("__row", F.explode("links").alias("link"))
+    counts = each.groupBy("link").agg(F.count("*").alias("n"))
+    counts = counts.withColumn("best", (F.col("n") == F.max("n").over(W.partitionBy(F.col("link").bitwiseAND(F.lit(0xFFFFFFFF))))).cast("long"))
+    sums = each.join(F.broadcast(counts), "link").groupBy("__row").agg(F.sum("best").alias("n_best"), F.sum("n").alias("count_sum"))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
     return rows.drop("links").join(sums, "__row", "left").select(*kept, zero("n_best"), zero("count_sum"))
 
 
 def align(docs: DataFrame, text: str = "text", byte_model: str | None = None, piece_model: str | None = None) -> DataFrame:
     """doc_id, n_a, n_b, groups, n_best, count_sum: one row per row of ``docs``. Texts without tokens have zeros and no groups."""
-    found = marked(tokenized(docs, text, byte_model, piece_model))
-    size = lambda c: F.size(c).cast("long")
-    return weighed(found.select("doc_id", size("a_ids").alias("n_a"), size("b_ids").alias("n_b"), groups().alias("groups"), links().alias("links")))
+    return weighed(aligned(docs, text, byte_model, piece_model).withColumn("groups", groups()))
 
 
 def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = marked(tokenized(table(spark, sf_dir, "documents")))
-    size = lambda c: F.size(c).cast("long")
-    digest = F.when(F.size("a_ids") > 0, F.sha2(written().cast("binary"), 256)).otherwise("")
-    each = computed(found.select("doc_id", size("a_ids").alias("n_a"), size("b_ids").alias("n_b"), digest.alias("groups_sha256"), links().alias("links")))
-    n = size("links")
-    return weighed(each.select("doc_id", "n_a", "n_b", n.alias("n_groups"), n.alias("n_links"), "groups_sha256", "links"))
+    n, digest = F.size("links").cast("long"), F.when(F.col("groups") != "", F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
+    found = aligned(table(spark, sf_dir, "documents"))
+    return weighed(found.select("doc_id", "n_a", "n_b", n.alias("n_groups"), n.alias("n_links"), digest.alias("groups_sha256"), "links"))

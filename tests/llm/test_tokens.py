@@ -139,6 +139,37 @@ def test_alignment_digest(spark, model):
         assert (got[doc]["n_a"], got[doc]["n_b"], got[doc]["n_groups"], got[doc]["n_links"], got[doc]["groups_sha256"]) == (n_a, n_b, len(groups), len(links), digest)
 
 
+@pytest.mark.parametrize("kept, learnt, written", [(250_000, 1000, 1 << 20), (12, 3, 5)])
+def test_stretches_of_both_tokenizers(model, monkeypatch, kept, learnt, written):
+    for name, x in (("KEPT_BOTH", kept), ("LEARNT", learnt), ("WRITTEN_TOKENS", written)):
+        monkeypatch.setattr(align, name, x)
+    rng = random.Random(12)
+    words = ["naïve", "l\xa0été", "\xa0", "中文字", "ﬁne", "don't", "'s", "\u200b", "a\u3000b", "x" * 80, "<|endoftext|>", "<s>", "ÿ", "Ωμέγα", "42", "...", "word"]
+    docs = texts(rng, 200) + [rng.choice([" ", "\n"]).join(rng.choice(words) for _ in range(rng.randrange(1, 9))) for _ in range(400)]
+    both, want = align.Both(BYTES, PIECES), aligned(docs, model)[0]
+    for first in range(0, len(docs), 50):
+        made = both([None if t is None else t.encode() for t in docs[first : first + 50]])
+        for t, (written_groups, packed, n_a, n_b), (a, b, groups, links) in zip(docs[first:], made, want[first:]):
+            assert (n_a, n_b) == (a, b) and written_groups.decode() == ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups), repr(t)
+            assert [divmod(x, 1 << 32) for x in np.frombuffer(packed, "<i8").tolist()] == links, repr(t)
+
+
+def test_new_stretches_are_tokenized_together(monkeypatch):
+    both, calls = align.Both(BYTES, PIECES), Counter()
+    counted = lambda name, f: lambda *a, **b: calls.update([name]) or f(*a, **b)
+    monkeypatch.setattr(both, "latin", counted("latin", both.latin))
+    monkeypatch.setattr(both.library, "encode", counted("library", both.library.encode))
+    assert len([*both([" ".join(f"w{i}" for i in range(k, k + 500)).encode() for k in range(0, 2000, 500)])]) == 4
+    assert len(both.known) == 2000 and max(calls.values()) <= 10
+
+
+def test_alignment_has_no_interpreted_lambdas(spark, monkeypatch):
+    plans, made = [], align.materialize
+    monkeypatch.setattr(align, "materialize", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or made(df, name))
+    align.op12_tokenizer_alignment(spark, SF)
+    assert plans and not any("lambda" in x for x in plans)
+
+
 def nodes_by_hand(rows):
     turns = defaultdict(list)
     for conv, turn, role, text in rows:
