@@ -32,6 +32,8 @@ from terrace.llm.pieces import KEPT_CHARS, MODEL, SPACE, Vocabulary
 BYTE_MODEL = "byte_bpe_50k.json"
 #: Offsets have 32 bits.
 MOST_BYTES = 1 << 30
+#: Characters of text that are cut into stretches at a time: a worker holds all of these stretches beside those that it keeps.
+CUT_CHARS = 500_000
 #: New stretches that are tokenized at a time (the piece library is slower on longer texts), and tokens that are written at a time.
 LEARNT, WRITTEN_TOKENS = 1000, 1 << 20
 #: Stretches of text that a worker keeps.
@@ -200,7 +202,7 @@ def aligned(docs: DataFrame, text: str = "text", byte_model: str | None = None,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, texts in chunks(batch):
+            for first, texts in chunks(batch, most=CUT_CHARS):
                 groups, links, n_a, n_b = zip(*both(*paths)(texts), strict=True)
                 starts = np.cumsum([0, *(len(x) // 8 for x in links)]).astype(np.int32)
                 pairs = pa.ListArray.from_arrays(starts, np.frombuffer(b"".join(links), "<i8"))
